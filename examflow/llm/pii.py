@@ -32,15 +32,14 @@ KR_PREFIXES = "010 011 016 017 018 019 02 031 032 033 041 042 043 044 051 052 05
 FAMILY_TWO = "남궁 제갈 선우 황보 독고 사공 서문 동방 어금 망절".split()
 FAMILY_ONE = "김이박최정강조윤장임한오서신권황안송류유홍전고문양손배백허남심노하곽성차주우구민진지엄채원천방공현함변염여추도소석선설마길연위표명기반왕금옥육인맹제모탁국어은편용"
 KO_BEFORE = "담당 조교|조교|작성자|성명|이름|응시자|수험자|지원자|담당자|문의는|출제 위원|검토 위원|검토|학생은|답변은|해설은|저자|지은이|글쓴이|강사|감독관|교수|필자".split("|")
-KO_AFTER = "님|씨| 선생님| 교수| 학생| 조교| 강사| 군| 양| 위원".split("|")
+KO_AFTER = "님|씨| 선생님| 교수| 조교| 강사".split("|")
 EN_BEFORE = ("prepared by|reviewed by|written by|compiled by|edited by|submitted by|graded by|author:|author|contact|candidate|applicant|care of|c/o|talk by|lecture by|name:|student|tutor").split("|")
 EN_AFTER = (" asked about", " wrote", " made the same", " submitted")
-ID_CUES = "신분증|주민|등록번호|생년|여권|면허|응시자|identity document|(id|passport|license|licence|ssn|social security|id number".split("|")
 STREET_WORDS = "Avenue|Ave|Street|St|Road|Rd|Lane|Ln|Drive|Dr|Court|Ct|Boulevard|Blvd|Way|Place|Pl|Terrace|Square|Sq|Highway|Hwy".split("|")
 
 _NAME_KO = rf"(?:(?:{'|'.join(FAMILY_TWO)}) ?[가-힣]{{1,2}}|[{FAMILY_ONE}] ?[가-힣]{{2}}|[{FAMILY_ONE}][가-힣](?![가-힣]))"
 _KO_NAME_AT = re.compile(rf"[ \t]*[:：]?\s*({_NAME_KO})(?=$|[^가-힣]|님|씨|이고|이다|이며|의|은|는|이|가|을|를|에게|께|과|와|도|\s)")
-_KO_NAME_TO = re.compile(rf"(?<![가-힣])({_NAME_KO})$")
+_KO_NAME_TO = re.compile(rf"(?<![가-힣])((?:(?:{'|'.join(FAMILY_TWO)}) ?[가-힣]{{1,2}}|[{FAMILY_ONE}] ?[가-힣]{{2}}))$")
 _EN_WORD = r"[A-Z][a-z]+(?:[-'’][A-Z][a-z]+)?"
 _NAME_EN = rf"(?:{_EN_WORD}(?: [A-Z]\.)* {_EN_WORD}|{_EN_WORD}, {_EN_WORD}(?: [A-Z]\.)?)"
 _EN_NAME_AT = re.compile(rf"\s*:?\s*(?:(?:Dr|Prof|Professor|Mr|Mrs|Ms|Miss)\.? )?({_NAME_EN})\b")
@@ -52,7 +51,6 @@ _DOMAIN = re.compile(rf"[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?(?:{_DOT}[A-Za-
 _LOCAL_SPELT = re.compile(rf"[A-Za-z0-9][A-Za-z0-9_%+\-]*(?:{_DOT}[A-Za-z0-9_%+\-]+)*$")
 _AT_WORDS = ("(at)", "[at]", "{at}", "<at>", " at ", "골뱅이", "(AT)", "[AT]", "(골뱅이)", "[골뱅이]")
 
-_SEP = r"[ .\-)]{1,2}|\)\s?-?\s?"
 _KR_PHONE = re.compile(r"(?:(?:\+|00)82[ .\-]?\(?0?\)?)?[ .\-]?\(?0?(?:1[016789]|2|3[1-3]|4[1-4]|5[1-5]|6[1-4]|[78]0)\)?[ .\-)]{0,2}\d{3,4}[ .\-]?\d{4}(?![\d])")
 _US_PHONE = re.compile(r"(?:\+?1[ .\-])?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .\-])\d{3}[ .\-]\d{4}(?!\d|-\d)")
 _RRN = re.compile(r"(?<![\d\-.])\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\s?-?\s?[1-8]\d{6}(?![\d]|-\d)")
@@ -88,7 +86,6 @@ class _Anchors:
         add("ko_after", *KO_AFTER)
         add("en_before", *EN_BEFORE)
         add("en_after", *EN_AFTER)
-        add("id", *ID_CUES)
         add("kr_phone", *KR_PREFIXES, *(f"+82{s}" for s in ("", " ", "-", ".")))
         add("us_phone", *(f"{n}{s}" for n in range(200, 1000) for s in "-. )"), "+1 ", "+1-", "+1.")
         add("ko_street", *(f"{w} " for w in ("시", "군")))
@@ -126,7 +123,7 @@ def find_pii(text: str) -> list[tuple[str, int, int]]:
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in t)
     found: list[tuple[str, int, int]] = []
     done: set[tuple[str, int]] = set()
-    id_seen = digits_to = 0
+    digits_to = 0
     for end, (size, kinds) in _ANCHORS[0].iter(low):
         at, after = end + 1 - size, end + 1
         for kind in kinds:
@@ -154,8 +151,6 @@ def find_pii(text: str) -> list[tuple[str, int, int]]:
                 if m and (kind == "us_phone" or _kr_phone_ok(m[0])) and not _NOT_PERSONAL.search(t[max(0, start - 16) : start]):
                     if t[m.end() : m.end() + 1] != "-" or not t[m.end() + 1 : m.end() + 2].isdigit():
                         found.append(("phone", start, m.end()))
-            elif kind == "id":
-                id_seen = 1
             elif kind == "ko_street":
                 if end >= digits_to:
                     start = max(0, at - 14)
@@ -172,7 +167,6 @@ def find_pii(text: str) -> list[tuple[str, int, int]]:
                     if m.end() > at and (m.start() > start or start == 0):
                         found.append(("address", m.start(), m.end()))
                         break
-    del id_seen
     _numbers(t, found)
     best: list[tuple[str, int, int]] = []
     found = [(k, _first(t, a, b), b) for k, a, b in found]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..common import first_delivery, load
-from . import charforms, leakage, pii, tokenise
+from . import charforms, leakage, pii, scannoise, tokenise
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,25 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
 
 
+def _scanned_rows(spark: SparkSession, sf_dir: str) -> scannoise.Repair:
+    parts = []
+    for table, key, text in (("questions", "question_id", "stem"), ("text_blocks", "block_id", "text"), ("questions_final", "qf_id", "content")):
+        rows = first_delivery(load(spark, sf_dir, table).select(key, text), key)
+        parts.append(rows.select(F.lit(table).alias("table_name"), F.col(key).alias("row_key"), F.col(text).alias("text")))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return scannoise.Repair(rows, load(spark, sf_dir, "text_blocks"), load(spark, sf_dir, "exams"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each kind of scan noise in each row."""
+    return _scanned_rows(spark, sf_dir).found()
+
+
+def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The continuous text of each row."""
+    return _scanned_rows(spark, sf_dir).repaired()
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return tokenise.encode_corpus(load(spark, sf_dir, "documents"))
@@ -34,5 +53,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(load(spark, sf_dir, "documents")).select("doc_id", "pii_type", "start_pos")
 
 
-QUERIES = {"p2_found": p2_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_repaired": p3_repaired, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 ORACLE_SQL: dict[str, str] = {}
