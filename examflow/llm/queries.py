@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..common import first_delivery, load
-from . import charforms, leakage, pii, scannoise, tokenise
+from . import charforms, leakage, neardup, pii, scannoise, tokenise
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,16 @@ def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scanned_rows(spark, sf_dir).repaired()
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of final questions whose similarity is at least 0.5."""
+    return neardup.NearDuplicates(load(spark, sf_dir, "questions_final")).pairs()
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each final question with its class of equal texts, its group and its number of links."""
+    return neardup.NearDuplicates(load(spark, sf_dir, "questions_final")).groups()
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return tokenise.encode_corpus(load(spark, sf_dir, "documents"))
@@ -53,5 +63,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(load(spark, sf_dir, "documents")).select("doc_id", "pii_type", "start_pos")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_repaired": p3_repaired, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p4_groups": p4_groups, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 ORACLE_SQL: dict[str, str] = {}

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..common import cut_lineage
 from .charforms import with_plain_form
 
 # Signs that end a split word, signs of unreadable characters, misread choice marks.
@@ -40,6 +41,9 @@ MIN_SHARE = 5e-5
 #: A rare form has at most one in so many of the occurrences of the frequent form.
 RATIO = 12
 
+# Closing particles of one syllable.
+PARTICLES = tuple("은는이가을를의에도로와과만")
+
 KINDS = ("hyphen", "misread", "header", "pageno")
 
 
@@ -90,7 +94,7 @@ def judged_lines(rows: DataFrame, forms: DataFrame) -> DataFrame:
 def latin_skeleton(word: Column) -> Column:
     """One skeleton for Latin words whose glyphs are easily confused."""
     w = F.lower(word)
-    for a, b in (("li", "h"), ("rn", "m"), ("cl", "d"), ("vv", "w")):
+    for a, b in (("l1", "h"), ("li", "h"), ("rn", "m"), ("cl", "d"), ("vv", "w")):
         w = F.replace(w, F.lit(a), F.lit(b))
     return F.translate(w, "01i59@6c", "ollsgabe")
 
@@ -143,6 +147,9 @@ def misread_words(places: DataFrame) -> DataFrame:
     rare = ko.select(F.col("word").alias("wrong"), "n", F.explode(hangul_skeletons(F.col("word"))).alias("skeleton"))
     often = ko.where("n >= least").select(F.col("word").alias("right"), F.col("n").alias("m"), F.explode(hangul_skeletons(F.col("word"))).alias("skeleton"))
     pairs = rare.join(often, "skeleton").where((F.col("wrong") != F.col("right")) & (F.col("m") >= RATIO * F.col("n"))).select("wrong", "right", "n", "m").distinct()
+    # Two forms of one word that differ in a closing particle are both right.
+    last = lambda c: F.substring(c, -1, 1)
+    pairs = pairs.where((last("wrong") == last("right")) | ~last("wrong").isin(*PARTICLES) | ~last("right").isin(*PARTICLES))
 
     def shares(side: str) -> DataFrame:
         """Of each pair: the share of the rare form's neighbours that the frequent form has too, and the frequent form's own share."""
@@ -154,9 +161,10 @@ def misread_words(places: DataFrame) -> DataFrame:
         return met.join(own, "right")
 
     both = shares("left").join(shares("right").drop("n", "m"), ["wrong", "right"])
-    many = (F.col("met_left") >= 0.5 * F.col("own_left")) & (F.col("met_right") >= 0.5 * F.col("own_right"))
+    near_left, near_right = F.col("met_left") / F.greatest("own_left", F.lit(0.01)), F.col("met_right") / F.greatest("own_right", F.lit(0.01))
+    many = (F.least(near_left, near_right) >= 0.25) & (F.greatest(near_left, near_right) >= 0.7)
     few = F.col("met_left") + F.col("met_right") >= 0.6 * (F.col("own_left") + F.col("own_right"))
-    both = both.where(F.col("own_left") + F.col("own_right") >= 0.4).where(F.when(F.col("n") >= 8, many).otherwise(few))
+    both = both.where(F.col("own_left") + F.col("own_right") >= 0.4).where(F.when(F.col("n") >= 4, many).otherwise(few))
     ko_pairs = both.groupBy("wrong").agg(F.max_by("right", F.struct("m", "right")).alias("right"))
     return latin_pairs.unionByName(ko_pairs)
 
@@ -167,9 +175,10 @@ class Repair:
     def __init__(self, rows: DataFrame, blocks: DataFrame, exams: DataFrame | None = None):
         plain = with_plain_form(rows.where("text is not null and text <> ''"), "text", "text")
         judged = judged_lines(plain, margin_forms(blocks, exams))
-        self.lines = judged.withColumn("joined", F.regexp_replace("kept", SPLIT_WORD, ""))
+        # Read by every later step: one reliable copy instead of computing it again for each.
+        self.lines = cut_lineage(judged.withColumn("joined", F.regexp_replace("kept", SPLIT_WORD, "")))
         self.places = word_places(self.lines)
-        self.pairs = misread_words(self.places)
+        self.pairs = cut_lineage(misread_words(self.places))
 
     def misread_rows(self) -> DataFrame:
         """(table_name, row_key, fixes): rows holding a misread word and what it should be."""
