@@ -117,6 +117,11 @@ def hangul_skeletons(word: Column) -> Column:
     return F.flatten(F.transform(at, masked))
 
 
+def stem(word: Column) -> Column:
+    """A Korean word without its closing particles, unless a single syllable would be left."""
+    return F.regexp_replace(word, "(?<=[가-힣]{2})(?:으로|에서|에게|부터|까지|[은는이가을를의에도로와과만])+$", "")
+
+
 def word_places(joined: DataFrame) -> DataFrame:
     """(table_name, row_key, left, word, right): every word with its neighbours, digits masked."""
     tokens = F.regexp_extract_all(F.col("joined"), F.lit(rf"([가-힣{UNREADABLE}]+|[A-Za-z0-9@{UNREADABLE}]*[A-Za-z][A-Za-z0-9@{UNREADABLE}]*|[0-9][0-9.,]*|[^\s])"), F.lit(1))
@@ -151,6 +156,12 @@ def misread_words(places: DataFrame) -> DataFrame:
     last = lambda c: F.substring(c, -1, 1)
     pairs = pairs.where((last("wrong") == last("right")) | ~last("wrong").isin(*PARTICLES) | ~last("right").isin(*PARTICLES))
 
+    # A word of its own stands with many particles: the whole stem must be as rare.
+    stems = ko.groupBy(stem(F.col("word")).alias("s")).agg(F.sum("n").alias("k"))
+    pairs = pairs.join(stems.select(F.col("s").alias("s1"), F.col("k").alias("k1")), stem(F.col("wrong")) == F.col("s1"))
+    pairs = pairs.join(stems.select(F.col("s").alias("s2"), F.col("k").alias("k2")), stem(F.col("right")) == F.col("s2"))
+    pairs = pairs.where(F.col("k2") >= RATIO * F.col("k1")).select("wrong", "right", "n", "m")
+
     def shares(side: str) -> DataFrame:
         """Of each pair: the share of the rare form's neighbours that the frequent form has too, and the frequent form's own share."""
         seen = places.where(F.col("word").rlike("^[가-힣]")).groupBy("word", F.col(side).alias("x")).agg(F.count(F.lit(1)).alias("k"))
