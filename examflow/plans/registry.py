@@ -6,9 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..common import load
+from ..operators import nested
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every image object nested in payloads and final questions."""
+    return nested.image_places(load(spark, sf_dir, "final_payloads"), load(spark, sf_dir, "questions_final"))
+
+
+def p5_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.FlatTables(load(spark, sf_dir, "final_payloads")).questions()
+
+
+def p5_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.FlatTables(load(spark, sf_dir, "final_payloads")).options()
+
+
+def p5_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.FlatTables(load(spark, sf_dir, "final_payloads")).sources()
+
+
+QUERIES |= {"p5_found": p5_found, "p5_questions": p5_questions, "p5_options": p5_options, "p5_sources": p5_sources}
