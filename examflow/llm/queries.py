@@ -6,7 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..common import first_delivery, load
-from . import charforms, leakage, neardup, pii, scannoise, tokenise
+from . import charforms, leakage, neardup, pii, scannoise, subjects, tokenise
+
+
+def _clean_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions whose stems are free of header and page-number lines."""
+    questions = first_delivery(load(spark, sf_dir, "questions").select("question_id", "upload_id", "subject", "stem"), "question_id")
+    forms = scannoise.margin_forms(load(spark, sf_dir, "text_blocks"), load(spark, sf_dir, "exams"))
+    rows = questions.select(F.lit("questions").alias("table_name"), F.col("question_id").alias("row_key"), F.col("stem").alias("text")).where("text is not null")
+    kept = scannoise.judged_lines(rows, forms).select(F.col("row_key").alias("question_id"), F.col("kept").alias("clean"))
+    return questions.join(kept, "question_id", "left").select("question_id", "upload_id", "subject", F.coalesce("clean", "stem").alias("stem"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The subject areas of every question."""
+    found = subjects.subject_areas(_clean_stems(spark, sf_dir), load(spark, sf_dir, "subject_labels"), load(spark, sf_dir, "subject_areas"))
+    return found.select("question_id", "area_code")
+
+
+def p1_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions of each area, and what decided."""
+    found = subjects.subject_areas(_clean_stems(spark, sf_dir), load(spark, sf_dir, "subject_labels"), load(spark, sf_dir, "subject_areas"))
+    return found.groupBy("area_code", "by").agg(F.count(F.lit(1)).alias("n_questions"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,5 +84,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(load(spark, sf_dir, "documents")).select("doc_id", "pii_type", "start_pos")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p4_groups": p4_groups, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p2_found": p2_found, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p4_groups": p4_groups, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 ORACLE_SQL: dict[str, str] = {}
