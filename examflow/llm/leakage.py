@@ -132,23 +132,27 @@ def remove_leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", te
     out = documents
     for block in _item_blocks(items, item_key, item_text):
         shared = documents.sparkSession.sparkContext.broadcast(block)
-
-        def cut(batches: Iterator[pa.Array], shared=shared) -> Iterator[pa.Array]:
-            index = _index(shared)
-            for batch in batches:
-                kept = []
-                for t in batch.to_pylist():
-                    if t and len(t) >= MIN_RUN:
-                        folded, places = folded_positions(t)
-                        spans = sorted((places[a], places[b - 1] + 1) for runs in index.runs(folded).values() for a, b in runs)
-                        left = []
-                        end = 0
-                        for a, b in spans:
-                            left.append(t[end:a])
-                            end = max(end, b)
-                        t = "".join(left) + t[end:]
-                    kept.append(t)
-                yield pa.array(kept, type=pa.string())
-
-        out = out.withColumn(text, F.arrow_udf(cut, "string")(F.col(f"`{text}`")))
+        out = out.withColumn(text, _cutter(shared)(F.col(f"`{text}`")))
     return out
+
+
+def _cutter(shared):
+    """UDF: the text without the spans that items of one block share with it."""
+
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = _index(shared)
+        for batch in batches:
+            kept = []
+            for t in batch.to_pylist():
+                if t and len(t) >= MIN_RUN:
+                    folded, places = folded_positions(t)
+                    spans = sorted((places[a], places[b - 1] + 1) for runs in index.runs(folded).values() for a, b in runs)
+                    left, end = [], 0
+                    for a, b in spans:
+                        left.append(t[end:a])
+                        end = max(end, b)
+                    t = "".join(left) + t[end:]
+                kept.append(t)
+            yield pa.array(kept, type=pa.string())
+
+    return F.arrow_udf(cut, "string")

@@ -5,17 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..common import first_delivery, load
+from ..common import load
 from . import charforms, leakage, neardup, pii, scannoise, subjects, tokenise
 
 
 def _clean_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions whose stems are free of header and page-number lines."""
-    questions = first_delivery(load(spark, sf_dir, "questions").select("question_id", "upload_id", "subject", "stem"), "question_id")
-    forms = scannoise.margin_forms(load(spark, sf_dir, "text_blocks"), load(spark, sf_dir, "exams"))
-    rows = questions.select(F.lit("questions").alias("table_name"), F.col("question_id").alias("row_key"), F.col("stem").alias("text")).where("text is not null")
-    kept = scannoise.judged_lines(rows, forms).select(F.col("row_key").alias("question_id"), F.col("kept").alias("clean"))
-    return questions.join(kept, "question_id", "left").select("question_id", "upload_id", "subject", F.coalesce("clean", "stem").alias("stem"))
+    questions = load(spark, sf_dir, "questions").select("question_id", "upload_id", "subject", "stem")
+    return scannoise.without_margins(questions, "question_id", "stem", load(spark, sf_dir, "text_blocks"), load(spark, sf_dir, "exams"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,8 +40,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scanned_rows(spark: SparkSession, sf_dir: str) -> scannoise.Repair:
     parts = []
     for table, key, text in (("questions", "question_id", "stem"), ("text_blocks", "block_id", "text"), ("questions_final", "qf_id", "content")):
-        rows = first_delivery(load(spark, sf_dir, table).select(key, text), key)
-        parts.append(rows.select(F.lit(table).alias("table_name"), F.col(key).alias("row_key"), F.col(text).alias("text")))
+        parts.append(load(spark, sf_dir, table).select(F.lit(table).alias("table_name"), F.col(key).alias("row_key"), F.col(text).alias("text")))
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return scannoise.Repair(rows, load(spark, sf_dir, "text_blocks"), load(spark, sf_dir, "exams"))
 

@@ -3,23 +3,30 @@
 Lines whose digit-masked form recurs in the page margins of several uploads, or is a known exam
 title, are headers; page numbers on a line of their own go too; words split by a hyphen at a line
 end are joined; words are grouped by confusable-glyph skeleton and a rare form gives way to a
-frequent form of its group which the neighbouring words support; the rest is reflowed.
+frequent form of its group which the neighbouring words support; the rest is reflowed with windows.
 
-Everything is counted over all rows of all tables given: nothing is sampled or capped. Words are
-counted after map-side aggregation; a skeleton group of Hangul holds at most the 28 values of one
-glyph part, so no group grows with the data.
+Everything is counted over all rows of all tables given: nothing is sampled or capped. The texts
+are passed over four times and never shuffled: each pass combines its counts within the partition
+and only these move. A skeleton group of Hangul holds at most the 28 values of one glyph part, so
+no group grows with the data. Sets sent to the executors are checked for size and sent in blocks
+of at most BLOCK_ENTRIES, one pass for each block, beyond it.
 
 Defined results: null and empty texts give no noise and stay as they are; repeated deliveries of
-a row are one row; a missing box or page height only means that the row teaches no margin line.
+a row are one row of the result (in the word counts they weigh as often as they were delivered);
+a missing box or page height only means that the row teaches no margin line.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..common import cut_lineage
-from .charforms import with_plain_form
+from .charforms import SUSPICIOUS, plain_form
 
 # Signs that end a split word, signs of unreadable characters, misread choice marks.
 HYPHENS = "\\-\u2010\u2011\u00ac\u00ad\u2212\u2013"
@@ -45,6 +52,20 @@ RATIO = 12
 PARTICLES = tuple("은는이가을를의에도로와과만")
 
 KINDS = ("hyphen", "misread", "header", "pageno")
+#: Entries of one set sent to the executors.
+BLOCK_ENTRIES = 500_000
+
+_LINE_END = re.compile("\r\n|\r|\n")
+_PAGE = re.compile(PAGE_NUMBER)
+_DIGITS, _BLANK = re.compile(r"\d+"), re.compile(r"\s+")
+_LEAD = re.compile(r"^[^\w#\[(]+")
+_SESSION = re.compile(r"^(?:#교시|무단복제금지)[^\w#]*")
+_FORM_LETTER = re.compile(r"\[[A-Z가-힣]형\]$")
+_SPLIT = re.compile(rf"(?<=[\w@{UNREADABLE}])[{HYPHENS}][ \t]*\n[ \t]*(?=[a-z가-힣0-9@{UNREADABLE}])")
+_TOKEN = re.compile(rf"[가-힣{UNREADABLE}]+|[A-Za-z0-9@{UNREADABLE}]*[A-Za-z][A-Za-z0-9@{UNREADABLE}]*|[0-9][0-9.,]*|[^\s]")
+_IS_WORD = re.compile(r"[가-힣]{2,}|[a-z0-9@]*[a-z][a-z0-9@]*")
+_PLAINLY = re.compile(rf"\w[{UNREADABLE}]|[{UNREADABLE}]\w|(?:^|\n)[ \t]*[{MISREAD_MARKS}][ \t]|(?<![@.\w])[A-Za-z]*[a-z][0-9@][a-z]")
+_SUSPICIOUS = re.compile(SUSPICIOUS)
 
 
 def line_form(line: Column) -> Column:
@@ -68,27 +89,78 @@ def margin_forms(blocks: DataFrame, exams: DataFrame | None = None) -> DataFrame
     return forms.distinct()
 
 
-def judged_lines(rows: DataFrame, forms: DataFrame) -> DataFrame:
-    """(table_name, row_key, kept, header, pageno): each row's text without header and page lines.
-
-    ``rows`` has table_name, row_key and text, one row for each key.
-    """
-    lines = rows.select("table_name", "row_key", F.posexplode(F.split("text", "\r\n|\r|\n")).alias("at", "line"))
-    lines = lines.withColumn("form", line_form(F.col("line")))
-    known = forms.select("form", F.lit(True).alias("known"))
-    lines = lines.join(known, "form", "left")
-    pageno = F.col("line").rlike(PAGE_NUMBER)
-    header = F.coalesce(F.col("known"), F.lit(False)) & ~pageno & (F.col("form") != "")
-    part = F.struct("at", "line", header.alias("header"), pageno.alias("pageno"))
-    held = lines.groupBy("table_name", "row_key").agg(F.array_sort(F.collect_list(part)).alias("parts"))
-    kept = F.filter("parts", lambda p: ~p.header & ~p.pageno & (F.trim(p.line) != ""))
-    return held.select(
-        "table_name",
-        "row_key",
-        F.array_join(F.transform(kept, lambda p: p.line), "\n").alias("kept"),
-        F.exists("parts", lambda p: p.header).alias("header"),
-        F.exists("parts", lambda p: p.pageno).alias("pageno"),
-    )
+def form_of(line: str) -> str:
+    """``line_form`` of one line."""
+    bare = _LEAD.sub("", _BLANK.sub("", _DIGITS.sub("#", line)))
+    return _FORM_LETTER.sub("", _SESSION.sub("", bare))
+
+
+class Judge:
+    """Judges the lines of a text by the header forms."""
+
+    def __init__(self, forms: set[str]):
+        self.forms = forms
+        self.longest = max(map(len, forms), default=0)
+
+    def lines(self, text: str) -> tuple[list[str], bool, bool]:
+        """The lines that are text; whether there was a header; whether there was a page number."""
+        if _SUSPICIOUS.search(text):
+            text = plain_form(text)[0]
+        kept, header, pageno = [], False, False
+        for line in _LINE_END.split(text) if "\n" in text or "\r" in text else (text,):
+            if len(line) < 12 and _PAGE.match(line):
+                pageno = True
+            elif len(line) <= 4 * self.longest + 8 and form_of(line) in self.forms:
+                header = True
+            elif line and not line.isspace():
+                kept.append(line)
+        return kept, header, pageno
+
+
+def join_split(kept: list[str]) -> str:
+    """Kept lines as one text in which words split at line ends are whole."""
+    text = "\n".join(kept)
+    return _SPLIT.sub("", text) if len(kept) > 1 else text
+
+
+def tokens_of(joined: str) -> list[str]:
+    """Words, numbers (as #) and signs in lower case."""
+    return ["#" if "0" <= t[0] <= "9" and not any(c.isalpha() for c in t) else t for t in _TOKEN.findall(joined.lower())]
+
+
+def _blocks(rows: DataFrame, *keys: str) -> Iterator[list]:
+    """Rows in blocks of at most about BLOCK_ENTRIES, by a hash of ``keys``."""
+    n = -(-rows.count() // BLOCK_ENTRIES)
+    for b in range(n):
+        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64(*keys), F.lit(n)) == b)
+        yield [tuple(r) for r in part.toLocalIterator()]
+
+
+def _counted(texts: DataFrame, judge, schema: str, emit) -> DataFrame:
+    """Counts of what ``emit`` yields for the tokens of each text, combined within each partition."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict = {}
+        lines = judge.value.lines
+
+        def flush():
+            keys = list(counts)
+            columns = [pa.array([k[i] for k in keys], pa.string()) for i in range(len(names))]
+            out = pa.RecordBatch.from_arrays([*columns, pa.array([counts[k] for k in keys], pa.int64())], names=[*names, "n"])
+            counts.clear()
+            return out
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if text:
+                    emit(tokens_of(join_split(lines(text)[0])), counts)
+            if len(counts) > 1_000_000:
+                yield flush()
+        yield flush()
+
+    parts = texts.mapInArrow(run, f"{schema}, n bigint")
+    return parts.groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 def latin_skeleton(word: Column) -> Column:
@@ -122,21 +194,8 @@ def stem(word: Column) -> Column:
     return F.regexp_replace(word, "(?<=[가-힣]{2})(?:으로|에서|에게|부터|까지|[은는이가을를의에도로와과만])+$", "")
 
 
-def word_places(joined: DataFrame) -> DataFrame:
-    """(table_name, row_key, left, word, right): every word with its neighbours, digits masked."""
-    tokens = F.regexp_extract_all(F.col("joined"), F.lit(rf"([가-힣{UNREADABLE}]+|[A-Za-z0-9@{UNREADABLE}]*[A-Za-z][A-Za-z0-9@{UNREADABLE}]*|[0-9][0-9.,]*|[^\s])"), F.lit(1))
-    tokens = F.transform(tokens, lambda t: F.when(t.rlike("^[0-9]"), F.when(t.rlike("[A-Za-z]"), F.lower(t)).otherwise(F.lit("#"))).otherwise(F.lower(t)))
-    held = joined.select("table_name", "row_key", tokens.alias("tokens"))
-    held = held.select("table_name", "row_key", "tokens", F.posexplode("tokens").alias("at", "word"))
-    get = lambda i: F.coalesce(F.get("tokens", i), F.lit(""))
-    return held.select("table_name", "row_key", get(F.col("at") - 1).alias("left"), "word", get(F.col("at") + 1).alias("right")).where(
-        F.col("word").rlike("^(?:[가-힣]{2,}|[a-z0-9@]*[a-z][a-z0-9@]*)$")
-    )
-
-
-def misread_words(places: DataFrame) -> DataFrame:
-    """(wrong, right): rare forms and the frequent form of their skeleton that the context supports."""
-    counts = places.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+def candidate_pairs(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From (word, n): Latin pairs (wrong, right), and Hangul pairs (wrong, right, n, m) still to be supported by context."""
     hangul = F.col("word").rlike("^[가-힣]")
     total = counts.agg(F.sum(F.when(hangul, F.col("n"))).alias("total"))
     counts = counts.crossJoin(F.broadcast(total)).withColumn("least", F.greatest(F.lit(MIN_FREQUENT), F.coalesce(F.col("total"), F.lit(0)) * MIN_SHARE)).drop("total")
@@ -155,83 +214,166 @@ def misread_words(places: DataFrame) -> DataFrame:
     # Two forms of one word that differ in a closing particle are both right.
     last = lambda c: F.substring(c, -1, 1)
     pairs = pairs.where((last("wrong") == last("right")) | ~last("wrong").isin(*PARTICLES) | ~last("right").isin(*PARTICLES))
-
     # A word of its own stands with many particles: the whole stem must be as rare.
     stems = ko.groupBy(stem(F.col("word")).alias("s")).agg(F.sum("n").alias("k"))
     pairs = pairs.join(stems.select(F.col("s").alias("s1"), F.col("k").alias("k1")), stem(F.col("wrong")) == F.col("s1"))
     pairs = pairs.join(stems.select(F.col("s").alias("s2"), F.col("k").alias("k2")), stem(F.col("right")) == F.col("s2"))
-    pairs = pairs.where(F.col("k2") >= RATIO * F.col("k1")).select("wrong", "right", "n", "m")
-
-    def shares(side: str) -> DataFrame:
-        """Of each pair: the share of the rare form's neighbours that the frequent form has too, and the frequent form's own share."""
-        seen = places.where(F.col("word").rlike("^[가-힣]")).groupBy("word", F.col(side).alias("x")).agg(F.count(F.lit(1)).alias("k"))
-        own = seen.groupBy(F.col("word").alias("right")).agg((F.sum(F.when(F.col("k") >= 2, F.col("k")).otherwise(0)) / F.sum("k")).alias(f"own_{side}"))
-        of_rare = pairs.join(seen.withColumnRenamed("word", "wrong"), "wrong")
-        of_often = seen.select(F.col("word").alias("right"), "x", F.col("k").alias("k2"))
-        met = of_rare.join(of_often, ["right", "x"], "left").groupBy("wrong", "right", "n", "m").agg((F.sum(F.when(F.col("k2") >= 1, F.col("k")).otherwise(0)) / F.sum("k")).alias(f"met_{side}"))
-        return met.join(own, "right")
-
-    both = shares("left").join(shares("right").drop("n", "m"), ["wrong", "right"])
-    near_left, near_right = F.col("met_left") / F.greatest("own_left", F.lit(0.01)), F.col("met_right") / F.greatest("own_right", F.lit(0.01))
-    many = (F.least(near_left, near_right) >= 0.25) & (F.greatest(near_left, near_right) >= 0.7)
-    few = F.col("met_left") + F.col("met_right") >= 0.6 * (F.col("own_left") + F.col("own_right"))
-    both = both.where(F.col("own_left") + F.col("own_right") >= 0.4).where(F.when(F.col("n") >= 4, many).otherwise(few))
-    ko_pairs = both.groupBy("wrong").agg(F.max_by("right", F.struct("m", "right")).alias("right"))
-    return latin_pairs.unionByName(ko_pairs)
+    return latin_pairs, pairs.where(F.col("k2") >= RATIO * F.col("k1")).select("wrong", "right", "n", "m")
 
 
 class Repair:
-    """Noise found in rows, and their repaired text. ``rows``: table_name, row_key, upload_id, text."""
+    """Noise found in rows, and their repaired text. ``rows``: table_name, row_key, text."""
 
     def __init__(self, rows: DataFrame, blocks: DataFrame, exams: DataFrame | None = None):
-        plain = with_plain_form(rows.where("text is not null and text <> ''"), "text", "text")
-        judged = judged_lines(plain, margin_forms(blocks, exams))
-        # Read by every later step: one reliable copy instead of computing it again for each.
-        self.lines = cut_lineage(judged.withColumn("joined", F.regexp_replace("kept", SPLIT_WORD, "")))
-        self.places = word_places(self.lines)
-        self.pairs = cut_lineage(misread_words(self.places))
-
-    def misread_rows(self) -> DataFrame:
-        """(table_name, row_key, fixes): rows holding a misread word and what it should be."""
-        hit = self.places.select("table_name", "row_key", F.col("word").alias("wrong")).join(self.pairs, "wrong").distinct()
-        return hit.groupBy("table_name", "row_key").agg(F.sort_array(F.collect_list(F.struct("wrong", "right"))).alias("fixes"))
+        self.rows = rows.where("text is not null and text <> ''").select("table_name", "row_key", "text")
+        context = rows.sparkSession.sparkContext
+        # Forms of headers: those of the margins of all uploads; a booklet has a few, and digits are masked.
+        forms = {f for block in _blocks(margin_forms(blocks, exams), "form") for (f,) in block}
+        self.judge = context.broadcast(Judge(forms))
+        self.texts = self.rows.select("text")
+        self.pairs = cut_lineage(self._pairs())
+
+    def _pairs(self) -> DataFrame:
+        """(wrong, right): rare forms and the frequent form of their skeleton that the context supports."""
+        spark = self.rows.sparkSession
+
+        def words(tokens: list[str], counts: dict) -> None:
+            for t in tokens:
+                if _IS_WORD.fullmatch(t):
+                    counts[(t,)] = counts.get((t,), 0) + 1
+
+        counts = cut_lineage(_counted(self.texts, self.judge, "word string", words))
+        latin, hangul = candidate_pairs(counts)
+        hangul = cut_lineage(hangul)
+
+        met = None
+        for block in _blocks(hangul, "wrong"):
+            partners: dict[str, list[str]] = {}
+            for wrong, right, _, _ in block:
+                partners.setdefault(wrong, []).append(right)
+            rare = spark.sparkContext.broadcast(partners)
+
+            def contexts(tokens: list[str], counts: dict, rare=rare) -> None:
+                sought = rare.value
+                for i, t in enumerate(tokens):
+                    if t in sought:
+                        for side, j in (("l", i - 1), ("r", i + 1)):
+                            key = (t, side, tokens[j] if 0 <= j < len(tokens) else "")
+                            counts[key] = counts.get(key, 0) + 1
+
+            seen = cut_lineage(_counted(self.texts, self.judge, "word string, side string, x string", contexts))
+            wanted = seen.join(hangul.select(F.col("wrong").alias("word"), "right"), "word").select("right", "side", "x").distinct()
+            for part in _blocks(wanted, "right", "side", "x"):
+                needed = spark.sparkContext.broadcast((frozenset(part), frozenset(r for r, _, _ in part)))
+
+                def support(tokens: list[str], counts: dict, needed=needed) -> None:
+                    wanted, heads = needed.value
+                    for i, t in enumerate(tokens):
+                        if t in heads:
+                            for side, j in (("l", i - 1), ("r", i + 1)):
+                                key = (t, side, tokens[j] if 0 <= j < len(tokens) else "")
+                                if key in wanted:
+                                    counts[key] = counts.get(key, 0) + 1
+
+                held = _counted(self.texts, self.judge, "right string, side string, x string", support).select("right", "side", "x")
+                at = seen.select(F.col("word").alias("wrong"), "side", "x", F.col("n").alias("k")).join(hangul.select("wrong", "right"), "wrong")
+                hit = at.join(held, ["right", "side", "x"]).groupBy("wrong", "right", "side").agg(F.sum("k").alias("k"))
+                met = hit if met is None else met.unionByName(hit)
+        if met is None:
+            return latin
+        share = lambda side: F.sum(F.when(F.col("side") == side, F.col("k")).otherwise(0))
+        sides = met.groupBy("wrong", "right").agg(share("l").alias("l"), share("r").alias("r")).join(hangul, ["wrong", "right"])
+        strong, weak = F.greatest("l", "r") / F.col("n"), F.least("l", "r") / F.col("n")
+        sides = sides.where((strong >= 0.6) & ((F.col("n") < 4) | (weak >= 0.08)))
+        return latin.unionByName(sides.groupBy("wrong").agg(F.max_by("right", F.struct("m", "right")).alias("right")))
+
+    def _fixes(self):
+        """Corrections for the executors, in blocks."""
+        for block in [*_blocks(self.pairs, "wrong")] or [[]]:
+            yield self.rows.sparkSession.sparkContext.broadcast(dict(block))
 
     def found(self) -> DataFrame:
         """(table_name, row_key, noise_kind)."""
-        plainly = (
-            F.col("joined").rlike(rf"[\p{{L}}\p{{N}}][{UNREADABLE}]|[{UNREADABLE}][\p{{L}}\p{{N}}]")
-            | F.col("joined").rlike(rf"(?:^|\n)[ \t]*[{MISREAD_MARKS}][ \t]")
-            | F.col("joined").rlike(r"(?<![@.\p{L}\p{N}])[A-Za-z]*[a-z][0-9@][a-z]+")
-        )
-        kinds = F.array_compact(
-            F.array(
-                F.when(F.col("joined") != F.col("kept"), F.lit("hyphen")),
-                F.when(plainly, F.lit("misread")),
-                F.when(F.col("header"), F.lit("header")),
-                F.when(F.col("pageno"), F.lit("pageno")),
-            )
-        )
-        seen = self.lines.select("table_name", "row_key", F.explode(kinds).alias("noise_kind"))
-        words = self.misread_rows().select("table_name", "row_key", F.lit("misread").alias("noise_kind"))
-        return seen.unionByName(words).distinct()
+        judge, key = self.judge, self.rows.schema["row_key"].dataType.simpleString()
+        out = None
+        for fixes in self._fixes():
+
+            def run(batches: Iterator[pa.RecordBatch], fixes=fixes) -> Iterator[pa.RecordBatch]:
+                lines, wrong = judge.value.lines, fixes.value
+                for batch in batches:
+                    at, kinds = [], []
+                    for i, text in enumerate(batch.column(2).to_pylist()):
+                        kept, header, pageno = lines(text)
+                        joined = join_split(kept)
+                        misread = _PLAINLY.search(joined) is not None or not wrong.keys().isdisjoint(tokens_of(joined))
+                        for kind, is_so in (("hyphen", len(kept) > 1 and joined.count("\n") < len(kept) - 1), ("misread", misread), ("header", header), ("pageno", pageno)):
+                            if is_so:
+                                at.append(i)
+                                kinds.append(kind)
+                    places = pa.array(at, pa.int64())
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(places), batch.column(1).take(places), pa.array(kinds, pa.string())], names=["table_name", "row_key", "noise_kind"])
+
+            part = self.rows.mapInArrow(run, f"table_name string, row_key {key}, noise_kind string")
+            out = part if out is None else out.unionByName(part)
+        return out.distinct()
+
+    def _corrected(self) -> DataFrame:
+        """(table_name, row_key, joined): whole words in their right forms, line by line."""
+        rows, judge = self.rows.dropDuplicates(["table_name", "row_key"]), self.judge
+        column = F.col("text")
+        for n, fixes in enumerate(self._fixes()):
+            column = _corrector(judge, fixes, n == 0)(column)
+        return rows.select("table_name", "row_key", column.alias("joined"))
 
     def repaired(self) -> DataFrame:
-        """(table_name, row_key, text): continuous text; a line break stays before choice marks only."""
+        """(table_name, row_key, text): continuous paragraphs, reflowed with windows over the lines.
+
+        A line starts a new paragraph if it starts with a choice mark (a misread mark gets the
+        number it must have) or an image token; every other line continues the one before.
+        """
+        lines = self._corrected().select("table_name", "row_key", F.posexplode(F.split("joined", "\n")).alias("at", "line"))
+        by_row = Window.partitionBy("table_name", "row_key").orderBy("at")
+        misread = F.col("line").rlike(rf"^\s*[{MISREAD_MARKS}]\s")
+        choice = misread | F.col("line").rlike(r"^\s*[①-⑩]")
+        lines = lines.withColumn("mark", F.sum(choice.cast("int")).over(by_row)).withColumn("starts", choice | F.col("line").rlike(r"^\s*\[image"))
         marks = F.array(*[F.lit(c) for c in "①②③④⑤⑥⑦⑧⑨⑩"])
-        held = self.lines.join(self.misread_rows(), ["table_name", "row_key"], "left")
-        fixed = F.aggregate(
-            F.coalesce("fixes", F.array().cast("array<struct<wrong:string,right:string>>")),
-            F.col("joined"),
-            lambda t, f: F.regexp_replace(t, F.concat(F.lit(r"(?i)(?<![가-힣A-Za-z0-9@])\Q"), f.wrong, F.lit(r"\E(?![A-Za-z0-9@])")), f.right),
-        )
-        lines = F.split(fixed, "\n")
-        lines = F.transform(
-            lines,
-            lambda line, i: F.when(
-                line.rlike(rf"^\s*[{MISREAD_MARKS}]\s"),
-                F.concat(F.get(marks, F.aggregate(F.slice(lines, F.lit(1), i), F.lit(0), lambda n, x: n + x.rlike(rf"^\s*[①-⑩{MISREAD_MARKS}]\s").cast("int"))), F.regexp_replace(line, rf"^\s*[{MISREAD_MARKS}]", "")),
-            ).otherwise(line),
-        )
-        text = F.regexp_replace(F.array_join(lines, "\n"), r"[ \t]*\n(?!\s*[①-⑩\[])[ \t]*", " ")
-        return held.select("table_name", "row_key", text.alias("text"))
+        mended = F.concat(F.coalesce(F.get(marks, F.col("mark") - 1), F.lit("")), F.regexp_replace("line", rf"^\s*[{MISREAD_MARKS}]", ""))
+        lines = lines.withColumn("line", F.trim(F.when(misread, mended).otherwise(F.col("line"))))
+        lines = lines.withColumn("paragraph", F.sum(F.col("starts").cast("int")).over(by_row))
+        parts = F.array_sort(F.collect_list(F.struct("at", "paragraph", "line")))
+        held = lines.groupBy("table_name", "row_key").agg(parts.alias("parts"))
+        numbers = F.array_distinct(F.transform("parts", lambda p: p.paragraph))
+        text = F.transform(numbers, lambda k: F.array_join(F.transform(F.filter("parts", lambda p: p.paragraph == k), lambda p: p.line), " "))
+        return held.select("table_name", "row_key", F.array_join(text, "\n").alias("text"))
+
+
+def _corrector(judge, fixes, first: bool):
+    """UDF: cleans lines (the first time) and puts words in their right forms."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        right = fixes.value
+
+        def better(m: re.Match) -> str:
+            word = right.get(m[0].lower())
+            return m[0] if word is None else word.capitalize() if m[0][:1].isupper() else word
+
+        for batch in batches:
+            texts = batch.to_pylist()
+            if first:
+                texts = [None if t is None else join_split(judge.value.lines(t)[0]) for t in texts]
+            yield pa.array([None if t is None else _TOKEN.sub(better, t) for t in texts], type=pa.string())
+
+    return F.arrow_udf(run, "string")
+
+
+def without_margins(rows: DataFrame, key: str, text: str, blocks: DataFrame, exams: DataFrame | None = None) -> DataFrame:
+    """``rows`` whose ``text`` has lost its header and page-number lines and whose split words are whole."""
+    forms = {f for block in _blocks(margin_forms(blocks, exams), "form") for (f,) in block}
+    judge = rows.sparkSession.sparkContext.broadcast(Judge(forms))
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lines = judge.value.lines
+        for batch in batches:
+            yield pa.array([join_split(lines(t)[0]) if t else t for t in batch.to_pylist()], type=pa.string())
 
+    return rows.withColumn(text, F.arrow_udf(run, "string")(F.col(f"`{text}`")))
