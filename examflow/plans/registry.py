@@ -5,16 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..common import load
-from ..operators import nested
+from ..functions import text as T
+from ..operators import nested, segment
+from . import exam
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(1)
+    """Lines to questions with stem, choices and confidence, one row for each question."""
+    questions = segment.build_questions(exam._lines(spark, sf_dir))
+    choices = T.first_of_each_number(T.split_choices(F.col("text")))
+    stem = T.collapse(T.stem_before_choices(F.col("text")))
+    out = questions.withColumn("choices", choices).withColumn("stem", stem)
+    return out.select("upload_id", "question_number", "stem", "choices", "first_page", "last_page", T.confidence(F.col("stem"), F.size("choices"), F.lit(None).cast("string"), F.col("text")).alias("confidence"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,4 +42,6 @@ def p5_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.FlatTables(load(spark, sf_dir, "final_payloads")).sources()
 
 
+QUERIES |= exam.QUERIES
+ORACLE_SQL |= exam.ORACLE_SQL
 QUERIES |= {"p5_found": p5_found, "p5_questions": p5_questions, "p5_options": p5_options, "p5_sources": p5_sources}
