@@ -17,8 +17,6 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..common import first_delivery
-
 # Names of one field, the first of those present wins.
 OPTION_NAMES = ("options", "choices")
 IMAGE_NAMES = ("images", "assets")
@@ -133,32 +131,33 @@ class FlatTables:
         # JSON allows a key to stand twice; the last one counts.
         payloads.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
         depth = list_depth(schema or merged_schema(payloads, payload), "questions")
-        rows = first_delivery(payloads.select(F.col(key).alias("record_key"), F.col(payload).alias("payload")), "record_key")
-        parsed = rows.select("record_key", parse(F.col("payload")).alias("v")).where("v is not null")
+        # Repeated deliveries are dropped from the narrow child rows by their keys, so payloads are never shuffled.
+        parsed = payloads.select(F.col(key).alias("record_key"), parse(F.col(payload)).alias("v")).where("v is not null")
         listed = parsed.select("record_key", F.posexplode(lists_below(F.col("v"), "questions", depth)).alias("at", "e"))
         self._questions = listed.select("record_key", (F.col("at") + 1).alias("question_pos"), unwrap(F.col("e.item")).alias("q")).withColumn("question_key", _key("record_key", "question_pos"))
         options = self._questions.select("record_key", "question_key", "question_pos", F.explode(as_list(field(F.col("q"), OPTION_NAMES))).alias("e"))
         self._options = options.select("record_key", "question_key", "question_pos", F.col("e.ordinal").alias("option_pos"), unwrap(F.col("e.item")).alias("o")).withColumn("option_key", _key("question_key", "option_pos"))
 
     def questions(self) -> DataFrame:
-        return self._questions.select("question_key", "record_key", "question_pos", text_of(F.col("q"), TEXT_NAMES).alias("content"), F.try_variant_get("q", "$.hint_explanation", "string").alias("hint_explanation"))
+        rows = self._questions.select("question_key", "record_key", "question_pos", text_of(F.col("q"), TEXT_NAMES).alias("content"), F.try_variant_get("q", "$.hint_explanation", "string").alias("hint_explanation"))
+        return rows.dropDuplicates(["question_key"])
 
     def options(self) -> DataFrame:
         o = F.col("o")
         return self._options.where("not is_variant_null(o)").select(
             "option_key", "question_key", "record_key", "question_pos", "option_pos", number_of(o).alias("number"), text_of(o, TEXT_NAMES).alias("content"),
             F.try_variant_get(o, "$.is_correct", "boolean").alias("is_correct"), F.try_variant_get(o, "$.option_explanation", "string").alias("option_explanation"),
-        )
+        ).dropDuplicates(["option_key"])
 
     def images(self) -> DataFrame:
         """Images of questions (option_pos 0) and of options."""
-        q = self._questions.select("record_key", F.col("question_key").alias("parent_key"), "question_pos", F.lit(0).alias("option_pos"), as_list(field(F.col("q"), IMAGE_NAMES)).alias("list"))
+        q = self._questions.select("record_key", F.col("question_key").alias("parent_key"), "question_pos", F.lit(0).alias("option_pos"), F.lit(0).alias("single"), as_list(field(F.col("q"), IMAGE_NAMES)).alias("list"))
         base = self._options.select("record_key", F.col("option_key").alias("parent_key"), "question_pos", "option_pos", "o")
-        o = base.select("record_key", "parent_key", "question_pos", "option_pos", as_list(field(F.col("o"), IMAGE_NAMES)).alias("list"))
-        one = base.select("record_key", "parent_key", "question_pos", "option_pos", as_list(F.try_variant_get("o", "$.image", "variant")).alias("list"))
-        rows = q.unionByName(o).unionByName(one).select("record_key", "parent_key", "question_pos", "option_pos", F.explode("list").alias("e"))
-        rows = rows.select("record_key", "parent_key", "question_pos", "option_pos", F.col("e.ordinal").alias("image_pos"), unwrap(F.col("e.item")).alias("i"))
-        rows = rows.where(F.schema_of_variant("i").startswith("OBJECT"))
+        o = base.select("record_key", "parent_key", "question_pos", "option_pos", F.lit(0).alias("single"), as_list(field(F.col("o"), IMAGE_NAMES)).alias("list"))
+        one = base.select("record_key", "parent_key", "question_pos", "option_pos", F.lit(1).alias("single"), as_list(F.try_variant_get("o", "$.image", "variant")).alias("list"))
+        rows = q.unionByName(o).unionByName(one).select("record_key", "parent_key", "question_pos", "option_pos", "single", F.explode("list").alias("e"))
+        rows = rows.select("record_key", "parent_key", "question_pos", "option_pos", "single", F.col("e.ordinal").alias("image_pos"), unwrap(F.col("e.item")).alias("i"))
+        rows = rows.where(F.schema_of_variant("i").startswith("OBJECT")).dropDuplicates(["parent_key", "single", "image_pos"])
         return rows.select("record_key", "parent_key", "question_pos", "option_pos", "image_pos", *[F.try_variant_get("i", f"$.{n}", "string").alias(n) for n in ("image_id", "image_name", "image_caption")])
 
     def sources(self) -> DataFrame:
@@ -169,12 +168,12 @@ class FlatTables:
         return s.select(
             "question_key", "record_key", "question_pos", F.when(kind == "STRING", get("$", "string")).alias("source_text"), get("$.exam.exam_id", "string").alias("exam_id"),
             get("$.exam.title", "string").alias("title"), get("$.question_no", "int").alias("question_no"), get("$.subject.name", "string").alias("subject"),
-        )
+        ).dropDuplicates(["question_key"])
 
     def source_pages(self) -> DataFrame:
         """Pages named by a source object."""
         s = self._questions.select("question_key", F.explode(as_list(F.try_variant_get("q", "$.question_source.pages", "variant"))).alias("e"))
-        return s.select("question_key", F.col("e.ordinal").alias("page_pos"), F.try_variant_get("e.item", "$.page", "int").alias("page"), F.try_variant_get("e.item", "$.column", "string").alias("page_column"))
+        return s.select("question_key", F.col("e.ordinal").alias("page_pos"), F.try_variant_get("e.item", "$.page", "int").alias("page"), F.try_variant_get("e.item", "$.column", "string").alias("page_column")).dropDuplicates(["question_key", "page_pos"])
 
 
 def _key(parent: str, ordinal: str) -> Column:
@@ -183,10 +182,10 @@ def _key(parent: str, ordinal: str) -> Column:
 
 def typed_images(finals: DataFrame, key: str = "qf_id") -> DataFrame:
     """Images nested in questions_final: of the question itself (option_pos 0) and of its options."""
-    rows = first_delivery(finals.select(F.col(key).alias("record_key"), "images", "options"), "record_key")
+    rows = finals.select(F.col(key).alias("record_key"), "images", "options")
     own = rows.select("record_key", F.lit(0).alias("option_pos"), F.posexplode("images").alias("at", "i"))
     opts = rows.select("record_key", F.posexplode("options").alias("at", "o")).select("record_key", (F.col("at") + 1).alias("option_pos"), F.posexplode("o.images").alias("at", "i"))
-    both = own.unionByName(opts).where("i is not null")
+    both = own.unionByName(opts).where("i is not null").dropDuplicates(["record_key", "option_pos", "at"])
     return both.select("record_key", F.lit(1).alias("question_pos"), "option_pos", (F.col("at") + 1).alias("image_pos"), "i.image_id", "i.image_name", "i.image_caption")
 
 
