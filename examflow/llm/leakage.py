@@ -11,6 +11,7 @@ or an item delivered twice, gives one row; extra columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -59,25 +60,26 @@ class ItemIndex:
         return found
 
 
-_INDEXES: dict[int, ItemIndex] = {}
+_INDEXES: dict[str, ItemIndex] = {}
 
 
 def _index(shared) -> ItemIndex:
-    key = shared.id if hasattr(shared, "id") else id(shared)
-    if key not in _INDEXES:
+    """The index of one broadcast block, built once in each worker."""
+    token, items = shared.value
+    if token not in _INDEXES:
         _INDEXES.clear()
-        _INDEXES[key] = ItemIndex(shared.value)
-    return _INDEXES[key]
+        _INDEXES[token] = ItemIndex(items)
+    return _INDEXES[token]
 
 
 def _item_blocks(items: DataFrame, key: str, text: str):
-    """Items in blocks of bounded size, each small enough to broadcast."""
+    """Items in blocks of bounded size, each small enough to broadcast, with a token of its own."""
     held = items.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).where("k is not null and t is not null")
     size = held.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     for b in range(blocks):
         part = held if blocks == 1 else held.where(F.pmod(F.xxhash64("k"), F.lit(blocks)) == b)
-        yield [(r.k, r.t) for r in part.toLocalIterator()]
+        yield uuid.uuid4().hex, [(r.k, r.t) for r in part.toLocalIterator()]
 
 
 def leaked_items(
