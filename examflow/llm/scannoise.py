@@ -81,8 +81,8 @@ def margin_forms(blocks: DataFrame, exams: DataFrame | None = None) -> DataFrame
     height = F.coalesce(F.col("page_height"), F.lit(841.9))
     edge = (F.col("bbox.y0") < MARGIN * height) | (F.col("bbox.y0") > (1 - MARGIN) * height)
     lines = blocks.where(edge & (F.col("bbox.y0") >= 0)).select("upload_id", F.explode(F.split("text", "\r\n|\r|\n")).alias("line"))
-    lines = lines.where(~F.col("line").rlike(PAGE_NUMBER) & F.col("line").rlike(r"\p{L}{2}"))
-    forms = lines.select("upload_id", line_form(F.col("line")).alias("form")).distinct().groupBy("form").count()
+    lines = lines.where(~F.col("line").rlike(PAGE_NUMBER)).select("upload_id", line_form(F.col("line")).alias("form"))
+    forms = lines.where(F.col("form").rlike(r"\p{L}{2}")).distinct().groupBy("form").count()
     forms = forms.where(F.col("count") >= MIN_UPLOADS).select("form")
     if exams is not None:
         forms = forms.unionByName(exams.select(line_form(F.col("title")).alias("form")).where("form <> ''"))
@@ -166,7 +166,7 @@ def _counted(texts: DataFrame, judge, schema: str, emit) -> DataFrame:
 def latin_skeleton(word: Column) -> Column:
     """One skeleton for Latin words whose glyphs are easily confused."""
     w = F.lower(word)
-    for a, b in (("l1", "h"), ("li", "h"), ("rn", "m"), ("cl", "d"), ("vv", "w")):
+    for a, b in (("l1", "h"), ("li", "h"), ("rn", "m"), ("vv", "w")):
         w = F.replace(w, F.lit(a), F.lit(b))
     return F.translate(w, "01i59@6c", "ollsgabe")
 
