@@ -81,4 +81,32 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p2_found": p2_found, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p4_groups": p4_groups, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _sql_different(x: str) -> str:
+    """Whether a text of the exam tables differs from its plain form."""
+    looks, cyrillic = "".join(charforms.LOOKS), "".join(charforms.CYRILLIC_LOOKS)
+    return (
+        f"(regexp_matches({x}, '[{charforms.INVISIBLE}{charforms.SPACES}！-\uffee]') OR nfc_normalize({x}) <> {x}"
+        f" OR regexp_matches({x}, '[A-Za-zÀ-ɏ][{looks}]|[{looks}][A-Za-zÀ-ɏ]|[{cyrillic}]'))"
+    )
+
+
+def _sql_folded(x: str) -> str:
+    """Letters and digits of a text in one form and lower case."""
+    wide = "".join(chr(c) for c in range(0xFF10, 0xFF5B)), "".join(chr(c - 0xFEE0) for c in range(0xFF10, 0xFF5B)).replace("'", "''")
+    looks = "".join(charforms.LOOKS), "".join(charforms.LOOKS.values())
+    return f"lower(regexp_replace(translate(translate(nfc_normalize(regexp_replace({x}, '[{charforms.INVISIBLE}]', '', 'g')), '{wide[0]}', '{wide[1]}'), '{looks[0]}', '{looks[1]}'), '[^\\p{{L}}\\p{{Nd}}]', '', 'g'))"
+
+
+ORACLE_SQL: dict[str, str] = {
+    "p2_found": " UNION ".join(
+        f"SELECT '{table}' AS table_name, {key} AS row_key FROM {table} WHERE {_sql_different(text)}"
+        for table, key, text in (("text_lines", "line_id", "text"), ("choices", "choice_id", "text"), ("questions_final", "qf_id", "content"))
+    ),
+    "p7_found": f"""WITH i AS (SELECT item_id, {_sql_folded("item_text")} AS t FROM eval_items WHERE item_text IS NOT NULL),
+d AS (SELECT doc_id, {_sql_folded("text")} AS t FROM documents WHERE text IS NOT NULL),
+iw AS (SELECT DISTINCT item_id, substr(t, a, 40) AS w FROM (SELECT item_id, t, unnest(range(1, length(t) - 38)) AS a FROM i)),
+dw AS (SELECT DISTINCT doc_id, substr(t, a, 40) AS w FROM (SELECT doc_id, t, unnest(range(1, length(t) - 38)) AS a FROM d))
+SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (w)""",
+}
