@@ -45,3 +45,38 @@ def p5_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES |= exam.QUERIES
 ORACLE_SQL |= exam.ORACLE_SQL
 QUERIES |= {"p5_found": p5_found, "p5_questions": p5_questions, "p5_options": p5_options, "p5_sources": p5_sources}
+
+
+def _sql_unwrap(x: str) -> str:
+    return f"CASE WHEN json_type({x}) = 'VARCHAR' AND json_valid({x} ->> '$') THEN CAST({x} ->> '$' AS JSON) ELSE {x} END"
+
+
+def _sql_list(x: str) -> str:
+    """An array or an object keyed by numbers as it is, any other object as the only element of an array."""
+    return f"CASE WHEN json_type({x}) = 'OBJECT' AND len(list_filter(json_keys({x}), lambda k: NOT regexp_full_match(k, '[0-9]+'))) > 0 THEN json_array({x}) WHEN json_type({x}) IN ('ARRAY', 'OBJECT') THEN {x} END"
+
+
+def _sql_field(x: str, *names: str) -> str:
+    return "coalesce(" + ", ".join(f"CASE WHEN json_type({x} -> '$.{n}') <> 'NULL' THEN {x} -> '$.{n}' END" for n in names) + ")"
+
+
+def _sql_place(kind: str) -> str:
+    return f"CASE WHEN json_type({kind}) = 'ARRAY' THEN CAST(e.key AS INT) + 1 ELSE CAST(e.key AS INT) END"
+
+
+ORACLE_SQL["p5_found"] = f"""
+WITH p AS (SELECT record_id, CAST(payload AS JSON) AS j FROM {exam.once('final_payloads', 'record_id')} WHERE json_valid(payload)),
+s AS (SELECT record_id, 0 AS part, {_sql_unwrap("j -> '$.questions'")} AS l FROM p UNION ALL SELECT record_id, 0, {_sql_unwrap("j -> '$.result.questions'")} FROM p
+ UNION ALL SELECT record_id, CAST(e.key AS INT), {_sql_unwrap("e.value -> '$.questions'")} FROM p, json_each(p.j, '$.sections') e),
+q0 AS (SELECT record_id, part, CAST(e.key AS INT) AS pos_, e.value AS v FROM s, json_each(s.l) e WHERE json_type(l) = 'ARRAY'),
+q AS (SELECT record_id, row_number() OVER (PARTITION BY record_id ORDER BY part, pos_) AS question_pos, v FROM q0),
+o0 AS (SELECT record_id, question_pos, {_sql_unwrap('x')} AS x FROM (SELECT *, {_sql_field('v', 'options', 'choices')} AS x FROM q)),
+o1 AS (SELECT record_id, question_pos, {_sql_list('x')} AS x FROM o0),
+o AS (SELECT record_id, question_pos, {_sql_place('x')} AS option_pos, e.value AS v FROM o1, json_each(o1.x) e WHERE x IS NOT NULL),
+l0 AS (SELECT record_id, question_pos, 0 AS option_pos, {_sql_field('v', 'images', 'assets')} AS x FROM q UNION ALL SELECT record_id, question_pos, option_pos, {_sql_field('v', 'images', 'assets')} FROM o WHERE json_type(v) = 'OBJECT' UNION ALL SELECT record_id, question_pos, option_pos, v -> '$.image' FROM o WHERE json_type(v) = 'OBJECT'),
+l1 AS (SELECT record_id, question_pos, option_pos, {_sql_unwrap('x')} AS x FROM l0 WHERE x IS NOT NULL), l AS (SELECT record_id, question_pos, option_pos, {_sql_list('x')} AS x FROM l1),
+i AS (SELECT record_id, question_pos, option_pos, {_sql_place('x')} AS image_pos, {_sql_unwrap('e.value')} AS v FROM l, json_each(l.x) e WHERE x IS NOT NULL),
+f AS (SELECT * FROM {exam.once('questions_final', 'qf_id')}), fo AS (SELECT qf_id, generate_subscripts(options, 1) AS option_pos, unnest(options) AS o FROM f),
+fi AS (SELECT qf_id, 0 AS option_pos, generate_subscripts(images, 1) AS image_pos, unnest(images) AS v FROM f UNION ALL SELECT qf_id, option_pos, generate_subscripts(o.images, 1), unnest(o.images) FROM fo WHERE o IS NOT NULL)
+SELECT 'final_payloads' AS table_name, record_id AS record_key, CAST(question_pos AS INT) AS question_pos, CAST(option_pos AS INT) AS option_pos, CAST(image_pos AS INT) AS image_pos FROM i WHERE json_type(v) = 'OBJECT'
+UNION ALL SELECT 'questions_final', qf_id, 1, CAST(option_pos AS INT), CAST(image_pos AS INT) FROM fi WHERE v IS NOT NULL"""
