@@ -52,6 +52,8 @@ RATIO = 12
 PARTICLES = tuple("은는이가을를의에도로와과만")
 
 KINDS = ("hyphen", "misread", "header", "pageno")
+#: Counts a worker holds before it passes them on (a memory bound: sums are completed by the shuffle).
+HELD_COUNTS = 300_000
 #: Entries of one set sent to the executors.
 BLOCK_ENTRIES = 500_000
 
@@ -155,7 +157,7 @@ def _counted(texts: DataFrame, judge, schema: str, emit) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 if text:
                     emit(tokens_of(join_split(lines(text)[0])), counts)
-            if len(counts) > 1_000_000:
+            if len(counts) > HELD_COUNTS:
                 yield flush()
         yield flush()
 
