@@ -150,3 +150,120 @@ def sparse_scores(df: DataFrame, keys: list[str], text: str) -> DataFrame:
 
     row = T.sparse_row(F.col(text))
     return df.groupBy(*keys).agg(F.max_by(row, T.sparse_score(row)).alias("best_text"))
+
+
+def binarised(df: DataFrame, key: str, threshold: int, scale: int = 1) -> DataFrame:
+    """(key, w, h, data): pixels under the threshold are black, others white, each ``scale`` times as large."""
+    schema = f"{key} {df.schema[key].dataType.simpleString()}, w int, h int, data binary"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import numpy as np
+
+        for f in frames:
+            out = []
+            for w, h, data in zip(f["w"], f["h"], f["data"]):
+                a = np.where(_array(w, h, data) < threshold, 0, 255).astype("uint8")
+                out.append(np.repeat(np.repeat(a, scale, 0), scale, 1).tobytes())
+            yield pd.DataFrame({key: f[key], "w": f["w"] * scale, "h": f["h"] * scale, "data": out})
+
+    return df.select(key, "w", "h", "data").mapInPandas(run, schema)
+
+
+def row_statistics(df: DataFrame, key: str, columns: bool = False) -> DataFrame:
+    """(key, position, pixels): grey values of every row (or column), for ``layout.pixel_stats``."""
+    schema = f"{key} {df.schema[key].dataType.simpleString()}, position int, pixels array<double>"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for k, w, h, data in zip(f[key], f["w"], f["h"], f["data"]):
+                a = _array(w, h, data)
+                rows += [(k, i, r.astype("float64")) for i, r in enumerate(a.T if columns else a)]
+            yield pd.DataFrame(rows, columns=[key, "position", "pixels"])
+
+    return df.select(key, "w", "h", "data").mapInPandas(run, schema)
+
+
+def symbol_mask(df: DataFrame, key: str, threshold: int = 210) -> DataFrame:
+    """(key, mask): dark parts of a table cell from left to right as ``#``, comma or dot; empty without ``#``.
+
+    Tall parts are signs, small ones are commas in the lower and dots in the upper part of the cell;
+    rules, frames and specks are none of these. Pixels count as four by four.
+    """
+    schema = f"{key} {df.schema[key].dataType.simpleString()}, mask string"
+
+    def sign(y0, y1, x0, x1, n, w, h):
+        ph, pw = y1 - y0 + 1, x1 - x0 + 1
+        if n < 12 or pw > w * 0.9 or ph > h * 0.9 or (ph <= max(3, int(h * 0.08)) and pw >= int(w * 0.5)):
+            return None
+        if ph >= int(h * 0.30) and pw >= int(w * 0.05):
+            return "#"
+        if ph <= int(h * 0.24) and pw <= int(w * 0.10):
+            return "," if (y0 + y1) / 2 >= h * 0.55 else "."
+        return None
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import numpy as np
+
+        for f in frames:
+            masks = []
+            for w, h, data in zip(f["w"], f["h"], f["data"]):
+                labels, names = components(_array(w, h, data) < threshold)
+                parts = []
+                for name in names:
+                    ys, xs = np.nonzero(labels == name)
+                    y0, y1, x0, x1 = ys.min() * 4, ys.max() * 4 + 3, xs.min() * 4, xs.max() * 4 + 3
+                    s = sign(y0, y1, x0, x1, len(xs) * 16, w * 4, h * 4)
+                    if s:
+                        parts.append(((x0 + x1) / 2, s))
+                mask = "".join(s for _, s in sorted(parts, key=lambda p: p[0]))
+                masks.append(mask if "#" in mask else "")
+            yield pd.DataFrame({key: f[key], "mask": masks})
+
+    return df.select(key, "w", "h", "data").mapInPandas(run, schema)
+
+
+def trimmed(df: DataFrame, key: str, trims: DataFrame) -> DataFrame:
+    """(key, w, h, data, trimmed): rasters without ``top``, ``bottom``, ``left`` and ``right`` pixels of rules.
+
+    Rasters that would be under 10 high or 20 wide stay. The trims come from ``segment.prefix_run``
+    over rule-like rows and columns.
+    """
+    schema = f"{key} {df.schema[key].dataType.simpleString()}, w int, h int, data binary, trimmed boolean"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for k, w, h, data, t, b, le, r in zip(f[key], f["w"], f["h"], f["data"], f["top"], f["bottom"], f["left"], f["right"]):
+                fits = h - t - b >= 10 and w - le - r >= 20 and t + b + le + r > 0
+                a = _array(w, h, data)
+                a = a[t : h - b, le : w - r] if fits else a
+                rows.append((k, a.shape[1], a.shape[0], a.tobytes(), fits))
+            yield pd.DataFrame(rows, columns=[key, "w", "h", "data", "trimmed"])
+
+    joined = df.join(trims, key, "left").fillna(0, ["top", "bottom", "left", "right"])
+    return joined.select(key, "w", "h", "data", "top", "bottom", "left", "right").mapInPandas(run, schema)
+
+
+def reading_variants(df: DataFrame, key: str, separator: str | None = None) -> DataFrame:
+    """(key, variant, w, h, data): the whole raster, and two halves of wide ones (8 % shared) or either side of a separator."""
+    schema = f"{key} {df.schema[key].dataType.simpleString()}, variant int, w int, h int, data binary"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for values in f.itertuples(index=False):
+                k, w, h, data = values[:4]
+                a = _array(w, h, data)
+                at = values[4] if separator else None
+                parts = [a]
+                if at is not None and at == at:
+                    gap = max(8, int(w * 0.015))
+                    parts += [a[:, : max(1, int(at) - gap)], a[:, min(w - 1, int(at) + gap) :]]
+                elif w >= 1000:
+                    over = int(w * 0.08)
+                    parts += [a[:, : w // 2 + over], a[:, w // 2 - over :]]
+                rows += [(k, i, p.shape[1], p.shape[0], p.tobytes()) for i, p in enumerate(parts)]
+            yield pd.DataFrame(rows, columns=[key, "variant", "w", "h", "data"])
+
+    return df.select(key, "w", "h", "data", *([separator] if separator else [])).mapInPandas(run, schema)
