@@ -28,6 +28,8 @@ NUMERATOR, DENOMINATOR = 1, 2
 K = 3
 #: Records in one block of one column of the incidence matrix.
 BLOCK = 2000
+#: Records of one text that are still paired with each other.
+FULL_COPIES = 300
 _SEPARATOR = "\u001e"
 
 
@@ -105,10 +107,19 @@ class NearDuplicates:
         return similar_classes(self.sets)
 
     def pairs(self) -> DataFrame:
-        """(key_a, key_b), key_a < key_b: every two records of the required similarity."""
-        between = self.links().select("a", "b").unionByName(self.members.groupBy("class_id").count().where("count > 1").select(F.col("class_id").alias("a"), F.col("class_id").alias("b")))
+        """(key_a, key_b), key_a < key_b: every two records of the required similarity.
+
+        Records of different texts are all paired. Records of one text are all paired up to
+        FULL_COPIES of them; a larger class of equal records is a star around its least key, which
+        names every copy once instead of the square of their number.
+        """
+        sizes = self.members.groupBy("class_id").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        alike = sizes.select(F.col("class_id").alias("a"), F.col("class_id").alias("b"), "size")
+        between = self.links().select("a", "b", F.lit(0).cast("bigint").alias("size")).unionByName(alike.where(F.col("size") <= FULL_COPIES))
         of = lambda c, k: self.members.select(F.col("class_id").alias(c), F.col(self.key).alias(k))
         rows = between.join(of("a", "p"), "a").join(of("b", "q"), "b").where((F.col("a") != F.col("b")) | (F.col("p") < F.col("q")))
+        stars = self.members.join(sizes.where(F.col("size") > FULL_COPIES), "class_id").where(F.col(self.key) != F.col("class_id"))
+        rows = rows.select("p", "q").unionByName(stars.select(F.col("class_id").alias("p"), F.col(self.key).alias("q")))
         return rows.select(F.least("p", "q").alias(f"{self.key}_a"), F.greatest("p", "q").alias(f"{self.key}_b"))
 
     def groups(self) -> DataFrame:

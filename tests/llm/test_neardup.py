@@ -74,3 +74,10 @@ def test_long_chain_of_labels(spark):
     chain = [(i, i + 1) for i in range(40)]
     edges = spark.createDataFrame(chain + [(b, a) for a, b in chain], "a long, b long")
     assert {r.label for r in N.connected_labels(edges).collect()} == {0}
+
+
+def test_many_copies_are_a_star(spark, monkeypatch):
+    monkeypatch.setattr(N, "FULL_COPIES", 3)
+    df = spark.createDataFrame([(i, "a b c d", None) for i in range(5)] + [(9, "a b c e", None), (10, "x y", None), (11, "x y", None)], f"qf_id long, content string, options {OPTION}")
+    got = {tuple(r) for r in N.NearDuplicates(df).pairs().collect()}
+    assert got == {(0, i) for i in range(1, 5)} | {(i, 9) for i in range(5)} | {(10, 11)}
