@@ -15,7 +15,7 @@ DROPPED = ("header", "footer", "caption")
 MARK = "[①-⑩]"
 
 
-def flatten(docs: DataFrame, doc: str, raw: str, max_depth: int = 12) -> DataFrame:
+def flatten(docs: DataFrame, doc: str, raw: str, max_depth: int = 8) -> DataFrame:
     """Every node of each tree: doc, path, parent_path, role, and the fields of the node.
 
     Level by level: each level explodes ``kids`` and ``list items`` of the one before, so a level is

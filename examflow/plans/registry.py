@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..common import load
 from ..functions import text as T
 from ..operators import nested, segment
-from . import exam
+from . import exam, pipelines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -42,6 +42,28 @@ def p5_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.FlatTables(load(spark, sf_dir, "final_payloads")).sources()
 
 
+def exam_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole papers parsed from lines and blocks."""
+    return pipelines.parse_exam(exam._lines(spark, sf_dir), exam._blocks(spark, sf_dir))
+
+
+def tree_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Element trees as Markdown."""
+    return pipelines.to_markdown(exam._trees(spark, sf_dir), "upload_id", "raw", 6)
+
+
+def repaired_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page columns made safe by the question starts."""
+    from ..operators import columns, layout
+
+    blocks, lines = exam._blocks(spark, sf_dir), exam._lines(spark, sf_dir)
+    pages = layout.columns_by_centres(blocks, ["upload_id", "page"])
+    centres = columns.start_centres(lines.withColumnRenamed("page_number", "page"), ["upload_id", "page"])
+    pages = pages.join(centres, ["upload_id", "page"], "left").withColumn("centres", F.coalesce("centres", F.array().cast("array<double>")))
+    return columns.repaired_columns(pages.withColumn("separator", F.lit(None).cast("double"))).drop("centres", "separator")
+
+
+QUERIES |= {"exam_results": exam_results, "tree_markdown": tree_markdown, "repaired_columns": repaired_columns}
 QUERIES |= exam.QUERIES
 ORACLE_SQL |= exam.ORACLE_SQL
 QUERIES |= {"p5_found": p5_found, "p5_questions": p5_questions, "p5_options": p5_options, "p5_sources": p5_sources}

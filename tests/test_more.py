@@ -78,3 +78,20 @@ def test_symbols_trims_and_statistics(spark):
     assert raster.reading_variants(df, "k").count() == 1
     runs = segment.runs(spark.createDataFrame([(1, i) for i in (3, 4, 5, 9, 20, 21, 22)], "k int, p int"), ["k"], "p")
     assert columns.separator_of_runs(runs, ["k"]).first().separator == 4.0
+
+
+def test_pipelines(spark, tmp_path):
+    import json
+
+    from examflow.plans import pipelines
+
+    lines = [(1, i, 1, 0, t, (x, float(i), 90.0, i + 1.0)) for i, (t, x) in enumerate([("2과목 : 데이터", 10.0), ("1. 다음 중", 10.0), ("① 가 ② 나 ③ 다 ④ 라", 14.0), ("30 대의 표", 60.0), ("2. 둘째", 10.0)])]
+    df = spark.createDataFrame(lines, f"upload_id long, seq int, page_number int, column_index int, text string, bbox {BOX}")
+    blocks = spark.createDataFrame([(1, 1, "1 2 3 4\n② ① ③ ④")], "block_id long, upload_id long, text string")
+    got = pipelines.parse_exam(df, blocks).orderBy("question_no").collect()
+    assert [(r.question_no, r.subject, r.answer, len(r.choices)) for r in got] == [(1, "데이터", "②", 4), (2, "데이터", "①", 0)]
+    tree = spark.createDataFrame([(1, json.dumps({"kids": [{"type": "heading", "content": "제목", "heading level": 1}, {"type": "paragraph", "content": "본문"}]}))], "d int, raw string")
+    assert pipelines.to_markdown(tree, "d", "raw").first().markdown == "# 제목\n본문"
+    words = spark.createDataFrame([(1, 1, (10.0, 300.0, 20.0, 308.0), "1."), (1, 1, (25.0, 301.0, 60.0, 308.0), "가"), (1, 2, (10.0, 300.0, 20.0, 308.0), "2.")], f"d int, page int, bbox {BOX}, text string")
+    pages = spark.createDataFrame([(1, 1, 595.0), (1, 2, 595.0)], "d int, page int, page_width double")
+    assert rows(pipelines.parse_words(words, pages, "d"), "question_number", "text") == [(1, "가")]
