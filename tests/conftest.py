@@ -18,7 +18,3 @@ def spark(tmp_path_factory):
     s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield s
     s.stop()
-
-
-def rows(df, *columns):
-    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)

@@ -1,6 +1,6 @@
 import json
 
-from conftest import rows
+from helpers import rows
 
 from examflow.operators import canonical, nested
 

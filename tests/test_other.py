@@ -1,6 +1,6 @@
 import os
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from examflow.operators import canonical, raster
