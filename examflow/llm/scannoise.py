@@ -199,8 +199,8 @@ def stem(word: Column) -> Column:
 def candidate_pairs(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From (word, n): Latin pairs (wrong, right), and Hangul pairs (wrong, right, n, m) still to be supported by context."""
     hangul = F.col("word").rlike("^[가-힣]")
-    total = counts.agg(F.sum(F.when(hangul, F.col("n"))).alias("total"))
-    counts = counts.crossJoin(F.broadcast(total)).withColumn("least", F.greatest(F.lit(MIN_FREQUENT), F.coalesce(F.col("total"), F.lit(0)) * MIN_SHARE)).drop("total")
+    total = counts.agg(F.sum(F.when(hangul, F.col("n"))).alias("total")).first()["total"] or 0
+    counts = counts.withColumn("least", F.lit(max(MIN_FREQUENT, total * MIN_SHARE)))
 
     # Latin: one skeleton, the most frequent form of the group.
     latin = counts.where(~hangul).withColumn("skeleton", latin_skeleton(F.col("word")))
