@@ -15,11 +15,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def first_delivery(df: DataFrame, key: str) -> DataFrame:
+def first_delivery(df: DataFrame, key: str, within: str | None = None) -> DataFrame:
     """One row for each ``key``: repeated deliveries carry the same content, so any of them will do.
 
+    ``within`` names the key of a larger unit (an upload) that later steps group or order by: the
+    rows are then brought together by that unit once, and the later steps shuffle no more.
     Rows with a null key are kept as they are one row (Spark groups nulls together).
     """
+    if within:
+        return df.repartition(within).dropDuplicates([within, key])
     return df.dropDuplicates([key])
 
 

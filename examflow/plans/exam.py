@@ -54,19 +54,19 @@ def clean_lines(x: str) -> str:
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
-    return first_delivery(load(spark, d, "text_lines").select("line_id", "upload_id", "seq", "page_number", "column_index", "text", "bbox"), "line_id")
+    return first_delivery(load(spark, d, "text_lines").select("line_id", "upload_id", "seq", "page_number", "column_index", "text", "bbox"), "line_id", "upload_id")
 
 
-def _blocks(spark: SparkSession, d: str) -> DataFrame:
-    return first_delivery(load(spark, d, "text_blocks").select("block_id", "upload_id", "page", "page_height", "bbox", "text"), "block_id")
+def _blocks(spark: SparkSession, d: str, within: str | None = None) -> DataFrame:
+    return first_delivery(load(spark, d, "text_blocks").select("block_id", "upload_id", "page", "page_height", "bbox", "text"), "block_id", within)
 
 
-def _questions(spark: SparkSession, d: str) -> DataFrame:
-    return first_delivery(load(spark, d, "questions").select("question_id", "upload_id", "exam_id", "question_no", "subject", "stem", "answer"), "question_id")
+def _questions(spark: SparkSession, d: str, within: str | None = None) -> DataFrame:
+    return first_delivery(load(spark, d, "questions").select("question_id", "upload_id", "exam_id", "question_no", "subject", "stem", "answer"), "question_id", within)
 
 
-def _finals(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    return first_delivery(load(spark, d, "questions_final").select("qf_id", "upload_id", *columns), "qf_id")
+def _finals(spark: SparkSession, d: str, *columns: str, within: str | None = None) -> DataFrame:
+    return first_delivery(load(spark, d, "questions_final").select("qf_id", "upload_id", *columns), "qf_id", within)
 
 
 SKIP = (
@@ -174,7 +174,7 @@ WITH q AS (SELECT * FROM {once('questions', 'question_id')} WHERE question_no BE
 FROM q GROUP BY ALL""")
 def inline_answers(spark: SparkSession, d: str) -> DataFrame:
     """E5: answers printed as one text an upload, read back."""
-    q = _questions(spark, d).where(F.col("question_no").between(1, 100) & F.col("answer").rlike(r"^(?:[①②③④⑤]|모두답|[1-5](?:\s*,\s*[1-5])*)$"))
+    q = _questions(spark, d, "upload_id").where(F.col("question_no").between(1, 100) & F.col("answer").rlike(r"^(?:[①②③④⑤]|모두답|[1-5](?:\s*,\s*[1-5])*)$"))
     parts = F.array_sort(F.collect_list(F.struct("question_id", F.concat(F.col("question_no").cast("string"), F.lit("."), F.col("answer")).alias("t"))))
     texts = q.groupBy("upload_id").agg(F.array_join(F.transform(parts, lambda p: p.t), "  ").alias("text"))
     return answers.inline_answers(texts, "upload_id", "text")
@@ -228,7 +228,7 @@ def noise_lines(spark: SparkSession, d: str) -> DataFrame:
 SELECT upload_id, margin_text, count(*) FILTER (WHERE t) AS n_top, count(*) FILTER (WHERE b) AS n_bottom FROM t WHERE margin_text <> '' AND (t OR b) GROUP BY ALL""")
 def margin_texts(spark: SparkSession, d: str) -> DataFrame:
     """Texts of page margins."""
-    return layout.margin_texts(_blocks(spark, d), "upload_id")
+    return layout.margin_texts(_blocks(spark, d, "upload_id"), "upload_id")
 
 
 @query(f"""WITH b AS (SELECT upload_id, page, bbox.x0 AS x0, bbox.x1 AS x1, lead(bbox.x0) OVER (PARTITION BY upload_id, page ORDER BY bbox.x0) AS nx FROM {once('text_blocks', 'block_id')} WHERE bbox IS NOT NULL),
@@ -237,7 +237,7 @@ k AS (SELECT *, len(list_filter(c, lambda v: v < g.mid)) AS l FROM g)
 SELECT upload_id, page, CASE WHEN two THEN 2 ELSE 1 END AS n_columns, CASE WHEN two THEN g.mid END AS separator FROM (SELECT *, coalesce(n >= 4 AND g.gap >= 595 * 0.15 AND l >= 2 AND n - l >= 2, false) AS two FROM k)""")
 def columns_by_starts(spark: SparkSession, d: str) -> DataFrame:
     """Columns from the widest gap between left edges."""
-    return layout.columns_by_starts(_blocks(spark, d), ["upload_id", "page"])
+    return layout.columns_by_starts(_blocks(spark, d, "upload_id"), ["upload_id", "page"])
 
 
 @query(f"""WITH b AS (SELECT upload_id, page, bbox.x0 AS x0, bbox.x1 AS x1, (bbox.x0 + bbox.x1) / 2 AS c FROM {once('text_blocks', 'block_id')} WHERE bbox.x1 > bbox.x0),
@@ -252,7 +252,7 @@ SELECT s.upload_id, page, CASE WHEN u THEN 2 ELSE n_columns END AS n_columns, CA
 FROM (SELECT s.*, n_columns = 1 AND n_two IS NOT NULL AS u, a, b, c, d FROM s LEFT JOIN k USING (upload_id)) s""")
 def page_columns(spark: SparkSession, d: str) -> DataFrame:
     """Padded columns, with the document's template for pages without two."""
-    return layout.apply_column_template(layout.columns_by_centres(_blocks(spark, d), ["upload_id", "page"]), "upload_id")
+    return layout.apply_column_template(layout.columns_by_centres(_blocks(spark, d, "upload_id"), ["upload_id", "page"]), "upload_id")
 
 
 @query(f"""WITH s AS (SELECT upload_id, page_number AS page, column_index AS col, bbox.y0 AS y0, CAST(regexp_extract({collapse('text')}, '^(\\d{{1,3}})\\.', 1) AS INT) AS qno FROM {once('text_lines', 'line_id')} WHERE bbox IS NOT NULL AND regexp_matches({collapse('text')}, '^\\d{{1,3}}\\.')),
@@ -274,7 +274,7 @@ SELECT b.block_id AS a_id, c.block_id AS b_id, greatest(0, least(b.k.x1, c.k.x1)
 WHERE b.block_id < c.block_id AND b.k.x1 > c.k.x0 AND b.k.x0 < c.k.x1 AND b.k.y1 > c.k.y0 AND b.k.y0 < c.k.y1""")
 def overlapping_blocks(spark: SparkSession, d: str) -> DataFrame:
     """Rectangles of a page that overlap."""
-    b = _blocks(spark, d).where("bbox is not null")
+    b = _blocks(spark, d, "upload_id").where("bbox is not null")
     x, y = b.select("upload_id", "page", F.col("block_id").alias("a_id"), F.col("bbox").alias("p")), b.select("upload_id", "page", F.col("block_id").alias("b_id"), F.col("bbox").alias("q"))
     met = x.join(y, ["upload_id", "page"]).where((F.col("a_id") < F.col("b_id")) & layout.overlaps(F.col("p"), F.col("q")))
     return met.select("a_id", "b_id", layout.shared_area(F.col("p"), F.col("q")).alias("shared"))
@@ -321,7 +321,7 @@ SELECT upload_id, page, CASE WHEN choice_y0 IS NULL OR (NOT pp AND NOT cc) OR pp
  CASE WHEN choice_y0 IS NOT NULL AND cc THEN y END AS c0, CASE WHEN choice_y0 IS NOT NULL AND cc THEN 790.0 END AS c1 FROM f""")
 def split_clips(spark: SparkSession, d: str) -> DataFrame:
     """Problem and choices part of a page."""
-    b = _blocks(spark, d)
+    b = _blocks(spark, d, "upload_id")
     tops = layout.choice_block_top(b, ["upload_id", "page"])
     pages = b.select("upload_id", "page").distinct().join(tops, ["upload_id", "page"], "left")
     return pages.select("upload_id", "page", layout.split_clip(F.lit(60.0), F.lit(790.0), F.col("choice_y0")).alias("s")).select("upload_id", "page", "s.p0", "s.p1", "s.c0", "s.c1")
@@ -425,7 +425,7 @@ k AS (SELECT upload_id, count(*) >= 4 AND count(qno) = count(*) AND bool_and(ris
 SELECT question_id, CASE WHEN ok THEN CAST(want AS INT) ELSE qno END AS new_qno FROM l JOIN k USING (upload_id)""")
 def renumbered(spark: SparkSession, d: str) -> DataFrame:
     """Numbers one too high from some place on."""
-    q = _questions(spark, d).select("upload_id", "question_id", F.when(F.col("question_no") >= 3, F.col("question_no") + 1).otherwise(F.col("question_no")).alias("qno"))
+    q = _questions(spark, d, "upload_id").select("upload_id", "question_id", F.when(F.col("question_no") >= 3, F.col("question_no") + 1).otherwise(F.col("question_no")).alias("qno"))
     return segment.renumber_shifted(q, "upload_id", "question_id", "qno", 4).select("question_id", F.col("new_qno").cast("int").alias("new_qno"))
 
 
@@ -449,8 +449,8 @@ def page_split(spark: SparkSession, d: str) -> DataFrame:
 SELECT CAST(total AS INT) AS total, CAST(l AS INT) AS l, CAST(r AS INT) AS r, CAST(CASE WHEN l > 0 AND r > 0 AND l + r = greatest(total, 1) THEN l WHEN l > 0 AND r > 0 THEN greatest(1, least(greatest(total, 1) - 1, round_even(greatest(total, 1) * (l / (l + r)), 0))) ELSE (greatest(total, 1) + 1) // 2 END AS INT) AS left_count FROM t""")
 def column_counts(spark: SparkSession, d: str) -> DataFrame:
     """Questions of the left column."""
-    n = spark.range(14).select(F.col("id").cast("int").alias("n"))
-    grid = n.withColumnRenamed("n", "total").join(n.withColumnRenamed("n", "l"), F.lit(True)).join(n.withColumnRenamed("n", "r"), F.lit(True))
+    n = F.col("id")
+    grid = spark.range(14**3).select(F.floor(n / 196).cast("int").alias("total"), (F.floor(n / 14) % 14).cast("int").alias("l"), (n % 14).cast("int").alias("r"))
     return grid.select("total", "l", "r", T.column_counts(F.col("total"), F.col("l"), F.col("r"))["left"].cast("int").alias("left_count"))
 
 
@@ -464,7 +464,7 @@ n AS (SELECT * FROM i WHERE i IS NOT NULL)
 SELECT upload_id, qf_id, option_pos, image_pos, CAST(image_no AS INT) AS image_no, 'image' || CASE WHEN image_no < 1000 THEN lpad(CAST(image_no AS VARCHAR), 3, '0') ELSE substr(CAST(image_no AS VARCHAR), 1, 3) END AS image_id, 'image' || CASE WHEN image_no < 1000 THEN lpad(CAST(image_no AS VARCHAR), 3, '0') ELSE substr(CAST(image_no AS VARCHAR), 1, 3) END || '.png' AS image_name FROM k""")
 def numbered_images(spark: SparkSession, d: str) -> DataFrame:
     """Images numbered within an upload."""
-    return canonical.number_images(_finals(spark, d, "images", "options"), "upload_id", "qf_id")
+    return canonical.number_images(_finals(spark, d, "images", "options", within="upload_id"), "upload_id", "qf_id")
 
 
 @query(IMAGES + "SELECT qf_id, CASE WHEN option_pos = 0 THEN 'question' ELSE 'option' END AS scope, opt_order AS option_order, i.image_id AS image_id FROM n")
@@ -478,7 +478,7 @@ SELECT upload_id, count(*) AS total_questions, CAST(sum(len(im) + coalesce(list_
  bool_or(len(op) > 0 AND len(list_filter(op, lambda v: coalesce(v.is_correct, false))) = 0) AS requires_answer_review FROM f GROUP BY upload_id""")
 def document_metadata(spark: SparkSession, d: str) -> DataFrame:
     """Counts and the review flag."""
-    return canonical.document_metadata(_finals(spark, d, "images", "options"), "upload_id")
+    return canonical.document_metadata(_finals(spark, d, "images", "options", within="upload_id"), "upload_id")
 
 
 @query(f"""WITH f AS (SELECT qf_id, unnest([CASE WHEN content IS NULL THEN 'content' END, CASE WHEN question_source IS NULL THEN 'question_source' END, CASE WHEN images IS NULL THEN 'images' END, CASE WHEN hint_explanation IS NULL THEN 'hint_explanation' END,
@@ -530,7 +530,7 @@ def shared_passages(spark: SparkSession, d: str) -> DataFrame:
     """Shared passages and the questions they belong to."""
     no = F.col("question_no")
     marked = F.concat(F.lit("앞 글 ["), (no + 2).cast("string"), F.lit(" ~ "), no.cast("string"), F.lit("] 다음 글을 읽고 물음에 답하시오. "), F.col("stem"))
-    q = _questions(spark, d).select("upload_id", "question_id", "question_no", F.when(no % 5 == 1, marked).otherwise(F.col("stem")).alias("t"))
+    q = _questions(spark, d, "upload_id").select("upload_id", "question_id", "question_no", F.when(no % 5 == 1, marked).otherwise(F.col("stem")).alias("t"))
     return passages.shared_passages(q, "upload_id", "question_id", "question_no", "t")[1]
 
 
@@ -544,7 +544,7 @@ SELECT upload_id, 'v1' AS schema_version, coalesce(exam_id, '') || ':' || lpad(C
 def db_records(spark: SparkSession, d: str) -> DataFrame:
     """Flat records of texts and images."""
     w = Window.partitionBy("upload_id").orderBy("question_id")
-    t = _questions(spark, d).withColumn("question_index", F.row_number().over(w))
+    t = _questions(spark, d, "upload_id").withColumn("question_index", F.row_number().over(w))
     part = F.struct("choice_id", F.concat(F.coalesce("label", F.lit("")), F.lit(" "), F.coalesce("text", F.lit(""))).alias("t"))
     c = first_delivery(load(spark, d, "choices").select("choice_id", "question_id", "label", "text"), "choice_id").groupBy("question_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda p: p.t), "\n").alias("choices_text"))
     texts = t.where("question_index % 7 <> 0").join(c, "question_id", "left").select("upload_id", "exam_id", "question_index", F.col("question_no").alias("qno"), F.col("stem").alias("question_text"), "choices_text")
@@ -628,7 +628,7 @@ def _trees(spark: SparkSession, d: str) -> DataFrame:
     """Element trees printed from questions and choices: one list an upload, with a header and an image."""
     c = first_delivery(load(spark, d, "choices").select("choice_id", "question_id", "label", "text"), "choice_id")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("choice_id", F.concat(F.coalesce("label", F.lit("")), F.lit(" "), F.coalesce("text", F.lit(""))).alias("t")))), lambda p: p.t), " ")
-    q = _questions(spark, d).where("question_no is not null").join(c.groupBy("question_id").agg(text.alias("c")), "question_id", "left")
+    q = _questions(spark, d, "upload_id").where("question_no is not null").join(c.groupBy("question_id").agg(text.alias("c")), "question_id", "left")
     kid = F.struct(F.lit("paragraph").alias("type"), F.coalesce("c", F.lit("")).alias("content"))
     item = F.struct(F.lit("list item").alias("type"), F.concat(F.col("question_no").cast("string"), F.lit(". "), F.coalesce("stem", F.lit(""))).alias("content"), F.array(kid).alias("kids"))
     items = F.transform(F.array_sort(F.collect_list(F.struct("question_id", item.alias("i")))), lambda x: x.i)
