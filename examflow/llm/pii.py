@@ -38,7 +38,7 @@ EN_AFTER = (" asked about", " wrote", " made the same", " submitted")
 STREET_WORDS = "Avenue|Ave|Street|St|Road|Rd|Lane|Ln|Drive|Dr|Court|Ct|Boulevard|Blvd|Way|Place|Pl|Terrace|Square|Sq|Highway|Hwy".split("|")
 
 _NAME_KO = rf"(?:(?:{'|'.join(FAMILY_TWO)}) ?[가-힣]{{1,2}}|[{FAMILY_ONE}] ?[가-힣]{{2}}|[{FAMILY_ONE}][가-힣](?![가-힣]))"
-_KO_NAME_AT = re.compile(rf"[ \t]*[:：]?\s*({_NAME_KO})(?=$|[^가-힣]|님|씨|이고|이다|이며|의|은|는|이|가|을|를|에게|께|과|와|도|\s)")
+_KO_NAME_AT = re.compile(rf"[ \t]*[:：]?[ \t]*({_NAME_KO})(?=$|[^가-힣]|님|씨|이고|이다|이며|의|은|는|이|가|을|를|에게|께|과|와|도|\s)")
 _KO_NAME_TO = re.compile(rf"(?<![가-힣])((?:(?:{'|'.join(FAMILY_TWO)}) ?[가-힣]{{1,2}}|[{FAMILY_ONE}] ?[가-힣]{{2}}))$")
 _EN_WORD = r"[A-Z][a-z]+(?:[-'’][A-Z][a-z]+)?"
 _NAME_EN = rf"(?:{_EN_WORD}(?: [A-Z]\.)* {_EN_WORD}|{_EN_WORD}, {_EN_WORD}(?: [A-Z]\.)?)"
@@ -130,7 +130,7 @@ def find_pii(text: str) -> list[tuple[str, int, int]]:
             if kind == "at":
                 _email(t, at, after, found)
             elif kind == "ko_before":
-                if (m := _KO_NAME_AT.match(t, after, after + 16)) and (at == 0 or not "가" <= t[at - 1] <= "힣"):
+                if (m := _KO_NAME_AT.match(t, after, after + 16)) and _opens(t, at, t[at:after]):
                     found.append(("name", m.start(1), m.end(1)))
             elif kind == "ko_after":
                 if m := _KO_NAME_TO.search(t[max(0, at - 7) : at]):
@@ -177,6 +177,13 @@ def find_pii(text: str) -> list[tuple[str, int, int]]:
     return sorted(best, key=lambda x: x[1])
 
 
+def _opens(t: str, at: int, cue: str) -> bool:
+    """Whether a cue stands as a word; a review is one only at the start of a clause, as it is also a matter of papers."""
+    if at and "가" <= t[at - 1] <= "힣":
+        return False
+    return cue != "검토" or t[:at].rstrip(" ")[-1:] in ("", "\n", ",", ".", "(", ":", ";")
+
+
 def _first(t: str, a: int, b: int) -> int:
     """Place of the first letter or digit."""
     while a < b and not t[a].isalnum():

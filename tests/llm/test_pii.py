@@ -10,13 +10,14 @@ CASES = [
     ("Please contact Torin Dunmarsh at +1 617 555 0106 about this.", [("name", "Torin Dunmarsh"), ("phone", "1 617 555 0106")]),
     ("신분증 번호 M02401281 확인함. 연락처 ０１０－０５２９－７６３８", [("id_number", "M02401281"), ("phone", "０１０－０５２９－７６３８")]),
     ("Home: 588 Larkmere St.; tel. +82 10 0305 2721", [("address", "588 Larkmere St."), ("phone", "82 10 0305 2721")]),
+    ("출제 위원 임슬르, 검토 신슬율", [("name", "임슬르"), ("name", "신슬율")]),
     ("홍 담누님이 지난 회차 풀이를 올려 주셨습니다.", [("name", "홍 담누")]),
     ("주소: 누리도 한빛시 새터구 바람길 207 (13층) / 전화: (02) 0195-0709", [("address", "누리도 한빛시 새터구 바람길 207 (13층)"), ("phone", "02) 0195-0709")]),
 ]
 NOT_CASES = [
     "접수 번호 2026-2023-19283 는 다음 주에 처리된다.", "사업자등록번호 343-89-13134", "교재 번호 979-11-8405-973-0 을 참고하라.", "서버 주소는 192.0.2.37 이고 포트는 8030 이다.", "풀이 도구 v1.68.679 에서 확인하였다.",
     "1234567890123", "미르시 새터구 시험장은 지난 회차와 같다.", "The centre in Bridmoor opens at 9.", "선지 @ 와 © 는 스캔 과정에서 바뀐 기호이다.", "공고일 2026.03.04, 시행일 2026.05.13", "문항 010-19 부터 010-45 까지는 배점이 같다.",
-    "코드 검토 없는 핀르렌 곡선", "고정된 군집이 나타난다", "", "Ticket 2026-5903-28260 is still open.",
+    "코드 검토 없는 핀르렌 곡선", "코드 검토 정리", "코드 검토\n정답 ②", "고정된 군집이 나타난다", "", "Ticket 2026-5903-28260 is still open.",
 ]
 
 
