@@ -19,6 +19,7 @@ a missing box or page height only means that the row teaches no margin line.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -65,8 +66,13 @@ _SESSION = re.compile(r"^(?:#교시|무단복제금지)[^\w#]*")
 _FORM_LETTER = re.compile(r"\[[A-Z가-힣]형\]$")
 _SPLIT = re.compile(rf"(?<=[\w@{UNREADABLE}])[{HYPHENS}][ \t]*\n[ \t]*(?=[a-z가-힣0-9@{UNREADABLE}])")
 _TOKEN = re.compile(rf"[가-힣{UNREADABLE}]+|[A-Za-z0-9@{UNREADABLE}]*[A-Za-z][A-Za-z0-9@{UNREADABLE}]*|[0-9][0-9.,]*|[^\s]")
-_IS_WORD = re.compile(r"[가-힣]{2,}|[a-z0-9@]*[a-z][a-z0-9@]*")
-_PLAINLY = re.compile(rf"\w[{UNREADABLE}]|[{UNREADABLE}]\w|(?:^|\n)[ \t]*[{MISREAD_MARKS}][ \t]|(?<![@.\w])[A-Za-z]*[a-z][0-9@][a-z]")
+_WORD = re.compile(rf"(?<![가-힣{UNREADABLE}])[가-힣]{{2,}}(?![가-힣{UNREADABLE}])|(?<![a-z0-9@{UNREADABLE}])[a-z0-9@]*[a-z][a-z0-9@]*(?![a-z0-9@{UNREADABLE}])")
+_UNREADABLE = re.compile(f"[{UNREADABLE}]")
+_UNREADABLE_IN_WORD = re.compile(rf"\w[{UNREADABLE}]|[{UNREADABLE}]\w")
+_MARK = re.compile(f"[{MISREAD_MARKS}]")
+_MARK_OPENS = re.compile(rf"(?:^|\n)[ \t]*[{MISREAD_MARKS}][ \t]")
+_DIGIT_INSIDE = re.compile("[a-z][0-9@][a-z]")
+_DIGIT_IN_WORD = re.compile(r"(?<![@.\w])[A-Za-z]*[a-z][0-9@][a-z]")
 _SUSPICIOUS = re.compile(SUSPICIOUS)
 
 
@@ -102,7 +108,9 @@ class Judge:
 
     def __init__(self, forms: set[str]):
         self.forms = forms
-        self.longest = max(map(len, forms), default=0)
+        self.longest = 4 * max(map(len, forms), default=0) + 8
+        # A line can only be a header if it ends like one: most lines need no closer look.
+        self.ends = frozenset(f[-1] for f in forms if f) | {"]"} | (frozenset("0123456789") if any(f.endswith("#") for f in forms) else frozenset())
 
     def lines(self, text: str) -> tuple[list[str], bool, bool]:
         """The lines that are text; whether there was a header; whether there was a page number."""
@@ -112,7 +120,7 @@ class Judge:
         for line in _LINE_END.split(text) if "\n" in text or "\r" in text else (text,):
             if len(line) < 12 and _PAGE.match(line):
                 pageno = True
-            elif len(line) <= 4 * self.longest + 8 and form_of(line) in self.forms:
+            elif len(line) <= self.longest and line.rstrip()[-1:] in self.ends and form_of(line) in self.forms:
                 header = True
             elif line and not line.isspace():
                 kept.append(line)
@@ -130,6 +138,20 @@ def tokens_of(joined: str) -> list[str]:
     return ["#" if "0" <= t[0] <= "9" and not any(c.isalpha() for c in t) else t for t in _TOKEN.findall(joined.lower())]
 
 
+def words_of(joined: str) -> list[str]:
+    """The words of ``tokens_of`` alone: Hangul of two syllables or more, and Latin with its digits."""
+    return _WORD.findall(joined.lower())
+
+
+def plainly_misread(joined: str) -> bool:
+    """Unreadable signs in words, misread choice marks, digits inside words: seen without counts."""
+    if _UNREADABLE.search(joined) and _UNREADABLE_IN_WORD.search(joined):
+        return True
+    if _MARK.search(joined) and _MARK_OPENS.search(joined):
+        return True
+    return bool(_DIGIT_INSIDE.search(joined) and _DIGIT_IN_WORD.search(joined))
+
+
 def _blocks(rows: DataFrame, *keys: str) -> Iterator[list]:
     """Rows in blocks of at most about BLOCK_ENTRIES, by a hash of ``keys``."""
     n = -(-rows.count() // BLOCK_ENTRIES)
@@ -139,16 +161,16 @@ def _blocks(rows: DataFrame, *keys: str) -> Iterator[list]:
 
 
 def _counted(texts: DataFrame, judge, schema: str, emit) -> DataFrame:
-    """Counts of what ``emit`` yields for the tokens of each text, combined within each partition."""
+    """Counts of what ``emit`` finds in each cleaned text, combined within each partition."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict = {}
+        counts: Counter = Counter()
         lines = judge.value.lines
 
         def flush():
             keys = list(counts)
-            columns = [pa.array([k[i] for k in keys], pa.string()) for i in range(len(names))]
+            columns = [pa.array([k[i] for k in keys] if len(names) > 1 else keys, pa.string()) for i in range(len(names))]
             out = pa.RecordBatch.from_arrays([*columns, pa.array([counts[k] for k in keys], pa.int64())], names=[*names, "n"])
             counts.clear()
             return out
@@ -156,7 +178,7 @@ def _counted(texts: DataFrame, judge, schema: str, emit) -> DataFrame:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text:
-                    emit(tokens_of(join_split(lines(text)[0])), counts)
+                    emit(join_split(lines(text)[0]), counts)
             if len(counts) > HELD_COUNTS:
                 yield flush()
         yield flush()
@@ -239,10 +261,8 @@ class Repair:
         """(wrong, right): rare forms and the frequent form of their skeleton that the context supports."""
         spark = self.rows.sparkSession
 
-        def words(tokens: list[str], counts: dict) -> None:
-            for t in tokens:
-                if _IS_WORD.fullmatch(t):
-                    counts[(t,)] = counts.get((t,), 0) + 1
+        def words(joined: str, counts: Counter) -> None:
+            counts.update(words_of(joined))
 
         counts = cut_lineage(_counted(self.texts, self.judge, "word string", words))
         latin, hangul = candidate_pairs(counts)
@@ -255,27 +275,30 @@ class Repair:
                 partners.setdefault(wrong, []).append(right)
             rare = spark.sparkContext.broadcast(partners)
 
-            def contexts(tokens: list[str], counts: dict, rare=rare) -> None:
+            def contexts(joined: str, counts: Counter, rare=rare) -> None:
                 sought = rare.value
+                if sought.keys().isdisjoint(words_of(joined)):
+                    return
+                tokens = tokens_of(joined)
                 for i, t in enumerate(tokens):
                     if t in sought:
                         for side, j in (("l", i - 1), ("r", i + 1)):
-                            key = (t, side, tokens[j] if 0 <= j < len(tokens) else "")
-                            counts[key] = counts.get(key, 0) + 1
+                            counts[t, side, tokens[j] if 0 <= j < len(tokens) else ""] += 1
 
             seen = cut_lineage(_counted(self.texts, self.judge, "word string, side string, x string", contexts))
             wanted = seen.join(hangul.select(F.col("wrong").alias("word"), "right"), "word").select("right", "side", "x").distinct()
             for part in _blocks(wanted, "right", "side", "x"):
                 needed = spark.sparkContext.broadcast((frozenset(part), frozenset(r for r, _, _ in part)))
 
-                def support(tokens: list[str], counts: dict, needed=needed) -> None:
+                def support(joined: str, counts: Counter, needed=needed) -> None:
                     wanted, heads = needed.value
+                    tokens = tokens_of(joined)
                     for i, t in enumerate(tokens):
                         if t in heads:
                             for side, j in (("l", i - 1), ("r", i + 1)):
                                 key = (t, side, tokens[j] if 0 <= j < len(tokens) else "")
                                 if key in wanted:
-                                    counts[key] = counts.get(key, 0) + 1
+                                    counts[key] += 1
 
                 held = _counted(self.texts, self.judge, "right string, side string, x string", support).select("right", "side", "x")
                 at = seen.select(F.col("word").alias("wrong"), "side", "x", F.col("n").alias("k")).join(hangul.select("wrong", "right"), "wrong")
@@ -307,7 +330,7 @@ class Repair:
                     for i, text in enumerate(batch.column(2).to_pylist()):
                         kept, header, pageno = lines(text)
                         joined = join_split(kept)
-                        misread = _PLAINLY.search(joined) is not None or not wrong.keys().isdisjoint(tokens_of(joined))
+                        misread = plainly_misread(joined) or not wrong.keys().isdisjoint(words_of(joined))
                         for kind, is_so in (("hyphen", len(kept) > 1 and joined.count("\n") < len(kept) - 1), ("misread", misread), ("header", header), ("pageno", pageno)):
                             if is_so:
                                 at.append(i)
