@@ -1,7 +1,7 @@
 """Problem 5: deeply nested semi-structured records as related flat tables.
 
-Payloads are parsed once into VARIANT. A merged schema of all records tells how deep the lists of
-questions can lie; from there each list level (questions, options, images) is exploded into a child
+Payloads are parsed into VARIANT. A first pass over the values tells how deep the lists of questions
+lie, whatever kinds the wrappers of other payloads have; from there each list level (questions, options, images) is exploded into a child
 table whose rows carry the parent's surrogate key and their ordinal. A list may be written as an
 array, as an object keyed by numbers, as a single object, or as a string that holds any of these.
 
@@ -12,8 +12,6 @@ deliveries of a record are one record; records without the list have no rows in
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +22,9 @@ NUMBER_NAMES = ("order", "number", "option_number", "label")
 TEXT_NAMES = ("content", "question_text", "stem", "text")
 CIRCLED = "①②③④⑤⑥⑦⑧⑨⑩"
 
+#: Levels that one expression can go down; lists below them are an error.
+MAX_LEVELS = 6
+
 _ENTRY = "array<struct<ordinal:int,item:variant>>"
 
 
@@ -88,24 +89,37 @@ def number_of(value: Column) -> Column:
     return F.when(F.length(text) == 0, None).when(mark > 0, mark).otherwise(text.try_cast("int"))
 
 
-def merged_schema(payloads: DataFrame, payload: str = "payload") -> str:
-    """One schema that holds every record; parts that differ in kind are VARIANT. Map-side combined."""
-    return payloads.select(F.schema_of_variant_agg(parse(F.col(payload))).alias("s")).first()["s"] or "VOID"
+def _inside(v: Column) -> Column:
+    """The values directly inside an unwrapped value, in reading order; null for plain values."""
+    fields = F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
+    several = let(_entries(v), lambda e: F.when((F.size(e) > 1) | F.schema_of_variant(v).startswith("ARRAY"), F.transform(e, lambda x: x["item"])))
+    return F.coalesce(several, fields)
 
 
-def list_depth(schema: str, name: str) -> int:
-    """Levels of containers above the deepest field ``name`` of a merged schema (open parts count 2)."""
-    deepest = depth = 0
-    for m in re.finditer(r"([\w`]+): |<|>|VARIANT", schema):
-        if m[0] == "<":
-            depth += 1
-        elif m[0] == ">":
-            depth -= 1
-        elif m[0] == "VARIANT":
-            deepest = max(deepest, 0)
-        elif m[1] and m[1].strip("`") == name:
-            deepest = max(deepest, depth)
-    return max(deepest, 1)
+def list_depth(payloads: DataFrame, name: str, payload: str = "payload") -> int:
+    """Levels of containers down to the deepest list ``name`` of all payloads, read off the values themselves.
+
+    Goes down one level in each pass, until no container is left that names the field (or has an
+    escaped character that may stand for a letter of it), so no payload can hide the lists of another.
+    Lists deeper than MAX_LEVELS are an error.
+    """
+    v = F.col("v")
+    may_name = lambda text: text.rlike(rf"{name}|\\\\u")
+    level = payloads.where(may_name(F.col(payload))).select(unwrap(parse(F.col(payload))).alias("v"))
+    depth = deepest = 0
+    while True:
+        kind = F.schema_of_variant(v)
+        level = level.where((kind.startswith("ARRAY") | kind.startswith("OBJECT")) & may_name(F.to_json(v)))
+        has_list = as_list(F.try_variant_get(v, f"$.{name}", "variant")).isNotNull()
+        got = level.select(has_list.alias("l")).agg(F.count(F.lit(1)).alias("n"), F.count_if("l").alias("lists")).first()
+        depth += 1
+        if got["lists"]:
+            deepest = depth
+            if depth > MAX_LEVELS:
+                raise ValueError(f"lists '{name}' lie more than {MAX_LEVELS} levels deep")
+        if got["n"] == got["lists"]:
+            return max(deepest, 1)
+        level = level.where(~has_list).select(F.explode(_inside(v)).alias("c")).select(unwrap(F.col("c")).alias("v"))
 
 
 def lists_below(value: Column, name: str, depth: int) -> Column:
@@ -116,9 +130,7 @@ def lists_below(value: Column, name: str, depth: int) -> Column:
         own = as_list(F.try_variant_get(v, f"$.{name}", "variant"))
         if depth <= 1:
             return F.coalesce(own, nothing)
-        fields = F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
-        several = let(_entries(v), lambda e: F.when((F.size(e) > 1) | F.schema_of_variant(v).startswith("ARRAY"), F.transform(e, lambda x: x["item"])))
-        below = F.flatten(F.transform(F.coalesce(several, fields), lambda c: lists_below(c, name, depth - 1)))
+        below = F.flatten(F.transform(_inside(v), lambda c: lists_below(c, name, depth - 1)))
         return F.coalesce(own, below, nothing)
 
     return let(unwrap(value), of)
@@ -127,10 +139,10 @@ def lists_below(value: Column, name: str, depth: int) -> Column:
 class FlatTables:
     """Child tables of final payloads: questions, options, images and sources."""
 
-    def __init__(self, payloads: DataFrame, key: str = "record_id", payload: str = "payload", schema: str | None = None):
+    def __init__(self, payloads: DataFrame, key: str = "record_id", payload: str = "payload"):
         # JSON allows a key to stand twice; the last one counts.
         payloads.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-        depth = list_depth(schema or merged_schema(payloads, payload), "questions")
+        depth = list_depth(payloads, "questions", payload)
         # Repeated deliveries are dropped from the narrow child rows by their keys, so payloads are never shuffled.
         parsed = payloads.select(F.col(key).alias("record_key"), parse(F.col(payload)).alias("v")).where("v is not null")
         listed = parsed.select("record_key", F.posexplode(lists_below(F.col("v"), "questions", depth)).alias("at", "e"))

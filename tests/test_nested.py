@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from helpers import rows
 
 from examflow.operators import canonical, nested
@@ -46,6 +47,28 @@ def test_repeated_delivery_and_keys(spark):
     assert rows(t.source_pages()) == [("7/2", 1, 2, "left")]
 
 
+def test_wrappers_of_other_kinds_hide_nothing(spark):
+    good = {"result": {"sections": [{"questions": [{"images": [IMG]}]}]}}
+    assert places(spark, good, {"result": "ok"}, [1], json.dumps(json.dumps(good))) == [(0, 1, 0, 1), (3, 1, 0, 1)]
+
+
+def test_depth_comes_from_the_values(spark):
+    def depth(*payloads):
+        return nested.list_depth(spark.createDataFrame([(json.dumps(p),) for p in payloads], "payload string"), "questions")
+
+    deep, bare = {"questions": [{"images": [IMG]}]}, {"meta": 1}
+    for _ in range(20):
+        bare = [bare]
+    assert depth(bare, {"result": "x"}) == 1
+    deep = {"a": 1, "sections": [{"result": json.dumps({"result": deep})}]}
+    assert depth(bare, deep, {"sections": "x"}) == 5
+    assert places(spark, deep, {"sections": "x"}, bare) == [(0, 1, 0, 1)]
+    for _ in range(2):
+        deep = [deep]
+    with pytest.raises(ValueError, match="levels deep"):
+        depth(deep)
+
+
 def test_typed_images(spark):
     image = "struct<image_id:string,image_name:string,image_caption:string>"
     schema = f"qf_id long, images array<{image}>, options array<struct<opt_order:int,is_correct:boolean,content:string,images:array<{image}>,option_explanation:string>>"
