@@ -28,8 +28,9 @@ NUMERATOR, DENOMINATOR = 1, 2
 K = 3
 #: Records in one block of one column of the incidence matrix.
 BLOCK = 2000
-#: Records of one text that are still paired with each other.
-FULL_COPIES = 300
+#: Records of one class that are still paired with each other; None, as every pair counts. A caller
+#: who wants a star instead of all pairs of a larger class sets a number.
+FULL_COPIES: int | None = None
 _SEPARATOR = "\u001e"
 
 
@@ -109,17 +110,26 @@ class NearDuplicates:
     def pairs(self) -> DataFrame:
         """(key_a, key_b), key_a < key_b: every two records of the required similarity.
 
-        Records of different texts are all paired. Records of one text are all paired up to
-        FULL_COPIES of them; a larger class of equal records is a star around its least key, which
-        names every copy once instead of the square of their number.
+        Every pair at every size of a class (unless FULL_COPIES is set: then a larger class is a star
+        around its least key). Members are cut into blocks of about BLOCK records and joined block by
+        block, so no task pairs a whole class.
         """
-        sizes = self.members.groupBy("class_id").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        alike = sizes.select(F.col("class_id").alias("a"), F.col("class_id").alias("b"), "size")
-        between = self.links().select("a", "b", F.lit(0).cast("bigint").alias("size")).unionByName(alike.where(F.col("size") <= FULL_COPIES))
-        of = lambda c, k: self.members.select(F.col("class_id").alias(c), F.col(self.key).alias(k))
-        rows = between.join(of("a", "p"), "a").join(of("b", "q"), "b").where((F.col("a") != F.col("b")) | (F.col("p") < F.col("q")))
-        stars = self.members.join(sizes.where(F.col("size") > FULL_COPIES), "class_id").where(F.col(self.key) != F.col("class_id"))
-        rows = rows.select("p", "q").unionByName(stars.select(F.col("class_id").alias("p"), F.col(self.key).alias("q")))
+        sizes = self.members.groupBy("class_id").agg(F.count(F.lit(1)).alias("size"))
+        large = sizes.where(F.col("size") > BLOCK).select("class_id", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        alike = sizes.where("size > 1" if FULL_COPIES is None else f"size > 1 and size <= {FULL_COPIES}")
+        between = self.links().select("a", "b").unionByName(alike.select(F.col("class_id").alias("a"), F.col("class_id").alias("b")))
+        for c, x in (("a", "x"), ("b", "y")):
+            n = F.coalesce("blocks", F.lit(1))
+            between = between.join(large.withColumnRenamed("class_id", c), c, "left").withColumn(x, F.explode(F.sequence(F.lit(0), n - 1))).drop("blocks")
+        between = between.where((F.col("a") != F.col("b")) | (F.col("x") <= F.col("y")))
+        block = F.pmod(F.xxhash64(self.key), F.coalesce("blocks", F.lit(1))).cast("int")
+        members = self.members.join(large, "class_id", "left").select("class_id", self.key, block.alias("block"))
+        of = lambda c, x, k: members.select(F.col("class_id").alias(c), F.col("block").alias(x), F.col(self.key).alias(k))
+        rows = between.join(of("a", "x", "p"), ["a", "x"]).join(of("b", "y", "q"), ["b", "y"])
+        rows = rows.where((F.col("a") != F.col("b")) | (F.col("x") < F.col("y")) | (F.col("p") < F.col("q"))).select("p", "q")
+        if FULL_COPIES is not None:
+            stars = self.members.join(sizes.where(F.col("size") > FULL_COPIES), "class_id").where(F.col(self.key) != F.col("class_id"))
+            rows = rows.unionByName(stars.select(F.col("class_id").alias("p"), F.col(self.key).alias("q")))
         return rows.select(F.least("p", "q").alias(f"{self.key}_a"), F.greatest("p", "q").alias(f"{self.key}_b"))
 
     def groups(self) -> DataFrame:

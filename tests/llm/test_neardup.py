@@ -81,3 +81,11 @@ def test_many_copies_are_a_star(spark, monkeypatch):
     df = spark.createDataFrame([(i, "a b c d", None) for i in range(5)] + [(9, "a b c e", None), (10, "x y", None), (11, "x y", None)], f"qf_id long, content string, options {OPTION}")
     got = {tuple(r) for r in N.NearDuplicates(df).pairs().collect()}
     assert got == {(0, i) for i in range(1, 5)} | {(i, 9) for i in range(5)} | {(10, 11)}
+
+
+@pytest.mark.parametrize("block", [2000, 50])
+def test_every_pair_of_a_large_class(spark, monkeypatch, block):
+    monkeypatch.setattr(N, "BLOCK", block)
+    texts = [(i, "a b c d", [(1, "x y"), (2, "v w")] if i % 2 else [(1, "v w"), (2, "x y")]) for i in range(301)] + [(999, "a b c d", [(1, "x y")])]
+    got = [tuple(r) for r in N.NearDuplicates(spark.createDataFrame(texts, f"qf_id long, content string, options {OPTION}")).pairs().collect()]
+    assert len(got) == len(set(got)) == 301 * 300 // 2 + 301 and all(a < b for a, b in got)
