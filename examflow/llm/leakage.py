@@ -11,6 +11,8 @@ or an item delivered twice, gives one row; extra columns are not read.
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
@@ -19,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .charforms import fold_for_match
+from ..common import cut_lineage
+from .charforms import _INVISIBLE, _LOOKS_TABLE, _MARKS, _NOT_WORD, fold_for_match
 
 #: Letters and digits in unbroken sequence that make a quotation.
 MIN_RUN = 40
@@ -119,23 +122,68 @@ def leaked_items(
     return out
 
 
-def folded_positions(text: str) -> tuple[str, list[int]]:
-    """The folded text, and for each of its letters the place in the text it comes from."""
-    folded, places = [], []
-    for i, c in enumerate(text):
-        for x in fold_for_match(c):
-            folded.append(x)
-            places.append(i)
-    return "".join(folded), places
+@functools.cache
+def _joins_back() -> frozenset[str]:
+    """Starters that compose with what stands before them, such as the vowels and tails of syllables."""
+    seconds = {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}
+    for c in range(0x110000):
+        parts = unicodedata.decomposition(chr(c)).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            seconds.add(chr(int(parts[1], 16)))
+    return frozenset(c for c in seconds if not unicodedata.combining(c))
+
+
+def _clusters(kept: list[tuple[int, str]]) -> Iterator[tuple[int, int, str]]:
+    """(start, end, composed form) of each base with the jamo and marks that follow it."""
+    held, start, end = "", 0, 0
+    for i, c in kept:
+        first = unicodedata.normalize("NFKD", c)[0]
+        if held and not unicodedata.combining(first) and first not in _joins_back():
+            yield start, end, unicodedata.normalize("NFKC", held)
+            held = ""
+        if not held:
+            start = i
+        held, end = held + c, i + 1
+    if held:
+        yield start, end, unicodedata.normalize("NFKC", held)
+
+
+def folded_positions(text: str) -> tuple[str, list[int], list[int]]:
+    """``fold_for_match`` of the text, and for each of its letters the start and end of the place it comes from."""
+    kept = [(i, c) for i, c in enumerate(text) if not _MARKS.match(c)]
+    bare = "".join(c for _, c in kept)
+    if unicodedata.is_normalized("NFKC", bare):
+        parts = ((i, i + 1, c) for i, c in kept)
+    else:
+        parts = _clusters([(i, c) for i, c in kept if not _INVISIBLE.match(c)])
+    starts, ends = [], []
+    for start, end, form in parts:
+        # Lower case may take more letters than upper case.
+        n = len(_NOT_WORD.sub("", form.translate(_LOOKS_TABLE)).lower())
+        starts += [start] * n
+        ends += [end] * n
+    folded = fold_for_match(text)
+    if len(folded) != len(starts):
+        raise ValueError("the places of the folded letters do not fit the folded text")
+    return folded, starts, ends
 
 
 def remove_leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "item_text") -> DataFrame:
-    """The documents with every quoted span of an item cut out of ``text`` (other columns as they were)."""
+    """The documents with every quoted span of an item cut out of ``text`` (other columns as they were).
+
+    Repeated until no text quotes an item: what a cut brings together may be a quotation again.
+    """
+    blocks = [documents.sparkSession.sparkContext.broadcast(b) for b in _item_blocks(items, item_key, item_text)]
     out = documents
-    for block in _item_blocks(items, item_key, item_text):
-        shared = documents.sparkSession.sparkContext.broadcast(block)
-        out = out.withColumn(text, _cutter(shared)(F.col(f"`{text}`")))
-    return out
+    while True:
+        for shared in blocks:
+            out = out.withColumn(text, _cutter(shared)(F.col(f"`{text}`")))
+        if len(blocks) == 1:
+            return out
+        # A cut for one block may bring together a quotation of another block.
+        out = cut_lineage(out)
+        if leaked_items(out, items, key, text, item_key, item_text).isEmpty():
+            return out
 
 
 def _cutter(shared):
@@ -146,9 +194,9 @@ def _cutter(shared):
         for batch in batches:
             kept = []
             for t in batch.to_pylist():
-                if t and len(t) >= MIN_RUN:
-                    folded, places = folded_positions(t)
-                    spans = sorted((places[a], places[b - 1] + 1) for runs in index.runs(folded).values() for a, b in runs)
+                while t and len(t) >= MIN_RUN and (found := index.runs(fold_for_match(t))):
+                    _, starts, ends = folded_positions(t)
+                    spans = sorted((starts[a], ends[b - 1]) for runs in found.values() for a, b in runs)
                     left, end = [], 0
                     for a, b in spans:
                         left.append(t[end:a])

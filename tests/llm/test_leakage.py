@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 from examflow.llm import leakage as L
 from examflow.llm.charforms import fold_for_match
@@ -47,3 +48,29 @@ def test_blocks_give_the_same(spark, monkeypatch):
     whole = sorted(map(tuple, L.leaked_items(d, items).collect()))
     monkeypatch.setattr(L, "BLOCK_BYTES", 100)
     assert sorted(map(tuple, L.leaked_items(d, items).collect())) == whole and len(whole) == 4
+
+
+KOREAN = "다음 중 체육 정책의 변천 과정에 대한 설명으로 옳지 않은 것은 무엇인지 고르고 그 까닭을 café 주인에게 두 문장으로 설명하시오"
+
+
+def test_places_fit_the_folded_text():
+    r = random.Random(5)
+    signs = ["가", "각", "ᄀ", "ᅡ", "ᆨ", "e", "é", "\u0301", "\u0327", "\u00ad", "\u200b", "ﾊ", "ﾞ", "①", "²", "ﬁ", "Α", "Σ", "İ", " ", "-", "_", "5", "\u034f", "か", "\u3099", "ㅏ", "ㄱ", "\u115f"]
+    for _ in range(3000):
+        text = "".join(r.choice(signs) for _ in range(r.randrange(14)))
+        folded, starts, ends = L.folded_positions(text)
+        assert folded == fold_for_match(text) and len(folded) == len(starts) == len(ends)
+        assert all(0 <= a < b <= len(text) for a, b in zip(starts, ends)) and starts == sorted(starts)
+
+
+def test_decomposed_and_nested_quotations_are_removed(spark, monkeypatch):
+    quoted = unicodedata.normalize("NFD", KOREAN)
+    inner = ITEM[:50] + " " + quoted + " " + ITEM[50:]
+    d = spark.createDataFrame([(1, "앞말 " + quoted + " 뒷말"), (2, "before " + ITEM[:35] + quoted + ITEM[35:70] + " after"), (3, inner)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, KOREAN), (2, ITEM)], "item_id long, item_text string")
+    for size in (L.BLOCK_BYTES, 100):
+        monkeypatch.setattr(L, "BLOCK_BYTES", size)
+        out = L.remove_leaks(d, items)
+        assert L.leaked_items(out, items).count() == 0
+        got = {x.doc_id: x.text for x in out.collect()}
+        assert got[1] == "앞말  뒷말" and got[2].startswith("before") and got[2].endswith("after")
