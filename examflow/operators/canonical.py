@@ -59,7 +59,7 @@ def number_images(finals: DataFrame, doc: str, question: str) -> DataFrame:
     rows = own.unionByName(opts).where("i is not null").drop("i")
     w = Window.partitionBy(doc).orderBy(question, "option_pos", "image_pos")
     rows = rows.withColumn("image_no", F.row_number().over(w)).withColumn("image_pos", F.col("image_pos") + 1)
-    image_id = F.concat(F.lit("image"), F.lpad(F.col("image_no").cast("string"), 3, "0"))
+    image_id = F.concat(F.lit("image"), F.lpad(F.col("image_no").cast("string"), F.greatest(F.lit(3), F.length(F.col("image_no").cast("string"))), F.lit("0")))
     return rows.withColumn("image_id", image_id).withColumn("image_name", F.concat(image_id, F.lit(".png")))
 
 

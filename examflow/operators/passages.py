@@ -39,7 +39,7 @@ def db_records(texts: DataFrame, images: DataFrame, doc: str, stem: str) -> Data
     q, c = F.coalesce("question_text", F.lit("")), F.coalesce("choices_text", F.lit(""))
     number = F.when(F.col("has_text"), F.col("qno")).otherwise(F.col("image_qno"))
     digest = F.sha1(T.collapse(F.concat(q, F.lit("\n"), c, F.lit("\n"))))
-    record = F.concat(F.coalesce(stem, F.lit("")), F.lit(":"), F.lpad(F.col("question_index").cast("string"), 3, "0"), F.lit(":"), F.coalesce(number.cast("string"), F.lit("na")), F.lit(":"), F.substring(digest, 1, 12))
+    record = F.concat(F.coalesce(stem, F.lit("")), F.lit(":"), F.lpad(F.col("question_index").cast("string"), F.greatest(F.lit(3), F.length(F.col("question_index").cast("string"))), F.lit("0")), F.lit(":"), F.coalesce(number.cast("string"), F.lit("na")), F.lit(":"), F.substring(digest, 1, 12))
     return both.select(doc, F.lit("v1").alias("schema_version"), record.alias("record_id"), "question_index", number.alias("question_number"), q.alias("question_text"), c.alias("choices_text"), F.coalesce("problem_image_paths", F.array().cast("array<string>")).alias("problem_image_paths"), digest.alias("content_hash"))
 
 

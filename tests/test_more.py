@@ -95,3 +95,16 @@ def test_pipelines(spark, tmp_path):
     words = spark.createDataFrame([(1, 1, (10.0, 300.0, 20.0, 308.0), "1."), (1, 1, (25.0, 301.0, 60.0, 308.0), "가"), (1, 2, (10.0, 300.0, 20.0, 308.0), "2.")], f"d int, page int, bbox {BOX}, text string")
     pages = spark.createDataFrame([(1, 1, 595.0), (1, 2, 595.0)], "d int, page int, page_width double")
     assert rows(pipelines.parse_words(words, pages, "d"), "question_number", "text") == [(1, "가")]
+
+
+def test_numbers_from_1000_on_stay_whole(spark):
+    from examflow.operators import canonical, passages
+
+    image = "struct<image_id:string>"
+    finals = spark.createDataFrame([(1, 1, [("x",)] * 1010, None)], f"u int, q int, images array<{image}>, options array<struct<images:array<{image}>>>")
+    ids = {r.image_no: r.image_id for r in canonical.number_images(finals, "u", "q").collect()}
+    assert len(set(ids.values())) == 1010 and (ids[7], ids[100], ids[1000]) == ("image007", "image100", "image1000")
+    texts = spark.createDataFrame([(1, "s", 1000, 5, "t", "c"), (1, "s", None, 5, "t", "c")], "d int, stem string, question_index int, qno int, question_text string, choices_text string")
+    pictures = spark.createDataFrame([], "d int, question_index int, image_qno int, problem_image_paths array<string>")
+    got = {r.question_index: r.record_id for r in passages.db_records(texts, pictures, "d", "stem").collect()}
+    assert got[1000].startswith("s:1000:5:") and got[None] is None
