@@ -1,10 +1,12 @@
 """Problem 8: personal data inside free text, found and replaced by typed placeholders.
 
 An Aho-Corasick automaton walks each text once and reports anchors: at-signs (also written out),
-dialling prefixes, words that announce an identifier or a name, and the ends of street names.
-A deterministic parser expands each anchor to both sides, validates the boundaries and the inner
-shape, and drops what only looks alike (booklet, ticket, business and version numbers, server
-addresses, dates, places without a house number).
+dialling prefixes, words that announce a name, and the ends of street names. A second one walks the
+digit-masked text of rows with digits and reports the shapes of identity numbers. A deterministic
+parser expands each anchor to both sides, validates the boundaries and the inner shape, and drops
+what only looks alike (booklet, ticket, business and version numbers, server addresses, dates,
+places without a house number, ordinary words after a cue for a name). Every parser looks at a
+bounded stretch around its anchor, so the time is linear in the length of a text.
 
 Positions are code points of the original text: every folding used is one character to one.
 Defined results: null and empty text give no rows and stay as they are; overlapping finds keep the
@@ -14,6 +16,7 @@ longer one (then the earlier type in TYPES); the same text in another row gives
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,7 +39,27 @@ KO_AFTER = "님|씨| 선생님| 교수| 조교| 강사".split("|")
 EN_BEFORE = ("prepared by|reviewed by|written by|compiled by|edited by|submitted by|graded by|author:|author|contact|candidate|applicant|care of|c/o|talk by|lecture by|name:|student|tutor").split("|")
 EN_AFTER = (" asked about", " wrote", " made the same", " submitted")
 STREET_WORDS = "Avenue|Ave|Street|St|Road|Rd|Lane|Ln|Drive|Dr|Court|Ct|Boulevard|Blvd|Way|Place|Pl|Terrace|Square|Sq|Highway|Hwy".split("|")
+# Ordinary words that follow a cue for a name but are none.
+KO_WORDS = (
+    "강의 강좌 강조 계산 공부 공식 과목 과정 구분 구성 구조 국가 국어 기관 기록 기본 기준 기출 노력 노트 도구 명단 명령 명시 명칭 모두 문단 문법 문서 문의 문장 문제 문항 "
+    "방법 방식 방향 배점 배정 변경 변화 비교 서류 서술 선발 선택 선생 설명 성과 성명 성적 소개 소속 송부 신분 신청 안내 양식 양측 여기 여러 여부 연구 연락 연습 예시 예정 오늘 "
+    "오답 우리 우선 원고 원리 원문 유의 유형 육성 은행 의견 이것 이곳 이날 이론 이름 이번 이상 이하 이후 인원 인정 임시 임용 자격 장소 전원 전체 정답 정리 정보 정의 정확 제도 "
+    "제목 제출 조건 조교 조사 주관 주소 주의 주장 지도 지면 지문 지시 지원 진도 진행 차례 차이 채점 책임 천천 최근 최종 추가 추천 출제 탁월 편집 표기 표시 하나 학습 한국 한글 "
+    "함께 해설 허용 현재 형식 홍보 황금"
+).split()
+EN_WORDS = frozenset(
+    "Academy Act Agency All Annual Any April Assistant Association August Bank Board Book Bureau Centre Center Chair Chapter City College Committee Common Community Company Congress Copy Corporation Council "
+    "Country County Course Court Daily Data December Deep Department Desk Director District Each East Editor English Every Exam Faculty February Federal Final First Form Foundation Friday General Global "
+    "Government Graduate Great Group Help Her High Higher His House Human International January July June Junior Kingdom Korea Korean Law Library Local Machine March Math May Mathematics Ministry Monday "
+    "Museum National New News North November October Office Open Our Paper Part Please Policy Press Primary Problem Professor Project Public Question Questions Records Republic Research Saturday School "
+    "Science Second Section Senior September Service Services Society Software South State States Student Study Sunday Support Systems Teacher Team Test That The Their These This Thursday Tuesday Union "
+    "Unit United University Web Wednesday Week West What When Which World Year Young Your".split()
+)
+EN_ENDINGS = ("tion", "sion", "ment", "ness", "ology", "ics", "ism", "ship", "ance", "ence", "ability", "ivity")
 
+_KO_WORDS = frozenset(KO_WORDS)
+#: What may follow an ordinary word: nothing, a particle, or the ending of a derived word.
+_ENDINGS = ("", *"은는이가을를의에도로와과만들자어서")
 _NAME_KO = rf"(?:(?:{'|'.join(FAMILY_TWO)}) ?[가-힣]{{1,2}}|[{FAMILY_ONE}] ?[가-힣]{{2}}|[{FAMILY_ONE}][가-힣](?![가-힣]))"
 _KO_NAME_AT = re.compile(rf"[ \t]*[:：]?[ \t]*({_NAME_KO})(?=$|[^가-힣]|님|씨|이고|이다|이며|의|은|는|이|가|을|를|에게|께|과|와|도|\s)")
 _KO_NAME_TO = re.compile(rf"(?<![가-힣])((?:(?:{'|'.join(FAMILY_TWO)}) ?[가-힣]{{1,2}}|[{FAMILY_ONE}] ?[가-힣]{{2}}))$")
@@ -57,6 +80,10 @@ _RRN = re.compile(r"(?<![\d\-.])\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\s?
 _PASSPORT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{1,2}\d{7,8}(?![A-Za-z0-9])")
 _LICENCE = re.compile(r"(?<![\d\-])\d{2}-\d{2}-\d{6}-\d{2}(?![\d]|-\d)")
 _SSN = re.compile(r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d]|-\d)")
+_ID_NUMBERS = {"rrn": _RRN, "passport": _PASSPORT, "licence": _LICENCE, "ssn": _SSN}
+_DIGIT = re.compile(r"\d")
+#: Every digit as 0, every blank as a space: what the shapes are looked up in.
+_MASK = {c: 0x30 for c in range(0x31, 0x3A)} | {c: 0x20 for c in (9, 10, 11, 12, 13)}
 _NOT_PERSONAL = re.compile(r"(?:사업자|법인|접수 번호|교재 번호|주문|ticket|booklet|build|version|isbn)[^\d]{0,8}$", re.I)
 
 _KO_HOUSE = (
@@ -94,6 +121,13 @@ class _Anchors:
             a.add_word(w, (len(w), tuple(kinds)))
         a.make_automaton()
         self.iter = a.iter
+        b = ahocorasick.Automaton()
+        shapes = {"rrn": [f"000000{x}0000000" for x in ("", "-", " ", " -", "- ", " - ", "  ")], "passport": ["0000000"], "licence": ["00-00-000000-00"], "ssn": ["000-00-0000"]}
+        for kind, forms in shapes.items():
+            for f in forms:
+                b.add_word(f, (len(f), kind))
+        b.make_automaton()
+        self.shapes = b.iter
 
 
 _ANCHORS: list[_Anchors] = []
@@ -122,24 +156,23 @@ def find_pii(text: str) -> list[tuple[str, int, int]]:
     if len(low) != len(t):
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in t)
     found: list[tuple[str, int, int]] = []
-    done: set[tuple[str, int]] = set()
-    digits_to = 0
+    digits_to = street_to = 0
     for end, (size, kinds) in _ANCHORS[0].iter(low):
         at, after = end + 1 - size, end + 1
         for kind in kinds:
             if kind == "at":
                 _email(t, at, after, found)
             elif kind == "ko_before":
-                if (m := _KO_NAME_AT.match(t, after, after + 16)) and _opens(t, at, t[at:after]):
+                if (m := _KO_NAME_AT.match(t, after, after + 16)) and _opens(t, at, t[at:after]) and _ko_name(m[1]):
                     found.append(("name", m.start(1), m.end(1)))
             elif kind == "ko_after":
-                if m := _KO_NAME_TO.search(t[max(0, at - 7) : at]):
+                if (m := _KO_NAME_TO.search(t[max(0, at - 7) : at])) and _ko_name(m[1]):
                     found.append(("name", max(0, at - 7) + m.start(1), at))
             elif kind == "en_before":
-                if (m := _EN_NAME_AT.match(t, after)) and (at == 0 or not t[at - 1].isalnum()):
+                if (m := _EN_NAME_AT.match(t, after, after + 120)) and (at == 0 or not t[at - 1].isalnum()) and _en_name(m[1]):
                     found.append(("name", m.start(1), m.end(1)))
             elif kind == "en_after":
-                if m := _EN_NAME_TO.search(t[max(0, at - 60) : at]):
+                if (m := _EN_NAME_TO.search(t[max(0, at - 60) : at])) and _en_name(m[1]):
                     found.append(("name", max(0, at - 60) + m.start(1), at))
             elif kind in ("kr_phone", "us_phone"):
                 start = at
@@ -159,29 +192,44 @@ def find_pii(text: str) -> list[tuple[str, int, int]]:
                             found.append(("address", m.start(), m.end()))
                             digits_to = m.end()
                             break
-            elif kind == "en_street":
-                start = max(0, at - 48)
-                for m in _EN_ADDRESS.finditer(t, start):
+            elif kind == "en_street" and after > street_to:
+                start = max(0, at - 48, street_to)
+                for m in _EN_ADDRESS.finditer(t, start, min(len(t), after + 80)):
                     if m.start() > at:
                         break
-                    if m.end() > at and (m.start() > start or start == 0):
+                    if m.end() > at and (m.start() > start or start in (0, street_to)):
                         found.append(("address", m.start(), m.end()))
+                        street_to = m.end()
                         break
     _numbers(t, found)
-    best: list[tuple[str, int, int]] = []
+    # The longest first; what is kept never overlaps, so its neighbours in order tell about the rest.
+    best: list[tuple[int, int, str]] = []
     found = [(k, _first(t, a, b), b) for k, a, b in found]
     for k, a, b in sorted(set(found), key=lambda x: (x[1] - x[2], TYPES.index(x[0]), x[1])):
-        if all(b <= c or a >= d for _, c, d in best) and (k, a) not in done:
-            done.add((k, a))
-            best.append((k, a, b))
-    return sorted(best, key=lambda x: x[1])
+        at = bisect_left(best, (a, b, k))
+        if (at == 0 or best[at - 1][1] <= a) and (at == len(best) or best[at][0] >= b):
+            best.insert(at, (a, b, k))
+    return [(k, a, b) for a, b, k in best]
+
+
+def _ko_name(name: str) -> bool:
+    """Whether a candidate is not an ordinary word with or without a particle."""
+    return name[1:2] == " " or name[:2] not in _KO_WORDS or name[2:3] not in _ENDINGS
+
+
+def _en_name(name: str) -> bool:
+    """Whether no part of a candidate is an ordinary word of offices, papers and subjects."""
+    parts = [p for p in re.split(r"[ ,]+", name) if len(p) > 2]
+    return not any(p in EN_WORDS or (len(p) > 5 and p.endswith(EN_ENDINGS)) for p in parts)
 
 
 def _opens(t: str, at: int, cue: str) -> bool:
     """Whether a cue stands as a word; a review is one only at the start of a clause, as it is also a matter of papers."""
     if at and "가" <= t[at - 1] <= "힣":
         return False
-    return cue != "검토" or t[:at].rstrip(" ")[-1:] in ("", "\n", ",", ".", "(", ":", ";")
+    while at and t[at - 1] == " ":
+        at -= 1
+    return cue != "검토" or t[at - 1 : at] in ("", "\n", ",", ".", "(", ":", ";")
 
 
 def _first(t: str, a: int, b: int) -> int:
@@ -213,13 +261,17 @@ def _email(t: str, at: int, after: int, found: list) -> None:
 
 
 def _numbers(t: str, found: list) -> None:
-    """Identity numbers: their shapes are strict enough to be validated without a cue."""
-    if not any(c.isdigit() for c in t):
+    """Identity numbers: the automaton of shapes finds where one may stand, its pattern validates it there."""
+    if not _DIGIT.search(t):
         return
-    for rx in (_RRN, _PASSPORT, _LICENCE, _SSN):
-        for m in rx.finditer(t):
-            if not _NOT_PERSONAL.search(t[max(0, m.start() - 16) : m.start()]):
-                found.append(("id_number", m.start(), m.end()))
+    for end, (size, kind) in _ANCHORS[0].shapes(t.translate(_MASK)):
+        start = end + 1 - size
+        if kind == "passport":  # its letters stand before the digits
+            while start and end - start < 9 and t[start - 1].isascii() and t[start - 1].isalpha():
+                start -= 1
+        m = _ID_NUMBERS[kind].match(t, start)
+        if m and not _NOT_PERSONAL.search(t[max(0, start - 16) : start]):
+            found.append(("id_number", start, m.end()))
 
 
 def redact_text(text: str | None) -> str | None:

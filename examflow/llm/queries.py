@@ -80,7 +80,12 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(load(spark, sf_dir, "documents")).select("doc_id", "pii_type", "start_pos")
 
 
-QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p2_found": p2_found, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p4_groups": p4_groups, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with placeholders in place of personal data."""
+    return pii.redact(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p2_found": p2_found, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p4_groups": p4_groups, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found, "p8_redacted": p8_redacted}
 
 
 def _sql_different(x: str) -> str:

@@ -31,6 +31,28 @@ def test_not_cases():
         assert P.find_pii(text) == [], text
 
 
+def test_ordinary_words_after_a_cue():
+    for text in ("contact United States", "name: Machine Learning", "student Higher Education", "Reviewed by Annual Committee", "교수 방법은", "감독관 이것은", "작성자 연구"):
+        assert P.find_pii(text) == [], text
+    assert [text[a:b] for text in ("교수 김지은은", "작성자 이름담") for _, a, b in P.find_pii(text)] == ["김지은", "이름담"]
+
+
+def test_identity_shapes():
+    text = "여권 M12345678, AB1234567 / 12-34-567890-12 / 790619 2424443"
+    assert [(k, text[a:b]) for k, a, b in P.find_pii(text)] == [("id_number", x) for x in ("M12345678", "AB1234567", "12-34-567890-12", "790619 2424443")]
+    assert P.find_pii("XYZM123456789 1912-34-567890-12 7906192424443000") == []
+
+
+def test_time_is_linear():
+    import time
+
+    for part in ("this way and that road to the st place one two ", "검토 ", "tel 010-1234-5678 ", "user@", "123 Main "):
+        text = part * (250_000 // len(part))
+        began = time.process_time()
+        P.find_pii(text)
+        assert time.process_time() - began < 3, part
+
+
 def test_redaction_keeps_the_rest():
     assert P.redact_text("연락처 010-0407-7439 끝") == "연락처 [PHONE] 끝"
     assert P.redact_text(None) is None and P.redact_text("") == ""
