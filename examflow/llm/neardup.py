@@ -10,16 +10,24 @@ are counted exactly. Entries held by many records are cut into blocks of at most
 multiplied block by block, so no task holds a whole column. Records with equal sets form a class
 and only one of them takes part.
 
+The order only has to be the same for all records, so it is taken from counts of all entries in
+BUCKETS hash buckets: an array of fixed size whatever the number of records. An entry alone in its
+bucket stands in one record only and is not carried further. The sets cross the network once, by
+the key of their record, and stay in that partitioning for both sides of the exact count.
+
 Defined results: a record without any word pair is like no other; null options, null entries and
 null texts add nothing; repeated deliveries of a record are one record.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..common import cut_lineage, first_delivery
+from ..common import cut_lineage
 from .charforms import with_plain_form
 
 #: Similarity wanted, as the fraction NUMERATOR / DENOMINATOR.
@@ -28,9 +36,10 @@ NUMERATOR, DENOMINATOR = 1, 2
 K = 3
 #: Records in one block of one column of the incidence matrix.
 BLOCK = 2000
-#: Records of one class that are still paired with each other; None, as every pair counts. A caller
-#: who wants a star instead of all pairs of a larger class sets a number.
-FULL_COPIES: int | None = None
+#: Hash buckets of the entry counts that order the entries (4 bytes each on every worker).
+BUCKETS = 1 << 22
+#: Hot entries (of more than BLOCK records) that are broadcast; more of them are joined instead.
+HOT_ROWS = 1_000_000
 _SEPARATOR = "\u001e"
 
 
@@ -45,63 +54,120 @@ def word_pairs(texts: Column) -> Column:
 
 
 def record_sets(records: DataFrame, key: str = "qf_id", content: str = "content", options: str = "options") -> DataFrame:
-    """(key, grams, n): the set of each record, from its content without image tokens and its options."""
+    """(key, grams, n, h1, h2): the set of each delivered record, from its content without image tokens and its options."""
     inner = F.transform(F.coalesce(F.col(options), F.array().cast(records.schema[options].dataType)), lambda o: F.coalesce(o["content"], F.lit("")))
     joined = F.array_join(F.concat(F.array(F.coalesce(F.col(content), F.lit(""))), inner), _SEPARATOR)
-    rows = first_delivery(records.select(key, content, options), key).select(key, joined.alias("joined"))
+    rows = records.select(key, joined.alias("joined"))
     plain = F.regexp_replace(F.lower("joined"), r"\[image\d+\]", " ")
-    sets = with_plain_form(rows, "joined", "joined").select(key, word_pairs(F.split(plain, _SEPARATOR)).alias("grams"))
-    return sets.select(key, "grams", F.size("grams").alias("n"))
+    sets = with_plain_form(rows, "joined", "joined").select(key, F.sort_array(word_pairs(F.split(plain, _SEPARATOR))).alias("grams"))
+    return sets.select(key, "grams", F.size("grams").alias("n"), F.xxhash64("grams").alias("h1"), F.xxhash64(F.lit("again"), F.reverse("grams")).alias("h2"))
+
+
+def bucket_counts(sets: DataFrame):
+    """Occurrences of all entries by hash bucket, as one array of BUCKETS numbers."""
+    import numpy as np
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            at, n = np.unique(flat & (BUCKETS - 1), return_counts=True)
+            counts[at] += n
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["bucket", "n"])
+
+    summed = sets.select("grams").mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = np.zeros(BUCKETS, dtype=np.int32)
+    got = summed.select("bucket", F.least("n", F.lit(2**31 - 1)).cast("int").alias("n")).toArrow()  # at most BUCKETS rows
+    counts[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
+    return counts
+
 
+def ordered_sets(sets: DataFrame, key: str) -> DataFrame:
+    """(key, n, h1, h2, alone, cold, grams): entries rare first, without those ``alone`` in their bucket.
 
-def classes(sets: DataFrame, key: str) -> DataFrame:
-    """(key, class_id): records with equal sets share the least key; records with empty sets are left out."""
-    filled = sets.where("n > 0").select(key, F.array_sort("grams").alias("g"))
-    marks = filled.select(key, F.xxhash64("g").alias("h1"), F.md5(F.array_join(F.transform("g", lambda x: x.cast("string")), ",")).alias("h2"))
-    least = marks.groupBy("h1", "h2").agg(F.min(key).alias("class_id"))
-    return marks.join(least, ["h1", "h2"]).select(key, "class_id")
+    The first ``cold`` entries surely stand in at most BLOCK records. One row for each record, partitioned by the key.
+    """
+    import numpy as np
+
+    shared = sets.sparkSession.sparkContext.broadcast(bucket_counts(sets))
+    names = [key, "n", "h1", "h2", "alone", "cold", "grams"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            grams = batch.column(4)
+            flat = grams.flatten().to_numpy(zero_copy_only=False)
+            size = np.diff(grams.offsets.to_numpy()).astype(np.int64)
+            row = np.repeat(np.arange(len(size)), size)
+            f = counts[flat & (BUCKETS - 1)]
+            kept = f > 1
+            flat, row, f = flat[kept], row[kept], f[kept]
+            order = np.lexsort((flat, f, row))
+            flat, row, f = flat[order], row[order], f[order]
+            left = np.bincount(row, minlength=len(size))
+            cold = np.bincount(row[f <= BLOCK], minlength=len(size))
+            ends = np.concatenate([[0], np.cumsum(left)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array((size - left).astype(np.int32)), pa.array(cold.astype(np.int32)), lists], names=names)
+
+    kind = sets.schema[key].dataType.simpleString()
+    rows = sets.select(key, "n", "h1", "h2", "grams").mapInArrow(run, f"`{key}` {kind}, n int, h1 bigint, h2 bigint, alone int, cold int, grams array<bigint>")
+    return rows.repartition(key).dropDuplicates([key])
 
 
 def similar_classes(sets: DataFrame) -> DataFrame:
-    """(a, b, common, n_a, n_b), a < b: classes whose similarity reaches the bound. ``sets``: id, grams, n."""
-    entries = sets.select("id", "n", F.explode("grams").alias("gram"))
-    held = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    # The order is rare first; entries of one record only come first and cannot match.
-    shared = entries.join(held, "gram").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("f", "gram"))).alias("order"))
-    order = shared.select("id", "n", (F.col("n") - F.size("order")).alias("alone"), F.posexplode("order").alias("at", "entry"))
-    order = order.select("id", "n", (F.col("alone") + F.col("at")).alias("i"), F.col("entry.gram").alias("gram"), F.col("entry.f").alias("f"))
+    """(a, b, common, n_a, n_b), a < b: classes whose similarity reaches the bound. ``sets``: id, n, alone, cold, grams."""
     # Whatever the partner: it has at least n * t entries, so at least ceil(n * t) are common.
-    order = order.where(F.col("i") <= F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + K - 1)
-    blocks = F.ceil(F.col("f") / BLOCK).cast("int")
-    order = order.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("f")
-    spread = order.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("gram", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "id", "n", "i", "block")
-    left = spread.where("block = x").select("gram", "x", "y", F.col("id").alias("p"), F.col("n").alias("n_p"), F.col("i").alias("i_p"))
-    right = spread.where("block = y").select("gram", "x", "y", F.col("id").alias("q"), F.col("n").alias("n_q"), F.col("i").alias("i_q"))
-    need = F.ceil((F.col("n_p") + F.col("n_q")) * NUMERATOR / (NUMERATOR + DENOMINATOR))
-    wanted = F.least(F.lit(K), need)
-    met = left.join(right, ["gram", "x", "y"]).where((F.col("x") < F.col("y")) | (F.col("p") < F.col("q")))
-    met = met.where((F.col("n_p") - F.col("i_p") >= need - wanted + 1) & (F.col("n_q") - F.col("i_q") >= need - wanted + 1))
-    pair = [F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")]
-    counted = met.groupBy(*pair).agg(F.count(F.lit(1)).alias("seen"), F.max(wanted).alias("wanted"))
+    prefix = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + K - F.col("alone")
+    order = sets.select("id", "n", "alone", "cold", F.posexplode(F.slice("grams", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("at", "gram"))
+    order = order.select("id", "n", (F.col("alone") + F.col("at")).alias("i"), "gram", (F.col("at") >= F.col("cold")).alias("warm"))
+    hot = order.where("warm").groupBy("gram").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") > BLOCK).select("gram", F.ceil(F.col("f") / BLOCK).cast("int").alias("blocks"))
+    hot = cut_lineage(hot)
+    n_hot = hot.count()
+    if n_hot == 0:
+        met = _met(order, order, ["gram"]).where("p < q")
+    else:
+        hot = F.broadcast(hot) if n_hot <= HOT_ROWS else hot
+        order = order.join(hot, "gram", "left")
+        cold = order.where("blocks is null").drop("blocks")
+        order = order.where("blocks is not null").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        spread = order.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        spread = spread.select("gram", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "id", "n", "i", "block")
+        blocks = _met(spread.where("block = x"), spread.where("block = y"), ["gram", "x", "y"]).where((F.col("x") < F.col("y")) | (F.col("p") < F.col("q")))
+        met = _met(cold, cold, ["gram"]).where("p < q").unionByName(blocks.drop("x", "y"))
+    counted = met.groupBy(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).agg(F.count(F.lit(1)).alias("seen"), F.max("wanted").alias("wanted"))
     candidates = counted.where("seen >= wanted").select("a", "b")
     grams = lambda s: sets.select(F.col("id").alias(s), F.col("grams").alias(f"g_{s}"), F.col("n").alias(f"n_{s}"))
-    exact = candidates.join(grams("a"), "a").join(grams("b"), "b")
+    exact = candidates.join(grams("b"), "b").join(grams("a"), "a")
     exact = exact.select("a", "b", F.size(F.array_intersect("g_a", "g_b")).alias("common"), "n_a", "n_b")
     return exact.where(F.col("common") * DENOMINATOR >= (F.col("n_a") + F.col("n_b") - F.col("common")) * NUMERATOR)
 
 
+def _met(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, p, q, wanted): common prefix entries that the sizes and places of both records allow to count."""
+    left = left.select(*keys, F.col("id").alias("p"), F.col("n").alias("n_p"), F.col("i").alias("i_p"))
+    right = right.select(*keys, F.col("id").alias("q"), F.col("n").alias("n_q"), F.col("i").alias("i_q"))
+    need = F.ceil((F.col("n_p") + F.col("n_q")) * NUMERATOR / (NUMERATOR + DENOMINATOR))
+    wanted = F.least(F.lit(K), need)
+    met = left.join(right, keys).where((F.col("n_p") - F.col("i_p") >= need - wanted + 1) & (F.col("n_q") - F.col("i_q") >= need - wanted + 1))
+    return met.select(*keys, "p", "q", wanted.alias("wanted"))
+
+
 class NearDuplicates:
     """Classes of equal records and links between similar classes of ``records``."""
 
     def __init__(self, records: DataFrame, key: str = "qf_id", content: str = "content", options: str = "options"):
         self.key = key
         # Read several times below: written once where every executor can read it.
-        sets = cut_lineage(record_sets(records, key, content, options))
-        self.all_keys = sets.select(key)
-        self.members = cut_lineage(classes(sets, key))
-        chosen = self.members.where(F.col(key) == F.col("class_id")).select("class_id")
-        self.sets = sets.join(chosen, F.col(key) == F.col("class_id"), "left_semi").withColumnRenamed(key, "id")
+        ordered = cut_lineage(ordered_sets(cut_lineage(record_sets(records, key, content, options)), key))
+        self.all_keys = ordered.select(key)
+        # Records with equal sets share the least key; records with empty sets are in no class.
+        marks = ordered.where("n > 0").select(key, "h1", "h2")
+        least = marks.groupBy("h1", "h2").agg(F.min(key).alias("class_id"))
+        self.members = cut_lineage(marks.join(least, ["h1", "h2"]).select(key, "class_id"))
+        chosen = self.members.where(F.col(key) == F.col("class_id")).select(key)
+        self.sets = ordered.join(chosen, key, "left_semi").select(F.col(key).alias("id"), "n", "alone", "cold", "grams")
 
     def links(self) -> DataFrame:
         """(a, b, common, n_a, n_b) between classes."""
@@ -110,13 +176,13 @@ class NearDuplicates:
     def pairs(self) -> DataFrame:
         """(key_a, key_b), key_a < key_b: every two records of the required similarity.
 
-        Every pair at every size of a class (unless FULL_COPIES is set: then a larger class is a star
-        around its least key). Members are cut into blocks of about BLOCK records and joined block by
-        block, so no task pairs a whole class.
+        Every pair at every size of a class: members are cut into blocks of about BLOCK records and
+        joined block by block, so no task pairs a whole class. Where copies are many, ``groups`` says
+        the same in one row for each record.
         """
         sizes = self.members.groupBy("class_id").agg(F.count(F.lit(1)).alias("size"))
         large = sizes.where(F.col("size") > BLOCK).select("class_id", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-        alike = sizes.where("size > 1" if FULL_COPIES is None else f"size > 1 and size <= {FULL_COPIES}")
+        alike = sizes.where("size > 1")
         between = self.links().select("a", "b").unionByName(alike.select(F.col("class_id").alias("a"), F.col("class_id").alias("b")))
         for c, x in (("a", "x"), ("b", "y")):
             n = F.coalesce("blocks", F.lit(1))
@@ -127,9 +193,6 @@ class NearDuplicates:
         of = lambda c, x, k: members.select(F.col("class_id").alias(c), F.col("block").alias(x), F.col(self.key).alias(k))
         rows = between.join(of("a", "x", "p"), ["a", "x"]).join(of("b", "y", "q"), ["b", "y"])
         rows = rows.where((F.col("a") != F.col("b")) | (F.col("x") < F.col("y")) | (F.col("p") < F.col("q"))).select("p", "q")
-        if FULL_COPIES is not None:
-            stars = self.members.join(sizes.where(F.col("size") > FULL_COPIES), "class_id").where(F.col(self.key) != F.col("class_id"))
-            rows = rows.unionByName(stars.select(F.col("class_id").alias("p"), F.col(self.key).alias("q")))
         return rows.select(F.least("p", "q").alias(f"{self.key}_a"), F.greatest("p", "q").alias(f"{self.key}_b"))
 
     def groups(self) -> DataFrame:

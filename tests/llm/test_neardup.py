@@ -47,10 +47,12 @@ def made(seed, n=90):
     return records
 
 
-@pytest.mark.parametrize("block", [2000, 2])
+@pytest.mark.parametrize("block, buckets, hot", [(2000, N.BUCKETS, 1000), (2, N.BUCKETS, 1000), (2, 16, 0)])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_against_brute_force(spark, monkeypatch, seed, block):
+def test_against_brute_force(spark, monkeypatch, seed, block, buckets, hot):
     monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "BUCKETS", buckets)
+    monkeypatch.setattr(N, "HOT_ROWS", hot)
     records = made(seed)
     df = spark.createDataFrame([(k, c, o, "x") for k, c, o in records + records[:5]], f"qf_id long, content string, options {OPTION}, grams string")
     found = N.NearDuplicates(df)
@@ -76,13 +78,6 @@ def test_long_chain_of_labels(spark):
     assert {r.label for r in N.connected_labels(edges).collect()} == {0}
 
 
-def test_many_copies_are_a_star(spark, monkeypatch):
-    monkeypatch.setattr(N, "FULL_COPIES", 3)
-    df = spark.createDataFrame([(i, "a b c d", None) for i in range(5)] + [(9, "a b c e", None), (10, "x y", None), (11, "x y", None)], f"qf_id long, content string, options {OPTION}")
-    got = {tuple(r) for r in N.NearDuplicates(df).pairs().collect()}
-    assert got == {(0, i) for i in range(1, 5)} | {(i, 9) for i in range(5)} | {(10, 11)}
-
-
 @pytest.mark.parametrize("block", [2000, 50])
 def test_every_pair_of_a_large_class(spark, monkeypatch, block):
     monkeypatch.setattr(N, "BLOCK", block)
