@@ -4,16 +4,22 @@ Lines whose digit-masked form recurs in the page margins of several uploads, or
 title, are headers; page numbers on a line of their own go too; words split by a hyphen at a line
 end are joined; words are grouped by confusable-glyph skeleton and a rare form gives way to a
 frequent form of its group which the neighbouring words support; the rest is reflowed with windows.
-
-Everything is counted over all rows of all tables given: nothing is sampled or capped. The texts
-are passed over four times and never shuffled: each pass combines its counts within the partition
+An unreadable sign is an open position of the skeleton: it stands for any one letter, and the form
+that the neighbouring words support best takes its place. A word with an open position that no
+form of its group fits is still found, and stays as it is in the repaired text.
+
+Everything is counted over all rows of all tables given: nothing is sampled or capped, and no
+threshold depends on the number of rows. The lines of a text are judged once and written; three
+more passes over the cleaned texts count words, the contexts of rare forms, and the support for
+their frequent forms. Texts are not shuffled: each pass combines its counts within the partition
 and only these move. A skeleton group of Hangul holds at most the 28 values of one glyph part, so
-no group grows with the data. Sets sent to the executors are checked for size and sent in blocks
-of at most BLOCK_ENTRIES, one pass for each block, beyond it.
+no group grows with the data. Sets sent to the executors are checked for size: words go in blocks
+of at most BLOCK_ENTRIES, one pass for each block; more than MAX_FORMS header forms are joined.
 
 Defined results: null and empty texts give no noise and stay as they are; repeated deliveries of
 a row are one row of the result (in the word counts they weigh as often as they were delivered);
-a missing box or page height only means that the row teaches no margin line.
+a missing box or page height only means that the row teaches no margin line; numbers on lines that
+follow one another are the rows of a grid and no page numbers.
 """
 
 from __future__ import annotations
@@ -27,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..common import cut_lineage
-from .charforms import SUSPICIOUS, plain_form
+from .charforms import SUSPICIOUS, plain_form, with_plain_form
 
 # Signs that end a split word, signs of unreadable characters, misread choice marks.
 HYPHENS = "\\-\u2010\u2011\u00ac\u00ad\u2212\u2013"
@@ -43,9 +49,9 @@ SPLIT_WORD = rf"(?<=[\p{{L}}\p{{N}}@{UNREADABLE}])[{HYPHENS}][ \t]*\n[ \t]*(?=[a
 MARGIN = 0.055
 #: Uploads in which a masked margin line must recur.
 MIN_UPLOADS = 2
-#: A frequent form has at least this many occurrences and this share of all words.
+#: A frequent form has at least this many occurrences; one that fills an open position is attested so often.
 MIN_FREQUENT = 20
-MIN_SHARE = 5e-5
+MIN_ATTESTED = 2
 #: A rare form has at most one in so many of the occurrences of the frequent form.
 RATIO = 12
 
@@ -57,6 +63,8 @@ KINDS = ("hyphen", "misread", "header", "pageno")
 HELD_COUNTS = 300_000
 #: Entries of one set sent to the executors.
 BLOCK_ENTRIES = 500_000
+#: Header forms that are broadcast; more of them are joined with the lines instead.
+MAX_FORMS = 200_000
 
 _LINE_END = re.compile("\r\n|\r|\n")
 _PAGE = re.compile(PAGE_NUMBER)
@@ -66,7 +74,8 @@ _SESSION = re.compile(r"^(?:#교시|무단복제금지)[^\w#]*")
 _FORM_LETTER = re.compile(r"\[[A-Z가-힣]형\]$")
 _SPLIT = re.compile(rf"(?<=[\w@{UNREADABLE}])[{HYPHENS}][ \t]*\n[ \t]*(?=[a-z가-힣0-9@{UNREADABLE}])")
 _TOKEN = re.compile(rf"[가-힣{UNREADABLE}]+|[A-Za-z0-9@{UNREADABLE}]*[A-Za-z][A-Za-z0-9@{UNREADABLE}]*|[0-9][0-9.,]*|[^\s]")
-_WORD = re.compile(rf"(?<![가-힣{UNREADABLE}])[가-힣]{{2,}}(?![가-힣{UNREADABLE}])|(?<![a-z0-9@{UNREADABLE}])[a-z0-9@]*[a-z][a-z0-9@]*(?![a-z0-9@{UNREADABLE}])")
+_WORD = re.compile(rf"[가-힣{UNREADABLE}]{{2,}}|[a-z0-9@{UNREADABLE}]*[a-z][a-z0-9@{UNREADABLE}]*")
+_PAGE_FORM = r"^[^#\p{L}\p{N}]{0,2}#(?:[^#\p{L}\p{N}]#)?[^#\p{L}\p{N}]{0,2}$"
 _UNREADABLE = re.compile(f"[{UNREADABLE}]")
 _UNREADABLE_IN_WORD = re.compile(rf"\w[{UNREADABLE}]|[{UNREADABLE}]\w")
 _MARK = re.compile(f"[{MISREAD_MARKS}]")
@@ -74,6 +83,7 @@ _MARK_OPENS = re.compile(rf"(?:^|\n)[ \t]*[{MISREAD_MARKS}][ \t]")
 _DIGIT_INSIDE = re.compile("[a-z][0-9@][a-z]")
 _DIGIT_IN_WORD = re.compile(r"(?<![@.\w])[A-Za-z]*[a-z][0-9@][a-z]")
 _SUSPICIOUS = re.compile(SUSPICIOUS)
+_SOFT_SPLIT = re.compile("\u00ad(?=[ \t]*(?:\r\n|\r|\n))")
 
 
 def line_form(line: Column) -> Column:
@@ -85,18 +95,23 @@ def line_form(line: Column) -> Column:
 
 
 def margin_forms(blocks: DataFrame, exams: DataFrame | None = None) -> DataFrame:
-    """(form): forms of header lines, from blocks that stand in a page margin and from exam titles."""
+    """(form): masked forms of header lines and page numbers, from blocks that stand in a page margin and from exam titles."""
     height = F.coalesce(F.col("page_height"), F.lit(841.9))
     edge = (F.col("bbox.y0") < MARGIN * height) | (F.col("bbox.y0") > (1 - MARGIN) * height)
     lines = blocks.where(edge & (F.col("bbox.y0") >= 0)).select("upload_id", F.explode(F.split("text", "\r\n|\r|\n")).alias("line"))
-    lines = lines.where(~F.col("line").rlike(PAGE_NUMBER)).select("upload_id", line_form(F.col("line")).alias("form"))
-    forms = lines.where(F.col("form").rlike(r"\p{L}{2}")).distinct().groupBy("form").count()
+    lines = lines.select("upload_id", F.when(F.col("line").rlike(PAGE_NUMBER), F.lit("")).otherwise(line_form(F.col("line"))).alias("form"), F.regexp_replace(F.regexp_replace("line", r"\d+", "#"), r"(?U)\s+", "").alias("masked"))
+    lines = lines.select("upload_id", F.when(F.col("masked").rlike(_PAGE_FORM), F.concat(F.lit(PAGE), "masked")).otherwise(F.col("form")).alias("form"))
+    forms = lines.where(F.col("form").rlike(r"\p{L}{2}") | F.col("form").startswith(PAGE)).distinct().groupBy("form").count()
     forms = forms.where(F.col("count") >= MIN_UPLOADS).select("form")
     if exams is not None:
         forms = forms.unionByName(exams.select(line_form(F.col("title")).alias("form")).where("form <> ''"))
     return forms.distinct()
 
 
+#: Stands before the masked form of a page number among the forms.
+PAGE = "\u0001"
+
+
 def form_of(line: str) -> str:
     """``line_form`` of one line."""
     bare = _LEAD.sub("", _BLANK.sub("", _DIGITS.sub("#", line)))
@@ -104,7 +119,7 @@ def form_of(line: str) -> str:
 
 
 class Judge:
-    """Judges the lines of a text by the header forms."""
+    """Judges the lines of a text by the forms of headers and page numbers."""
 
     def __init__(self, forms: set[str]):
         self.forms = forms
@@ -115,16 +130,69 @@ class Judge:
     def lines(self, text: str) -> tuple[list[str], bool, bool]:
         """The lines that are text; whether there was a header; whether there was a page number."""
         if _SUSPICIOUS.search(text):
-            text = plain_form(text)[0]
+            # A soft hyphen at a line end splits a word; elsewhere it is an invisible sign.
+            text = plain_form(_SOFT_SPLIT.sub("\u00ac", text))[0]
         kept, header, pageno = [], False, False
+        numbers: list[str] = []  # lines of a number alone that follow one another
         for line in _LINE_END.split(text) if "\n" in text or "\r" in text else (text,):
-            if len(line) < 12 and _PAGE.match(line):
+            bare = line.strip()
+            if bare.isdigit() and len(bare) <= 4:
+                numbers.append(line)
+                continue
+            if numbers:
+                pageno = pageno or len(numbers) == 1
+                kept += numbers if len(numbers) > 1 else []
+                numbers = []
+            if len(line) < 12 and (_PAGE.match(line) or PAGE + _BLANK.sub("", _DIGITS.sub("#", line)) in self.forms):
                 pageno = True
-            elif len(line) <= self.longest and line.rstrip()[-1:] in self.ends and form_of(line) in self.forms:
+            elif len(line) <= self.longest and bare[-1:] in self.ends and form_of(line) in self.forms:
                 header = True
-            elif line and not line.isspace():
+            elif bare:
                 kept.append(line)
-        return kept, header, pageno
+        kept += numbers if len(numbers) > 1 else []
+        return kept, header, pageno or len(numbers) == 1
+
+
+def judged(rows: DataFrame, text: str, blocks: DataFrame, exams: DataFrame | None = None) -> DataFrame:
+    """``rows`` with a struct ``__judged`` (joined, hyphen, header, pageno) of column ``text``, null for null.
+
+    Up to MAX_FORMS forms are broadcast; beyond, each row gets the forms of its own lines by a join.
+    """
+    forms = cut_lineage(margin_forms(blocks, exams))
+    column = F.col(f"`{text}`")
+    if forms.count() <= MAX_FORMS:
+        judge = rows.sparkSession.sparkContext.broadcast(Judge({f for (f,) in forms.toLocalIterator()}))
+        return rows.withColumn("__judged", _judge(judge)(column))
+    rows = with_plain_form(rows, text, "__plain").withColumn("__key", F.xxhash64("__plain"))
+    lines = F.split("__plain", "\r\n|\r|\n")
+    masked = lambda x: F.concat(F.lit(PAGE), F.regexp_replace(F.regexp_replace(x, r"\d+", "#"), r"(?U)\s+", ""))
+    both = F.array_distinct(F.concat(F.transform(lines, line_form), F.transform(lines, masked)))
+    own = rows.select("__key", F.explode(both).alias("form")).join(forms, "form", "left_semi").groupBy("__key").agg(F.collect_set("form").alias("__own"))
+    return rows.join(own, "__key", "left").withColumn("__judged", _judge(None)(column, F.coalesce("__own", F.array().cast("array<string>")))).drop("__plain", "__key", "__own")
+
+
+def _judge(judge):
+    """UDF over texts, with the forms of the broadcast judge or of a second column."""
+
+    def one(text: str | None, lines):
+        if text is None:
+            return None
+        kept, header, pageno = lines(text)
+        joined = join_split(kept)
+        return {"joined": joined, "hyphen": len(kept) > 1 and joined.count("\n") < len(kept) - 1, "header": header, "pageno": pageno}
+
+    kind = pa.struct([("joined", pa.string()), ("hyphen", pa.bool_()), ("header", pa.bool_()), ("pageno", pa.bool_())])
+
+    def shared(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lines = judge.value.lines
+        for batch in batches:
+            yield pa.array([one(t, lines) for t in batch.to_pylist()], type=kind)
+
+    def own(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, forms in batches:
+            yield pa.array([one(t, Judge(set(f)).lines) for t, f in zip(texts.to_pylist(), forms.to_pylist())], type=kind)
+
+    return F.arrow_udf(shared if judge is not None else own, "joined string, hyphen boolean, header boolean, pageno boolean")
 
 
 def join_split(kept: list[str]) -> str:
@@ -143,8 +211,12 @@ def words_of(joined: str) -> list[str]:
     return _WORD.findall(joined.lower())
 
 
-def plainly_misread(joined: str) -> bool:
-    """Unreadable signs in words, misread choice marks, digits inside words: seen without counts."""
+def open_skeleton(joined: str) -> bool:
+    """Whether the glyphs of a word or choice mark show by themselves that they were misread.
+
+    An unreadable sign inside a word is an open position, a digit between small letters or a sign
+    in place of a choice mark belongs to another glyph class than its neighbours.
+    """
     if _UNREADABLE.search(joined) and _UNREADABLE_IN_WORD.search(joined):
         return True
     if _MARK.search(joined) and _MARK_OPENS.search(joined):
@@ -160,13 +232,12 @@ def _blocks(rows: DataFrame, *keys: str) -> Iterator[list]:
         yield [tuple(r) for r in part.toLocalIterator()]
 
 
-def _counted(texts: DataFrame, judge, schema: str, emit) -> DataFrame:
+def _counted(texts: DataFrame, schema: str, emit) -> DataFrame:
     """Counts of what ``emit`` finds in each cleaned text, combined within each partition."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        lines = judge.value.lines
 
         def flush():
             keys = list(counts)
@@ -178,7 +249,7 @@ def _counted(texts: DataFrame, judge, schema: str, emit) -> DataFrame:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text:
-                    emit(join_split(lines(text)[0]), counts)
+                    emit(text, counts)
             if len(counts) > HELD_COUNTS:
                 yield flush()
         yield flush()
@@ -187,12 +258,23 @@ def _counted(texts: DataFrame, judge, schema: str, emit) -> DataFrame:
     return parts.groupBy(*names).agg(F.sum("n").alias("n"))
 
 
+def single_glyphs(word: Column) -> Column:
+    """The word in lower case with one sign for each class of confusable single glyphs."""
+    return F.translate(F.lower(word), "01i59@6c", "ollsgabe")
+
+
 def latin_skeleton(word: Column) -> Column:
-    """One skeleton for Latin words whose glyphs are easily confused."""
-    w = F.lower(word)
-    for a, b in (("l1", "h"), ("li", "h"), ("rn", "m"), ("vv", "w")):
+    """One skeleton for Latin words whose glyphs are easily confused: single glyphs, then pairs that look like one."""
+    w = single_glyphs(word)
+    for a, b in (("ll", "h"), ("rn", "m"), ("vv", "w")):
         w = F.replace(w, F.lit(a), F.lit(b))
-    return F.translate(w, "01i59@6c", "ollsgabe")
+    return w
+
+
+def open_forms(word: Column) -> Column:
+    """The word with each of its letters as an open position."""
+    at = F.sequence(F.lit(1), F.length(word))
+    return F.transform(at, lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.lit("*"), F.substring(word, i + 1, F.length(word))))
 
 
 def hangul_skeletons(word: Column) -> Column:
@@ -219,10 +301,17 @@ def stem(word: Column) -> Column:
 
 
 def candidate_pairs(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From (word, n): Latin pairs (wrong, right), and Hangul pairs (wrong, right, n, m) still to be supported by context."""
+    """From (word, n): Latin pairs (wrong, right), and pairs (wrong, right, n, m, gap) still to be supported by context.
+
+    ``gap`` says whether the wrong form has an open position.
+    """
+    unreadable = F.col("word").rlike(f"[{UNREADABLE}]")
+    gaps = counts.where(unreadable & (F.length(F.regexp_replace("word", f"[{UNREADABLE}]", "")) == F.length("word") - 1))
+    counts = counts.where(~unreadable).withColumn("least", F.lit(MIN_FREQUENT))
     hangul = F.col("word").rlike("^[가-힣]")
-    total = counts.agg(F.sum(F.when(hangul, F.col("n"))).alias("total")).first()["total"] or 0
-    counts = counts.withColumn("least", F.lit(max(MIN_FREQUENT, total * MIN_SHARE)))
+    attested = counts.where((F.col("n") >= MIN_ATTESTED) & ~F.col("word").rlike("[0-9@]")).select(F.col("word").alias("right"), F.col("n").alias("m"), F.explode(open_forms(single_glyphs(F.col("word")))).alias("form"))
+    gaps = gaps.select(F.col("word").alias("wrong"), "n", single_glyphs(F.regexp_replace("word", f"[{UNREADABLE}]", "*")).alias("form"))
+    gaps = gaps.join(attested, "form").select("wrong", "right", "n", "m", F.lit(True).alias("gap"))
 
     # Latin: one skeleton, the most frequent form of the group.
     latin = counts.where(~hangul).withColumn("skeleton", latin_skeleton(F.col("word")))
@@ -242,42 +331,39 @@ def candidate_pairs(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     stems = ko.groupBy(stem(F.col("word")).alias("s")).agg(F.sum("n").alias("k"))
     pairs = pairs.join(stems.select(F.col("s").alias("s1"), F.col("k").alias("k1")), stem(F.col("wrong")) == F.col("s1"))
     pairs = pairs.join(stems.select(F.col("s").alias("s2"), F.col("k").alias("k2")), stem(F.col("right")) == F.col("s2"))
-    return latin_pairs, pairs.where(F.col("k2") >= RATIO * F.col("k1")).select("wrong", "right", "n", "m")
+    pairs = pairs.where(F.col("k2") >= RATIO * F.col("k1")).select("wrong", "right", "n", "m", F.lit(False).alias("gap"))
+    return latin_pairs, pairs.unionByName(gaps)
 
 
 class Repair:
     """Noise found in rows, and their repaired text. ``rows``: table_name, row_key, text."""
 
     def __init__(self, rows: DataFrame, blocks: DataFrame, exams: DataFrame | None = None):
-        self.rows = rows.where("text is not null and text <> ''").select("table_name", "row_key", "text")
-        context = rows.sparkSession.sparkContext
-        # Forms of headers: those of the margins of all uploads; a booklet has a few, and digits are masked.
-        forms = {f for block in _blocks(margin_forms(blocks, exams), "form") for (f,) in block}
-        self.judge = context.broadcast(Judge(forms))
-        self.texts = self.rows.select("text")
+        rows = rows.select("table_name", "row_key", "text")
+        filled = F.col("text").isNotNull() & (F.col("text") != "")
+        self.blank = rows.where(~filled)
+        # Judged once; every later pass reads the cleaned texts.
+        self.rows = cut_lineage(judged(rows.where(filled), "text", blocks, exams).select("table_name", "row_key", "__judged.*"))
+        self.texts = self.rows.select("joined")
         self.pairs = cut_lineage(self._pairs())
 
     def _pairs(self) -> DataFrame:
-        """(wrong, right): rare forms and the frequent form of their skeleton that the context supports."""
-        spark = self.rows.sparkSession
+        """(wrong, right): forms to replace and the form of their skeleton that the context supports."""
+        context = self.rows.sparkSession.sparkContext
 
         def words(joined: str, counts: Counter) -> None:
             counts.update(words_of(joined))
 
-        counts = cut_lineage(_counted(self.texts, self.judge, "word string", words))
-        latin, hangul = candidate_pairs(counts)
-        hangul = cut_lineage(hangul)
+        latin, others = candidate_pairs(cut_lineage(_counted(self.texts, "word string", words)))
+        others = cut_lineage(others)
 
         met = None
-        for block in _blocks(hangul, "wrong"):
-            partners: dict[str, list[str]] = {}
-            for wrong, right, _, _ in block:
-                partners.setdefault(wrong, []).append(right)
-            rare = spark.sparkContext.broadcast(partners)
+        for block in _blocks(others.select("wrong").distinct(), "wrong"):
+            rare = context.broadcast(frozenset(w for (w,) in block))
 
             def contexts(joined: str, counts: Counter, rare=rare) -> None:
                 sought = rare.value
-                if sought.keys().isdisjoint(words_of(joined)):
+                if sought.isdisjoint(words_of(joined)):
                     return
                 tokens = tokens_of(joined)
                 for i, t in enumerate(tokens):
@@ -285,10 +371,10 @@ class Repair:
                         for side, j in (("l", i - 1), ("r", i + 1)):
                             counts[t, side, tokens[j] if 0 <= j < len(tokens) else ""] += 1
 
-            seen = cut_lineage(_counted(self.texts, self.judge, "word string, side string, x string", contexts))
-            wanted = seen.join(hangul.select(F.col("wrong").alias("word"), "right"), "word").select("right", "side", "x").distinct()
+            seen = cut_lineage(_counted(self.texts, "word string, side string, x string", contexts))
+            wanted = cut_lineage(seen.join(others.select(F.col("wrong").alias("word"), "right"), "word").select("right", "side", "x").distinct())
             for part in _blocks(wanted, "right", "side", "x"):
-                needed = spark.sparkContext.broadcast((frozenset(part), frozenset(r for r, _, _ in part)))
+                needed = context.broadcast((frozenset(part), frozenset(r for r, _, _ in part)))
 
                 def support(joined: str, counts: Counter, needed=needed) -> None:
                     wanted, heads = needed.value
@@ -300,17 +386,22 @@ class Repair:
                                 if key in wanted:
                                     counts[key] += 1
 
-                held = _counted(self.texts, self.judge, "right string, side string, x string", support).select("right", "side", "x")
-                at = seen.select(F.col("word").alias("wrong"), "side", "x", F.col("n").alias("k")).join(hangul.select("wrong", "right"), "wrong")
-                hit = at.join(held, ["right", "side", "x"]).groupBy("wrong", "right", "side").agg(F.sum("k").alias("k"))
+                held = _counted(self.texts, "right string, side string, x string", support).withColumnRenamed("n", "held")
+                at = seen.select(F.col("word").alias("wrong"), "side", "x", F.col("n").alias("k")).join(others.select("wrong", "right"), "wrong")
+                hit = at.join(held, ["right", "side", "x"]).groupBy("wrong", "right", "side").agg(F.sum("k").alias("k"), F.sum("held").alias("held"))
                 met = hit if met is None else met.unionByName(hit)
         if met is None:
             return latin
-        share = lambda side: F.sum(F.when(F.col("side") == side, F.col("k")).otherwise(0))
-        sides = met.groupBy("wrong", "right").agg(share("l").alias("l"), share("r").alias("r")).join(hangul, ["wrong", "right"])
+        share = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("k"))), F.lit(0))
+        sides = met.groupBy("wrong", "right").agg(share("l").alias("l"), share("r").alias("r"), F.sum("held").alias("held"))
         strong, weak = F.greatest("l", "r") / F.col("n"), F.least("l", "r") / F.col("n")
-        sides = sides.where((strong >= 0.6) & ((F.col("n") < 4) | (weak >= 0.08)))
-        return latin.unionByName(sides.groupBy("wrong").agg(F.max_by("right", F.struct("m", "right")).alias("right")))
+        closed = others.where("not gap").join(sides, ["wrong", "right"]).where((strong >= 0.6) & ((F.col("n") < 4) | (weak >= 0.08)))
+        closed = closed.groupBy("wrong").agg(F.max_by("right", F.struct("m", "right")).alias("right"))
+        # An open position takes the form met in most of its contexts; without any, only the one form that fits.
+        filled = others.where("gap").join(sides, ["wrong", "right"], "left").withColumn("k", F.coalesce(F.col("l") + F.col("r"), F.lit(0)))
+        rank = F.struct("k", F.coalesce("held", F.lit(0)).alias("held"), "m", "right")
+        filled = filled.groupBy("wrong").agg(F.max_by("right", rank).alias("right"), F.max("k").alias("k"), F.count(F.lit(1)).alias("forms"))
+        return latin.unionByName(closed).unionByName(filled.where("k > 0 or forms = 1").select("wrong", "right"))
 
     def _fixes(self):
         """Corrections for the executors, in blocks."""
@@ -319,36 +410,18 @@ class Repair:
 
     def found(self) -> DataFrame:
         """(table_name, row_key, noise_kind)."""
-        judge, key = self.judge, self.rows.schema["row_key"].dataType.simpleString()
-        out = None
+        misread = F.lit(False)
         for fixes in self._fixes():
-
-            def run(batches: Iterator[pa.RecordBatch], fixes=fixes) -> Iterator[pa.RecordBatch]:
-                lines, wrong = judge.value.lines, fixes.value
-                for batch in batches:
-                    at, kinds = [], []
-                    for i, text in enumerate(batch.column(2).to_pylist()):
-                        kept, header, pageno = lines(text)
-                        joined = join_split(kept)
-                        misread = plainly_misread(joined) or not wrong.keys().isdisjoint(words_of(joined))
-                        for kind, is_so in (("hyphen", len(kept) > 1 and joined.count("\n") < len(kept) - 1), ("misread", misread), ("header", header), ("pageno", pageno)):
-                            if is_so:
-                                at.append(i)
-                                kinds.append(kind)
-                    places = pa.array(at, pa.int64())
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(places), batch.column(1).take(places), pa.array(kinds, pa.string())], names=["table_name", "row_key", "noise_kind"])
-
-            part = self.rows.mapInArrow(run, f"table_name string, row_key {key}, noise_kind string")
-            out = part if out is None else out.unionByName(part)
-        return out.distinct()
+            misread = misread | _holder(fixes)(F.col("joined"))
+        kinds = F.array(*[F.when(c, F.lit(k)) for k, c in zip(KINDS, (F.col("hyphen"), misread, F.col("header"), F.col("pageno")))])
+        return self.rows.select("table_name", "row_key", F.explode(F.array_compact(kinds)).alias("noise_kind")).distinct()
 
     def _corrected(self) -> DataFrame:
         """(table_name, row_key, joined): whole words in their right forms, line by line."""
-        rows, judge = self.rows.dropDuplicates(["table_name", "row_key"]), self.judge
-        column = F.col("text")
-        for n, fixes in enumerate(self._fixes()):
-            column = _corrector(judge, fixes, n == 0)(column)
-        return rows.select("table_name", "row_key", column.alias("joined"))
+        column = F.col("joined")
+        for fixes in self._fixes():
+            column = _corrector(fixes)(column)
+        return self.rows.dropDuplicates(["table_name", "row_key"]).select("table_name", "row_key", column.alias("joined"))
 
     def repaired(self) -> DataFrame:
         """(table_name, row_key, text): continuous paragraphs, reflowed with windows over the lines.
@@ -369,11 +442,23 @@ class Repair:
         held = lines.groupBy("table_name", "row_key").agg(parts.alias("parts"))
         numbers = F.array_distinct(F.transform("parts", lambda p: p.paragraph))
         text = F.transform(numbers, lambda k: F.array_join(F.transform(F.filter("parts", lambda p: p.paragraph == k), lambda p: p.line), " "))
-        return held.select("table_name", "row_key", F.array_join(text, "\n").alias("text"))
+        blank = self.blank.dropDuplicates(["table_name", "row_key"])
+        return held.select("table_name", "row_key", F.array_join(text, "\n").alias("text")).unionByName(blank)
+
+
+def _holder(fixes):
+    """UDF: whether a cleaned text holds a misread word."""
 
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        wrong = fixes.value
+        for batch in batches:
+            yield pa.array([open_skeleton(t) or not wrong.keys().isdisjoint(words_of(t)) for t in batch.to_pylist()], type=pa.bool_())
+
+    return F.arrow_udf(run, "boolean")
 
-def _corrector(judge, fixes, first: bool):
-    """UDF: cleans lines (the first time) and puts words in their right forms."""
+
+def _corrector(fixes):
+    """UDF: puts the words of cleaned texts in their right forms."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         right = fixes.value
@@ -383,22 +468,11 @@ def _corrector(judge, fixes, first: bool):
             return m[0] if word is None else word.capitalize() if m[0][:1].isupper() else word
 
         for batch in batches:
-            texts = batch.to_pylist()
-            if first:
-                texts = [None if t is None else join_split(judge.value.lines(t)[0]) for t in texts]
-            yield pa.array([None if t is None else _TOKEN.sub(better, t) for t in texts], type=pa.string())
+            yield pa.array([_TOKEN.sub(better, t) for t in batch.to_pylist()], type=pa.string())
 
     return F.arrow_udf(run, "string")
 
 
 def without_margins(rows: DataFrame, key: str, text: str, blocks: DataFrame, exams: DataFrame | None = None) -> DataFrame:
     """``rows`` whose ``text`` has lost its header and page-number lines and whose split words are whole."""
-    forms = {f for block in _blocks(margin_forms(blocks, exams), "form") for (f,) in block}
-    judge = rows.sparkSession.sparkContext.broadcast(Judge(forms))
-
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lines = judge.value.lines
-        for batch in batches:
-            yield pa.array([join_split(lines(t)[0]) if t else t for t in batch.to_pylist()], type=pa.string())
-
-    return rows.withColumn(text, F.arrow_udf(run, "string")(F.col(f"`{text}`")))
+    return judged(rows, text, blocks, exams).withColumn(text, F.col("__judged.joined")).drop("__judged")
