@@ -37,6 +37,15 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
 
 
+def p2_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of the three tables in its consistent form, one row for each key."""
+    parts = []
+    for table, key, text in (("text_lines", "line_id", "text"), ("choices", "choice_id", "text"), ("questions_final", "qf_id", "content")):
+        rows = load(spark, sf_dir, table).select(F.lit(table).alias("table_name"), F.col(key).alias("row_key"), F.col(text).alias("text"))
+        parts.append(charforms.with_plain_form(rows, "text", "text"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).dropDuplicates(["table_name", "row_key"])
+
+
 def _scanned_rows(spark: SparkSession, sf_dir: str) -> scannoise.Repair:
     parts = []
     for table, key, text in (("questions", "question_id", "stem"), ("text_blocks", "block_id", "text"), ("questions_final", "qf_id", "content")):
@@ -85,23 +94,41 @@ def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redact(load(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p2_found": p2_found, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p4_groups": p4_groups, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found, "p8_redacted": p8_redacted}
+QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p2_found": p2_found, "p2_plain": p2_plain, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p4_groups": p4_groups, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found, "p8_redacted": p8_redacted}
+
+
+# Written apart from the operator's own tables, so that a fault in those shows.
+_SQL_INVISIBLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\ufeff"
+_SQL_SPACES = "\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000"
+_SQL_LATIN, _SQL_GREEK = "A-Za-zÀ-ÖØ-öø-ɏ", "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονρυικχ"
+_SQL_OTHER = "АВЕЅІЈКМНОРСТУХаеорсухіјѕһԁԛԝօսոհց"
+_SQL_AS_LATIN = "ABEZHIKMNOPTYXovpuikx" + "ABESIJKMHOPCTYXaeopcyxijshdqw" + "ounhg"
+_SQL_WIDE = "".join(map(chr, range(0xFF01, 0xFF5F)))
+_SQL_NARROW = "".join(map(chr, range(0x21, 0x7F))).replace("'", "''")
 
 
 def _sql_different(x: str) -> str:
     """Whether a text of the exam tables differs from its plain form."""
-    looks, cyrillic = "".join(charforms.LOOKS), "".join(charforms.CYRILLIC_LOOKS)
+    looks = _SQL_GREEK + _SQL_OTHER
     return (
-        f"(regexp_matches({x}, '[{charforms.INVISIBLE}{charforms.SPACES}！-\uffee]') OR nfc_normalize({x}) <> {x}"
-        f" OR regexp_matches({x}, '[A-Za-zÀ-ɏ][{looks}]|[{looks}][A-Za-zÀ-ɏ]|[{cyrillic}]'))"
+        f"(regexp_matches({x}, '[{_SQL_INVISIBLE}{_SQL_SPACES}\uff01-\uffee]') OR nfc_normalize({x}) <> {x}"
+        f" OR regexp_matches({x}, '[{_SQL_LATIN}][{looks}]|[{looks}][{_SQL_LATIN}]|[{_SQL_OTHER}]'))"
     )
 
 
+def _sql_plain(x: str) -> str:
+    """The plain form of a text of the exam tables: signs and widths first, then the runs of letters that mix alphabets."""
+    looks = _SQL_GREEK + _SQL_OTHER
+    bare = f"nfc_normalize(translate(regexp_replace(regexp_replace({x}, '[{_SQL_INVISIBLE}]', '', 'g'), '[{_SQL_SPACES}]', ' ', 'g'), '{_SQL_WIDE}', '{_SQL_NARROW}'))"
+    run = f"CASE WHEN regexp_matches(r, '[{_SQL_LATIN}{_SQL_OTHER}]') THEN translate(r, '{looks}', '{_SQL_AS_LATIN}') ELSE r END"
+    runs = f"regexp_extract_all({bare}, '[{_SQL_LATIN}{looks}]+|[^{_SQL_LATIN}{looks}]+')"
+    return f"coalesce(array_to_string(list_transform({runs}, lambda r: {run}), ''), CASE WHEN {x} = '' THEN '' END)"
+
+
 def _sql_folded(x: str) -> str:
     """Letters and digits of a text in one form and lower case."""
-    wide = "".join(chr(c) for c in range(0xFF10, 0xFF5B)), "".join(chr(c - 0xFEE0) for c in range(0xFF10, 0xFF5B)).replace("'", "''")
-    looks = "".join(charforms.LOOKS), "".join(charforms.LOOKS.values())
-    return f"lower(regexp_replace(translate(translate(nfc_normalize(regexp_replace({x}, '[{charforms.INVISIBLE}]', '', 'g')), '{wide[0]}', '{wide[1]}'), '{looks[0]}', '{looks[1]}'), '[^\\p{{L}}\\p{{Nd}}]', '', 'g'))"
+    bare = f"translate(translate(nfc_normalize(regexp_replace({x}, '[{_SQL_INVISIBLE}]', '', 'g')), '{_SQL_WIDE}', '{_SQL_NARROW}'), '{_SQL_GREEK}{_SQL_OTHER}', '{_SQL_AS_LATIN}')"
+    return f"lower(regexp_replace({bare}, '[^\\p{{L}}\\p{{Nd}}]', '', 'g'))"
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -109,6 +136,10 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT '{table}' AS table_name, {key} AS row_key FROM {table} WHERE {_sql_different(text)}"
         for table, key, text in (("text_lines", "line_id", "text"), ("choices", "choice_id", "text"), ("questions_final", "qf_id", "content"))
     ),
+    "p2_plain": " UNION ".join(
+        f"SELECT '{table}' AS table_name, {key} AS row_key, {_sql_plain(text)} AS text FROM {table}"
+        for table, key, text in (("text_lines", "line_id", "text"), ("choices", "choice_id", "text"), ("questions_final", "qf_id", "content"))
+    ),
     "p7_found": f"""WITH i AS (SELECT item_id, {_sql_folded("item_text")} AS t FROM eval_items WHERE item_text IS NOT NULL),
 d AS (SELECT doc_id, {_sql_folded("text")} AS t FROM documents WHERE text IS NOT NULL),
 iw AS (SELECT DISTINCT item_id, substr(t, a, 40) AS w FROM (SELECT item_id, t, unnest(range(1, length(t) - 38)) AS a FROM i)),

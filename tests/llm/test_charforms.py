@@ -23,6 +23,21 @@ def test_what_stays():
 
 def test_whole_script_confusable():
     assert C.plain_form("ТСР")[0] == "TCP"
+    assert C.plain_form("시험 сахар")[0] == "시험 caxap"
+    for text in ("купить сахар", "русский хор и ухо", "это ТСР"):
+        assert C.plain_form(text) == (text, [])
+
+
+def test_mixed_words_take_the_script_that_fits():
+    for text, want in (("Привeт", "Привет"), ("Mосква", "Москва"), ("αpple", "apple"), ("Ελλαδa", "Ελλαδα"), ("ſtop ⅼoop ʏes", "stop loop yes"), ("𝐇𝐞𝐥𝐥𝐨 𝟏", "Hello 1"), ("ΤСP", "TCP"), ("TСР", "TCP"), ("слово TСР", "слово ТСР"), ("лgl", "лgl")):
+        assert C.plain_form(text)[0] == want, text
+    for text in ("αx + βy", "μs", "Type Ⅱ, ⅱ)", "Δt", "ɡɑ"):
+        assert C.plain_form(text) == (text, []), text
+
+
+def test_sets():
+    assert C.scripts_of("а") == {"Cyrillic"} and set(C.readings("а")) == {"Latin", "Greek", "Cyrillic"}
+    assert C.proved_scripts(["слово", "ТСР"]) == {"Cyrillic"} and C.proved_scripts(["ТСР", "x"]) == set()
 
 
 @settings(max_examples=150, deadline=None)
