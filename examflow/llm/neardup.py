@@ -24,11 +24,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..common import cut_lineage
-from .charforms import with_plain_form
+from .charforms import SUSPICIOUS, plain_form
 
 #: Similarity wanted, as the fraction NUMERATOR / DENOMINATOR.
 NUMERATOR, DENOMINATOR = 1, 2
@@ -41,26 +43,74 @@ BUCKETS = 1 << 22
 #: Hot entries (of more than BLOCK records) that are broadcast; more of them are joined instead.
 HOT_ROWS = 1_000_000
 _SEPARATOR = "\u001e"
+_SUSPICIOUS = regex.compile(SUSPICIOUS)
 
 
-def word_pairs(texts: Column) -> Column:
-    """Hashes of all pairs of neighbouring words inside each text of an array, once each."""
-    words = F.transform(texts, lambda t: F.regexp_extract_all(t, F.lit(r"([\p{L}\p{M}\p{Nd}]+)"), F.lit(1)))
-    pairs = F.transform(
-        words,
-        lambda w: F.when(F.size(w) >= 2, F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1)))).otherwise(F.array().cast("array<bigint>")),
-    )
-    return F.array_distinct(F.flatten(pairs))
+_RUN = regex.compile(r"[\p{L}\p{M}\p{Nd}]+")
+_IMAGE = regex.compile(r"\[image\d+\]")
+#: Words whose hashes a worker remembers (a memory bound: the memory starts anew beyond it).
+HELD_WORDS = 200_000
+
+
+def _mixed(x, salt: int):
+    """64-bit numbers scattered over the whole range (a bijection of x for each salt)."""
+    import numpy as np
+
+    x = (x ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
 
 def record_sets(records: DataFrame, key: str = "qf_id", content: str = "content", options: str = "options") -> DataFrame:
-    """(key, grams, n, h1, h2): the set of each delivered record, from its content without image tokens and its options."""
+    """(key, n, h1, h2, grams): the set of each delivered record, from its content without image tokens and its options.
+
+    ``grams`` are hashes of the pairs of neighbouring words, once each; h1 and h2 are 128 bits of the whole set.
+    """
+    import numpy as np
+
     inner = F.transform(F.coalesce(F.col(options), F.array().cast(records.schema[options].dataType)), lambda o: F.coalesce(o["content"], F.lit("")))
     joined = F.array_join(F.concat(F.array(F.coalesce(F.col(content), F.lit(""))), inner), _SEPARATOR)
-    rows = records.select(key, joined.alias("joined"))
-    plain = F.regexp_replace(F.lower("joined"), r"\[image\d+\]", " ")
-    sets = with_plain_form(rows, "joined", "joined").select(key, F.sort_array(word_pairs(F.split(plain, _SEPARATOR))).alias("grams"))
-    return sets.select(key, "grams", F.size("grams").alias("n"), F.xxhash64("grams").alias("h1"), F.xxhash64(F.lit("again"), F.reverse("grams")).alias("h2"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, int] = {}
+        for batch in batches:
+            # One list of word hashes for the batch; 0 stands between texts, so no pair crosses it.
+            words: list[int] = []
+            ends = np.zeros(batch.num_rows + 1, dtype=np.int64)
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                if _SUSPICIOUS.search(text):
+                    text = plain_form(text)[0]
+                for part in _IMAGE.sub(" ", text.lower()).split(_SEPARATOR):
+                    for w in _RUN.findall(part):
+                        h = held.get(w)
+                        if h is None:
+                            if len(held) >= HELD_WORDS:
+                                held.clear()
+                            h = held[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) or 1
+                        words.append(h)
+                    words.append(0)
+                ends[i + 1] = len(words)
+            h = np.array(words, dtype=np.uint64)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            pair = (h[:-1] != 0) & (h[1:] != 0)
+            grams = _mixed(_mixed(h[:-1], 1) + h[1:], 2)[pair].view(np.int64)
+            row = row[:-1][pair]
+            order = np.lexsort((grams, row))
+            grams, row = grams[order], row[order]
+            first = np.ones(len(grams), dtype=bool)
+            first[1:] = (grams[1:] != grams[:-1]) | (row[1:] != row[:-1])
+            grams, row = grams[first], row[first]
+            n = np.bincount(row, minlength=batch.num_rows)
+            starts = np.concatenate([[0], np.cumsum(n)])
+            marks = []
+            for salt in (3, 4):
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(grams.view(np.uint64), salt), dtype=np.uint64)])
+                marks.append(pa.array((sums[starts[1:]] - sums[starts[:-1]]).view(np.int64)))
+            lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(grams))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int32)), *marks, lists], names=[key, "n", "h1", "h2", "grams"])
+
+    kind = records.schema[key].dataType.simpleString()
+    return records.select(key, joined.alias("joined")).mapInArrow(run, f"`{key}` {kind}, n int, h1 bigint, h2 bigint, grams array<bigint>")
 
 
 def bucket_counts(sets: DataFrame):
