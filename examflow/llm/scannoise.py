@@ -9,9 +9,8 @@ that the neighbouring words support best takes its place. A word with an open po
 form of its group fits is still found, and stays as it is in the repaired text.
 
 Everything is counted over all rows of all tables given: nothing is sampled or capped, and no
-threshold depends on the number of rows. The lines of a text are judged once and written; three
-more passes over the cleaned texts count words, the contexts of rare forms, and the support for
-their frequent forms. Texts are not shuffled: each pass combines its counts within the partition
+threshold depends on the number of rows. The lines of a text are judged once and written; two more
+passes over the cleaned texts count the words and the contexts of the forms in question. Texts are not shuffled: each pass combines its counts within the partition
 and only these move. A skeleton group of Hangul holds at most the 28 values of one glyph part, so
 no group grows with the data. Sets sent to the executors are checked for size: words go in blocks
 of at most BLOCK_ENTRIES, one pass for each block; more than MAX_FORMS header forms are joined.
@@ -357,41 +356,28 @@ class Repair:
         latin, others = candidate_pairs(cut_lineage(_counted(self.texts, "word string", words)))
         others = cut_lineage(others)
 
-        met = None
-        for block in _blocks(others.select("wrong").distinct(), "wrong"):
-            rare = context.broadcast(frozenset(w for (w,) in block))
+        # Contexts of the forms of all pairs, wrong and right ones, in one pass for each block of them.
+        forms = others.select(F.explode(F.array("wrong", "right")).alias("word")).distinct()
+        seen = None
+        for block in _blocks(cut_lineage(forms), "word"):
+            some = context.broadcast(frozenset(w for (w,) in block))
 
-            def contexts(joined: str, counts: Counter, rare=rare) -> None:
-                sought = rare.value
-                if sought.isdisjoint(words_of(joined)):
-                    return
+            def contexts(joined: str, counts: Counter, some=some) -> None:
+                sought = some.value
                 tokens = tokens_of(joined)
-                for i, t in enumerate(tokens):
+                for left, t, right in zip(["", *tokens], tokens, [*tokens[1:], ""]):
                     if t in sought:
-                        for side, j in (("l", i - 1), ("r", i + 1)):
-                            counts[t, side, tokens[j] if 0 <= j < len(tokens) else ""] += 1
-
-            seen = cut_lineage(_counted(self.texts, "word string, side string, x string", contexts))
-            wanted = cut_lineage(seen.join(others.select(F.col("wrong").alias("word"), "right"), "word").select("right", "side", "x").distinct())
-            for part in _blocks(wanted, "right", "side", "x"):
-                needed = context.broadcast((frozenset(part), frozenset(r for r, _, _ in part)))
-
-                def support(joined: str, counts: Counter, needed=needed) -> None:
-                    wanted, heads = needed.value
-                    tokens = tokens_of(joined)
-                    for i, t in enumerate(tokens):
-                        if t in heads:
-                            for side, j in (("l", i - 1), ("r", i + 1)):
-                                key = (t, side, tokens[j] if 0 <= j < len(tokens) else "")
-                                if key in wanted:
-                                    counts[key] += 1
-
-                held = _counted(self.texts, "right string, side string, x string", support).withColumnRenamed("n", "held")
-                at = seen.select(F.col("word").alias("wrong"), "side", "x", F.col("n").alias("k")).join(others.select("wrong", "right"), "wrong")
-                hit = at.join(held, ["right", "side", "x"]).groupBy("wrong", "right", "side").agg(F.sum("k").alias("k"), F.sum("held").alias("held"))
-                met = hit if met is None else met.unionByName(hit)
-        if met is None:
+                        counts[t, "l", left] += 1
+                        counts[t, "r", right] += 1
+
+            part = _counted(self.texts, "word string, side string, x string", contexts)
+            seen = part if seen is None else seen.unionByName(part)
+        if seen is None:
             return latin
+        seen = cut_lineage(seen)
+        at = seen.select(F.col("word").alias("wrong"), "side", "x", F.col("n").alias("k")).join(others.select("wrong", "right"), "wrong")
+        held = seen.select(F.col("word").alias("right"), "side", "x", F.col("n").alias("held"))
+        met = cut_lineage(at.join(held, ["right", "side", "x"]).groupBy("wrong", "right", "side").agg(F.sum("k").alias("k"), F.sum("held").alias("held")))
         share = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("k"))), F.lit(0))
         sides = met.groupBy("wrong", "right").agg(share("l").alias("l"), share("r").alias("r"), F.sum("held").alias("held"))
         strong, weak = F.greatest("l", "r") / F.col("n"), F.least("l", "r") / F.col("n")
