@@ -45,7 +45,7 @@ def normalize_questions(tables: FlatTables) -> DataFrame:
     marked = let(F.struct(options.alias("o"), answers.alias("a")), lambda s: F.when(F.size(s["a"]) > 0, F.transform(s["o"], lambda o: o.withField("is_correct", F.array_contains(s["a"], o["order"])))).otherwise(s["o"]))
     content, description = as_text(first_present(q, "content", "question_text", "stem")), as_text(first_present(q, "description"))
     sorted_options = F.array_sort(marked, lambda a, b: a["order"] - b["order"])
-    rows = tables._questions.select("record_key", "question_pos", F.concat_ws("\n", F.nullif(content, F.lit("")), F.nullif(description, F.lit(""))).alias("content"), as_text(first_present(q, "hint_explanation", "explanation")).alias("hint_explanation"), sorted_options.alias("options"))
+    rows = tables.question_rows().select("record_key", "question_pos", F.concat_ws("\n", F.nullif(content, F.lit("")), F.nullif(description, F.lit(""))).alias("content"), as_text(first_present(q, "hint_explanation", "explanation")).alias("hint_explanation"), sorted_options.alias("options"))
     return rows.dropDuplicates(["record_key", "question_pos"])
 
 

@@ -52,21 +52,39 @@ def test_wrappers_of_other_kinds_hide_nothing(spark):
     assert places(spark, good, {"result": "ok"}, [1], json.dumps(json.dumps(good))) == [(0, 1, 0, 1), (3, 1, 0, 1)]
 
 
-def test_depth_comes_from_the_values(spark):
-    def depth(*payloads):
-        return nested.list_depth(spark.createDataFrame([(json.dumps(p),) for p in payloads], "payload string"), "questions")
-
+def test_any_depth(spark):
     deep, bare = {"questions": [{"images": [IMG]}]}, {"meta": 1}
-    for _ in range(20):
+    for _ in range(8):
         bare = [bare]
-    assert depth(bare, {"result": "x"}) == 1
     deep = {"a": 1, "sections": [{"result": json.dumps({"result": deep})}]}
-    assert depth(bare, deep, {"sections": "x"}) == 5
     assert places(spark, deep, {"sections": "x"}, bare) == [(0, 1, 0, 1)]
-    for _ in range(2):
+    for _ in range(nested.MAX_LEVELS):
         deep = [deep]
     with pytest.raises(ValueError, match="levels deep"):
-        depth(deep)
+        places(spark, deep)
+
+
+def test_no_record_hides_another(spark):
+    one = {"questions": [{"content": "가", "images": [IMG]}]}
+    assert places(spark, {"a": [one]}, {"a": 5}) == [(0, 1, 0, 1)]
+    assert places(spark, {"result": json.dumps({"data": one})}) == [(0, 1, 0, 1)]
+    both = {"questions": [{"images": [IMG]}], "annex": {"questions": [None, {"images": [IMG]}]}}
+    assert places(spark, both, {"annex": "x"}) == [(0, 1, 0, 1), (0, 3, 0, 1)]
+
+
+def test_child_tables(spark):
+    df = spark.createDataFrame([(1, json.dumps({"sections": [{"title": "t", "questions": [None, {"content": "가", "n": 1}]}], "tags": ["a"]})), (1, json.dumps({"sections": [{"title": "t", "questions": [None, {"content": "가", "n": 1}]}], "tags": ["a"]})), (2, json.dumps({"sections": {"title": "u", "questions": {"3": {"content": "나"}}}}))], "record_id long, payload string")
+    t = nested.FlatTables(df)
+    assert {"/sections", "/sections/questions", "/tags"} <= set(t.schema)
+    assert rows(t.child_table("/sections")) == [("1/sections:1", "1", 1, 1, "t"), ("2/sections:1", "2", 2, 1, "u")]
+    got = t.child_table("/sections/questions")
+    assert rows(got, "node_key", "parent_key", "ordinal", "content", "n") == [("1/sections:1/questions:2", "1/sections:1", 2, "가", 1), ("2/sections:1/questions:3", "2/sections:1", 3, "나", None)]
+    assert nested.fields_of("OBJECT<a: BIGINT, `b: c`: STRING, d: OBJECT<x: BIGINT, y: ARRAY<STRING>>, e: DECIMAL(3,1), f: VARIANT>") == [("a", "bigint"), ("b: c", "string"), ("e", "double"), ("f", "string")]
+
+
+def test_records_without_a_key(spark):
+    df = spark.createDataFrame([(None, json.dumps({"questions": [{"content": c}]})) for c in "가나가"], "record_id long, payload string")
+    assert rows(nested.FlatTables(df).questions(), "content") == [("가",), ("나",)]
 
 
 def test_typed_images(spark):
