@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..common import cut_lineage
 from ..functions import text as T
 
 VISUAL = ("image", "table", "picture", "figure", "formula")
@@ -15,32 +13,30 @@ DROPPED = ("header", "footer", "caption")
 MARK = "[①-⑩]"
 
 
-def flatten(docs: DataFrame, doc: str, raw: str, max_depth: int = 8) -> DataFrame:
+def flatten(docs: DataFrame, doc: str, raw: str, max_depth: int = 12) -> DataFrame:
     """Every node of each tree: doc, path, parent_path, role, and the fields of the node.
 
-    Level by level: each level explodes ``kids`` and ``list items`` of the one before, so a level is
-    a narrow step without a shuffle. Order by ``path`` is pre-order. Trees deeper than ``max_depth``
-    raise an error at run time instead of losing nodes.
+    The tree is parsed once and goes down level by level: each level explodes the nodes reached last
+    into themselves and their ``kids`` and ``list items``, without a shuffle. Order by ``path`` is
+    pre-order. Trees deeper than ``max_depth`` raise an error at run time instead of losing nodes.
     """
-    v = F.try_parse_json(raw)
-    empty = F.array().cast("array<int>")
-    level = docs.select(doc, empty.alias("path"), F.lit(None).cast("string").alias("role"), v.alias("node")).where("node is not null")
-    out = None
-    entry = "array<struct<rank:int,i:int,node:variant>>"
+    kind = "array<struct<path:array<int>,role:string,node:variant,open:boolean>>"
+    nodes = docs.select(doc, F.array().cast("array<int>").alias("path"), F.lit(None).cast("string").alias("role"), F.try_parse_json(raw).alias("node"), F.lit(True).alias("open")).where("node is not null")
 
-    def below(path: str, rank: int) -> Column:
-        items = F.try_variant_get("node", path, "array<variant>")
-        return F.coalesce(F.transform(items, lambda x, i: F.struct(F.lit(rank).alias("rank"), i.alias("i"), x.alias("node"))), F.array()).cast(entry)
+    def below(field: str, rank: int) -> Column:
+        items = F.filter(
+            F.transform(F.try_variant_get("node", f"$['{field}']", "array<variant>"), lambda x, i: F.struct(F.concat("path", F.array(F.lit(rank), i)).alias("path"), F.lit(field).alias("role"), x.alias("node"), F.lit(True).alias("open"))),
+            lambda c: F.schema_of_variant(c["node"]).startswith("OBJECT"),
+        )
+        return F.when(F.col("open"), F.coalesce(items, F.array().cast(kind))).otherwise(F.array().cast(kind)).cast(kind)
 
     for depth in range(max_depth + 1):
-        both = F.concat(below("$.kids", 0), below("$['list items']", 1))
-        children = level.select(doc, "path", F.explode(both).alias("c")).select(
-            doc, F.concat("path", F.array("c.rank", "c.i")).alias("path"), F.when(F.col("c.rank") == 0, "kids").otherwise("list items").alias("role"), F.col("c.node").alias("node")
-        )
-        level = children.where(F.schema_of_variant("node").startswith("OBJECT"))
+        children = F.concat(below("kids", 0), below("list items", 1))
         if depth == max_depth:
-            level = level.withColumn("role", F.raise_error(F.lit("tree deeper than max_depth")).cast("string"))
-        out = level if out is None else out.unionByName(level)
+            children = F.when(F.size(children) > 0, F.raise_error(F.lit("tree deeper than max_depth")).cast(kind)).otherwise(children)
+        own = F.array(F.struct("path", "role", "node", F.lit(False).alias("open"))).cast(kind)
+        nodes = nodes.select(doc, F.explode(F.concat(own, children)).alias("n")).select(doc, "n.*")
+    out = nodes.where(F.size("path") > 0)
     get = lambda p, t: F.try_variant_get("node", p, t)
     return out.select(
         doc, "path", F.slice("path", F.lit(1), F.size("path") - 2).alias("parent_path"), "role", get("$.type", "string").alias("type"), get("$.id", "int").alias("id"),
@@ -93,134 +89,180 @@ def link_crops(images: DataFrame, crops: DataFrame, keys: list[str], order: str)
     return images.join(last, [*keys, "element_id"], "left")
 
 
-QUESTIONS = "question_index int, question_number int, question_text string, choices array<struct<number: int, text: string, image: int>>, images array<int>"
+ASSET = "element_id:int,type:string,page_number:int,bounding_box:array<double>,source:string"
+_CHOICES = "array<struct<number:int,text:string,image:int>>"
+CIRCLED_STYLE = "circled arabic numbers"
+
+
+def _choices_of_text(text: Column) -> Column:
+    """Choices of a text with marks; none where it is null."""
+    no_image = F.lit(None).cast("int").alias("image")
+    return F.coalesce(F.transform(T.split_choices(text), lambda c: F.struct(c["number"].alias("number"), c["text"].alias("text"), no_image)), F.array()).cast(_CHOICES)
+
+
+def _choices_of_items(items: Column) -> Column:
+    """Choices of list items (i, content): their mark tells the number, or else their place."""
+
+    def choice(item: Column) -> Column:
+        text = T.trim_u(F.coalesce(item["content"], F.lit("")))
+        marked = text.rlike("^" + MARK)
+        number = F.when(marked, T.circled_to_number(F.substring(text, 1, 1))).otherwise(item["i"] + 1)
+        return F.struct(number.cast("int").alias("number"), F.when(marked, T.trim_u(F.substring(text, F.lit(2), F.length(text)))).otherwise(text).alias("text"), F.lit(None).cast("int").alias("image"))
+
+    return F.transform(items, choice).cast(_CHOICES)
+
+
+def _collected(order: str, *columns: Column | str) -> Column:
+    """The structs of ``columns`` of a group in ``order``."""
+    return F.array_sort(F.collect_list(F.struct(order, *columns)))
+
+
+def _placed_nodes(docs: DataFrame, doc: str, raw: str, max_depth: int) -> DataFrame:
+    """The nodes of each tree that count, with what stands before them told by windows.
+
+    t: place of the top node; depth; top_type, style: of the top node; is_question; q: number of the
+    latest question at or before the node; lists: number of the latest list; in_question: in an item that is a question.
+    """
+    n = flatten(docs, doc, raw, max_depth).withColumn("t", F.get("path", F.lit(1))).withColumn("depth", (F.size("path") / 2).cast("int")).withColumn("content", F.coalesce("content", F.lit("")))
+    of_top = Window.partitionBy(doc, "t")
+    is_top = F.col("depth") == 1
+    dropped = F.coalesce(F.col("type"), F.lit("")).isin(*DROPPED) & ~((F.col("type") == "caption") & F.col("content").rlike(MARK))
+    n = n.where(F.get("path", F.lit(0)) == 0).withColumn("gone", F.max(is_top & dropped).over(of_top)).where(~F.col("gone"))
+    n = n.withColumn("top_type", F.max(F.when(is_top, F.coalesce("type", F.lit("")))).over(of_top)).withColumn("style", F.max(F.when(is_top, F.coalesce("numbering_style", F.lit("")))).over(of_top))
+    item = (F.col("depth") == 2) & (F.col("role") == "list items") & (F.col("top_type") == "list")
+    n = n.withColumn("number", F.when(item, T.question_number(F.col("content"))))
+    # A list of circled numbers holds choices as soon as there is a question to take them.
+    n = n.withColumn("first", F.min(F.when(F.col("number").isNotNull(), F.col("t"))).over(Window.partitionBy(doc)))
+    n = n.withColumn("choice_list", (F.col("style") == CIRCLED_STYLE) & F.coalesce(F.col("t") > F.col("first"), F.lit(False)))
+    n = n.withColumn("is_question", F.col("number").isNotNull() & ~F.col("choice_list"))
+    order = Window.partitionBy(doc).orderBy("path")
+    n = n.withColumn("q", F.sum(F.col("is_question").cast("int")).over(order)).withColumn("lists", F.sum((is_top & (F.col("type") == "list")).cast("int")).over(order))
+    return n.withColumn("in_question", (F.col("depth") > 2) & F.max("is_question").over(Window.partitionBy(doc, F.slice("path", 1, 4))))
+
+
+def _own_parts(n: DataFrame, doc: str) -> DataFrame:
+    """(doc, q, own, description, own_assets): what stands inside the item of each question."""
+    inside = n.where("in_question").withColumn("k", F.get("path", F.lit(5)))
+    deep = inside.where(F.col("depth") >= 4).groupBy(doc, "q", "k").agg(
+        _collected("path", F.when((F.col("depth") == 4) & (F.col("role") == "kids"), F.col("content")).alias("content")).alias("subs"),
+        _collected("path", F.when((F.col("depth") == 4) & (F.col("role") == "list items"), F.struct(F.get("path", F.lit(7)).alias("i"), "content")).alias("item")).alias("items"),
+        _collected(
+            "path", F.when(~F.col("content").rlike(MARK) & (T.trim_u(F.col("content")) != "") & (((F.col("depth") == 4) & (F.col("role") == "kids") & (F.col("type") == "paragraph")) | ((F.col("depth") == 5) & (F.col("role") == "list items"))), T.trim_u(F.col("content"))).alias("line")
+        ).alias("lines"),
+    )
+    present = lambda c, f: F.filter(F.transform(F.coalesce(c, F.array()), lambda x: x[f]), lambda x: x.isNotNull())
+    kids = inside.where((F.col("depth") == 3) & (F.col("role") == "kids")).join(deep, [doc, "q", "k"], "left")
+    kids = kids.withColumn("items", F.when(F.col("items").isNotNull(), present(F.col("items"), "item"))).withColumn("lines", F.when(F.col("lines").isNotNull(), present(F.col("lines"), "line")))
+    text = F.when(F.col("content") != "", F.col("content")).otherwise(T.trim_u(F.array_join(F.when(F.col("subs").isNotNull(), present(F.col("subs"), "content")), " ")))
+    prose = F.col("type").isin("paragraph", "text block")
+    choices = F.when(prose, _choices_of_text(text)).when((F.col("type") == "list") & F.col("items").isNotNull(), _choices_of_items(F.col("items"))).otherwise(F.array().cast(_CHOICES))
+    asset = F.when(F.col("type").isin(*VISUAL), _asset())
+    held = kids.groupBy(doc, "q").agg(_collected("k", choices.alias("c"), F.when(F.col("type") == "text block", F.col("lines")).alias("lines"), asset.alias("a")).alias("kids"))
+    each = lambda f: F.transform("kids", lambda x: x[f])
+    return held.select(
+        doc, "q", T.first_of_each_number(F.flatten(each("c"))).alias("own"), F.array_join(F.flatten(F.filter(each("lines"), lambda x: x.isNotNull())), "\n").alias("description"),
+        F.filter(each("a"), lambda x: x.isNotNull()).alias("own_assets"),
+    )
 
 
-def extract_questions(docs: DataFrame, doc: str, raw: str) -> DataFrame:
-    """(doc, question_index, question_number, question_text, choices, images) of each tree.
+def _asset() -> Column:
+    return F.struct(F.col("id").alias("element_id"), "type", "page_number", F.col("bbox").alias("bounding_box"), F.coalesce("source", F.lit("")).alias("source"))
 
-    Which question a list, image or paragraph belongs to depends on everything before it in the
-    tree, so one document is read from front to back; documents are independent and stay whole in
-    one row, so nothing is shuffled.
+
+def _images_for_labels(tops: DataFrame, doc: str) -> tuple[DataFrame, DataFrame]:
+    """(doc, t, state, taken) of each line of marks alone, and (doc, lists, left) images that no line took.
+
+    Images between two lists lie on a pile. A line of n marks takes the n latest, left to right; it is an
+    ordinary line of choices ('plain') where the pile is empty, and takes none where it is too small.
     """
-    kind = docs.schema[doc].dataType.simpleString()
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [(d, i + 1, *q) for d, text in zip(frame[doc], frame[raw]) for i, q in enumerate(_TreeReader(text).questions())]
-            yield pd.DataFrame(rows, columns=[doc, "question_index", "question_number", "question_text", "choices", "images"])
-
-    return docs.select(doc, raw).where(f"`{raw}` is not null").mapInPandas(run, f"`{doc}` {kind}, {QUESTIONS}")
-
-
-class _TreeReader:
-    """Reads one tree: questions open at numbered list items; later nodes go to the right open question."""
-
-    def __init__(self, text: str):
-        import json
-        import re
-
-        self.number = re.compile(T.QUESTION_NUMBER)
-        self.mark = re.compile(MARK)
-        try:
-            tree = json.loads(text)
-        except ValueError:
-            tree = {}
-        kids = tree.get("kids") if isinstance(tree, dict) else None
-        self.nodes = [n for n in kids or [] if isinstance(n, dict) and (n.get("type") not in DROPPED or (n.get("type") == "caption" and self.mark.search(n.get("content") or "")))]
-        self.found: list[dict] = []
-        self.waiting: list[dict] = []
-
-    def questions(self) -> list[tuple]:
-        for node in self.nodes:
-            handler = {"list": self._list, "paragraph": self._paragraph, "caption": self._paragraph, "text block": self._block, "table": self._table}.get(node.get("type"))
-            if handler:
-                handler(node)
-            elif node.get("type") in VISUAL and self.found:
-                self.waiting.append(node)
-        self._flush()
-        return [(q["number"], q["text"], q["choices"], q["images"]) for q in sorted(self.found, key=lambda q: q["number"])]
-
-    def _flush(self) -> None:
-        if self.found:
-            self.found[-1]["images"] += [n.get("id") for n in self.waiting]
-            self.waiting = []
-
-    def _open(self) -> dict:
-        """The latest question without choices, or the last one."""
-        return next((q for q in reversed(self.found) if not q["choices"]), self.found[-1])
-
-    def _choices_in(self, text: str) -> list[dict]:
-        starts = [m.start() for m in self.mark.finditer(text)] + [len(text)]
-        return [{"number": T.CIRCLED.index(text[a]) + 1, "text": text[a + 1 : b].strip(), "image": None} for a, b in zip(starts, starts[1:])]
-
-    def _choice_items(self, items: list) -> list[dict]:
-        out = []
-        for i, item in enumerate(items):
-            if isinstance(item, dict):
-                text = (item.get("content") or "").strip()
-                marked = self.mark.match(text)
-                out.append({"number": T.CIRCLED.index(text[0]) + 1 if marked else i + 1, "text": text[1:].strip() if marked else text, "image": None})
-        return out
-
-    def _list(self, node: dict) -> None:
-        self._flush()
-        items = [i for i in node.get("list items") or [] if isinstance(i, dict)]
-        if node.get("numbering style") == "circled arabic numbers" and self.found:
-            self._open()["choices"] += self._choice_items(node.get("list items") or [])
-            return
-        orphans: list[dict] = []
-        fresh: list[dict] = []
-        for item in items:
-            content = item.get("content") or ""
-            m = self.number.match(content)
-            if m:
-                fresh.append(self._question(int(m[1] or m[2]), content[m.end() :].strip(), [k for k in item.get("kids") or [] if isinstance(k, dict)]))
-            elif self.mark.search(content) and not fresh:
-                orphans = self._choices_in(content)
-        if orphans and self.found:
-            self._open()["choices"] += orphans
-        self.found += fresh
-
-    def _question(self, number: int, text: str, kids: list[dict]) -> dict:
-        choices: dict[int, dict] = {}
-        more: list[str] = []
-        for kid in kids:
-            kind = kid.get("type")
-            inner = [k for k in kid.get("kids") or [] if isinstance(k, dict)]
-            if kind in ("paragraph", "text block"):
-                content = kid.get("content") or " ".join(k.get("content") or "" for k in inner).strip()
-                for c in self._choices_in(content):
-                    choices.setdefault(c["number"], c)
-            elif kind == "list":
-                for c in self._choice_items(kid.get("list items") or []):
-                    choices.setdefault(c["number"], c)
-            if kind == "text block":
-                for sub in inner:
-                    lines = [sub.get("content")] if sub.get("type") == "paragraph" else [i.get("content") for i in sub.get("list items") or [] if isinstance(i, dict)] if sub.get("type") == "list" else []
-                    more += [x.strip() for x in lines if x and x.strip() and not self.mark.search(x)]
-        images = [k.get("id") for k in kids if k.get("type") in VISUAL]
-        return {"number": number, "text": "\n".join([text, *more]) if more else text, "choices": list(choices.values()), "images": images}
-
-    def _paragraph(self, node: dict) -> None:
-        text = (node.get("content") or "").strip()
-        marks = self.mark.findall(text)
-        if not marks or not self.found:
-            return
-        if not self.mark.sub("", text).strip() and self.waiting:
-            if len(marks) <= len(self.waiting):  # images stand for the choices
-                chosen = sorted(self.waiting[-len(marks) :], key=lambda n: (n.get("bounding box") or [0])[0])
-                self.waiting = self.waiting[: -len(marks)]
-                self.found[-1]["choices"] += [{"number": T.CIRCLED.index(m) + 1, "text": "", "image": n.get("id")} for m, n in zip(marks, chosen)]
-        else:
-            self._open()["choices"] += self._choices_in(text)
-
-    def _block(self, node: dict) -> None:
-        kids = [k for k in node.get("kids") or [] if isinstance(k, dict)]
-        text = " ".join(k.get("content") or "" for k in kids).strip()
-        if self.found and text and not all(k.get("type") == "heading" for k in kids):
-            self.found[-1]["text"] += "\n" + text
-
-    def _table(self, node: dict) -> None:
-        if self.found and not self.found[-1]["choices"]:
-            self.found[-1]["images"].append(node.get("id"))
+    image = F.col("type").isin("image", "picture", "figure", "formula")
+    label = F.col("marks") > 0
+    events = tops.where((F.col("q") > 0) & (image | (label & F.col("bare")))).groupBy(doc, "lists").agg(_collected("t", F.when(image, _asset()).alias("a"), F.when(~image, F.col("marks")).alias("n")).alias("events"))
+    pile = f"array<struct<{ASSET}>>"
+    start = F.struct(F.array().cast(pile).alias("pile"), F.array().cast(f"array<struct<t:int,state:string,taken:{pile}>>").alias("out"))
+
+    def step(s: Column, e: Column) -> Column:
+        size = F.size(s["pile"])
+        fits = (size > 0) & (e["n"] <= size)
+        taken = F.when(fits, F.slice(s["pile"], F.greatest(size - e["n"] + 1, F.lit(1)), F.greatest(e["n"], F.lit(0)))).otherwise(F.array().cast(pile))
+        state = F.when(size == 0, "plain").when(fits, "taken").otherwise("none")
+        label_row = F.array(F.struct(e["t"].alias("t"), state.alias("state"), taken.alias("taken")))
+        pushed = F.concat(s["pile"], F.array(e["a"]))
+        return F.when(e["n"].isNull(), F.struct(pushed.cast(pile).alias("pile"), s["out"].alias("out"))).otherwise(
+            F.struct(F.when(fits, F.slice(s["pile"], F.lit(1), F.greatest(size - e["n"], F.lit(0)))).otherwise(s["pile"]).alias("pile"), F.concat(s["out"], label_row).alias("out"))
+        )
+
+    done = events.select(doc, "lists", F.aggregate("events", start, step).alias("s"))
+    return done.select(doc, F.explode("s.out").alias("o")).select(doc, "o.*"), done.select(doc, "lists", F.col("s.pile").alias("left"))
+
+
+def extract_questions(docs: DataFrame, doc: str, raw: str, max_depth: int = 12) -> DataFrame:
+    """(doc, question_index, question_number, page_number, question_text, description, bounding_box, choices, images, assets) of each tree.
+
+    Numbered list items are questions. Choices outside of an item go to the latest question that has
+    none yet, or to the latest one. That is a matching of brackets: a question without choices opens
+    one, a source of choices closes the one opened last, and windows find its partner as the last
+    opening of the same level. Images go to the latest question unless a line of marks takes them as choices,
+    tables only while it has no choices, texts of blocks that are not headings are added to its text.
+    """
+    n = cut_lineage(_placed_nodes(docs, doc, raw, max_depth))
+    own = _own_parts(n, doc)
+    questions = n.where("is_question").join(own, [doc, "q"], "left").withColumn("own", F.coalesce("own", F.array().cast(_CHOICES)))
+    questions = cut_lineage(questions.select(doc, "q", "path", "number", "page_number", F.col("bbox").alias("bounding_box"), T.strip_question_number(F.col("content")).alias("text"), F.coalesce("description", F.lit("")).alias("description"), "own", "own_assets"))
+
+    children = n.where("depth = 2").withColumn("i", F.get("path", F.lit(3)))
+    opened = F.min(F.when(F.col("is_question"), F.col("i"))).over(Window.partitionBy(doc, "t"))
+    children = children.withColumn("opened", opened)
+    orphan = (F.col("role") == "list items") & F.col("number").isNull() & F.col("content").rlike(MARK) & (F.col("opened").isNull() | (F.col("i") < F.col("opened")))
+    parts = children.groupBy(doc, "t").agg(
+        F.filter(F.transform(_collected("path", F.when(F.col("role") == "list items", F.struct("i", "content")).alias("item")), lambda x: x["item"]), lambda x: x.isNotNull()).alias("items"),
+        F.max_by("content", F.when(orphan, F.col("i"))).alias("orphan"), F.max(orphan).alias("has_orphan"),
+        T.trim_u(F.array_join(F.transform(_collected("path", F.when(F.col("role") == "kids", F.col("content")).alias("c")), lambda x: x["c"]), " ")).alias("block"),
+        F.bool_and((F.col("role") != "kids") | (F.coalesce(F.col("type"), F.lit("")) == "heading")).alias("headings"),
+    )
+    marks = F.regexp_count("content", F.lit(MARK)).cast("int")
+    bare = T.trim_u(F.regexp_replace("content", MARK, "")) == ""
+    line = F.col("type").isin("paragraph", "caption")
+    tops = cut_lineage(n.where("depth = 1").join(parts, [doc, "t"], "left").withColumn("marks", F.when(line, marks).otherwise(0)).withColumn("bare", line & bare))
+
+    labels, left = _images_for_labels(tops, doc)
+    numbers = F.transform(_choices_of_text(F.col("content")), lambda c: c["number"])
+    from_left = F.transform("taken", lambda a, i: F.struct(F.coalesce(F.get(a["bounding_box"], F.lit(0)), F.lit(0.0)).alias("x"), i.alias("i"), a["element_id"].alias("element_id")))
+    chosen = F.array_sort(from_left)
+    pictured = F.zip_with(numbers, chosen, lambda k, a: F.struct(k.alias("number"), F.lit("").alias("text"), a["element_id"].alias("image"))).cast(_CHOICES)
+    sources = tops.where("q > 0").join(labels, [doc, "t"], "left").withColumn(
+        "choices",
+        F.when(F.col("choice_list"), _choices_of_items(F.col("items"))).when((F.col("type") == "list") & F.col("has_orphan"), _choices_of_text(F.col("orphan")))
+        .when(F.col("state") == "taken", pictured).when((F.col("marks") > 0) & (F.coalesce("state", F.lit("plain")) == "plain"), _choices_of_text(F.col("content"))),
+    ).where(F.size("choices") > 0)
+    sources = sources.select(doc, "q", "t", "path", "choices", (F.coalesce("state", F.lit("")) == "taken").alias("to_last"))
+
+    # Brackets: a line that takes images goes to the latest question and closes it if it is still open.
+    is_open = questions.where(F.size("own") == 0).select(doc, "q", F.lit(True).alias("open"))
+    sources = sources.join(is_open, [doc, "q"], "left").withColumn("nth", F.row_number().over(Window.partitionBy(doc, "q").orderBy("path")))
+    closes = ~F.col("to_last") | ((F.col("nth") == 1) & F.coalesce("open", F.lit(False)))
+    pushes = questions.where(F.size("own") == 0).select(doc, "path", F.col("q"), F.lit(None).cast("int").alias("t"), F.lit(1).alias("step"))
+    pops = sources.where(closes).select(doc, "path", "q", "t", F.lit(-1).alias("step"))
+    order = Window.partitionBy(doc).orderBy("path")
+    walked = pushes.unionByName(pops).withColumn("sum", F.sum("step").over(order))
+    walked = walked.withColumn("level", F.col("sum") - F.least(F.lit(0), F.min("sum").over(order))).withColumn("before", F.coalesce(F.lag("level").over(order), F.lit(0)))
+    walked = walked.withColumn("bracket", F.when(F.col("step") > 0, F.col("level")).otherwise(F.col("before")))
+    partner = F.last(F.when(F.col("step") > 0, F.col("q")), ignorenulls=True).over(Window.partitionBy(doc, "bracket").orderBy("path"))
+    matched = walked.withColumn("partner", partner).where("step < 0").select(doc, "t", F.when(F.col("bracket") > 0, F.col("partner")).alias("partner"))
+    given = sources.join(matched, [doc, "t"], "left").select(doc, F.when(F.col("to_last"), F.col("q")).otherwise(F.coalesce("partner", "q")).alias("q"), "t", "choices")
+    more = given.groupBy(doc, "q").agg(F.flatten(F.transform(_collected("t", "choices"), lambda x: x["choices"])).alias("more"), F.min("t").alias("first_source"))
+
+    told = tops.where((F.col("q") > 0) & (F.col("type") == "text block") & ~F.coalesce("headings", F.lit(False)) & (F.coalesce("block", F.lit("")) != ""))
+    told = told.groupBy(doc, "q").agg(F.transform(_collected("t", "block"), lambda x: x["block"]).alias("blocks"))
+    tables = tops.where((F.col("q") > 0) & (F.col("type") == "table")).join(is_open, [doc, "q"]).join(more.select(doc, "q", "first_source"), [doc, "q"], "left")
+    tables = tables.where(F.col("first_source").isNull() | (F.col("first_source") > F.col("t"))).select(doc, "q", F.col("lists"), F.lit(0).alias("late"), "t", _asset().alias("a"))
+    last_of = n.groupBy(doc, "lists").agg(F.max("q").alias("q"))
+    images = left.where(F.size("left") > 0).join(last_of, [doc, "lists"]).select(doc, "q", "lists", F.lit(1).alias("late"), F.posexplode("left").alias("t", "a"))
+    hung = tables.unionByName(images).groupBy(doc, "q").agg(F.transform(F.array_sort(F.collect_list(F.struct("lists", "late", "t", "a"))), lambda x: x["a"]).alias("hung"))
+
+    out = questions.join(more, [doc, "q"], "left").join(told, [doc, "q"], "left").join(hung, [doc, "q"], "left")
+    out = out.withColumn("choices", F.concat("own", F.coalesce("more", F.array().cast(_CHOICES)))).withColumn("assets", F.when(F.col("own_assets").isNotNull() & F.col("hung").isNotNull(), F.concat("own_assets", "hung")).otherwise(F.coalesce("own_assets", "hung")))
+    text = F.when(F.col("blocks").isNotNull(), F.concat_ws("\n", "text", F.array_join("blocks", "\n"))).otherwise(F.col("text"))
+    out = out.withColumn("question_index", F.row_number().over(Window.partitionBy(doc).orderBy("number", "q")))
+    ids = F.coalesce(F.transform("assets", lambda a: a["element_id"]), F.array().cast("array<int>"))
+    return out.select(doc, "question_index", F.col("number").alias("question_number"), "page_number", text.alias("question_text"), "description", "bounding_box", "choices", ids.alias("images"), "assets")

@@ -19,20 +19,44 @@ def _array(w: int, h: int, data: bytes):
     return np.frombuffer(data, dtype="uint8").reshape(h, w)
 
 
-def components(dark) -> tuple:
-    """Labels of 4-connected dark pixels by repeated least-label spreading along rows and columns."""
+def runs(dark) -> tuple:
+    """Runs of dark pixels: row, first column, end column of each, and the number of the component it belongs to.
+
+    Runs of neighbouring rows that overlap are one component: the overlaps of all rows are found at once
+    by binary search, and only they are joined one by one, so the time grows with the runs, not the pixels.
+    """
     import numpy as np
 
     h, w = dark.shape
-    labels = np.where(dark, np.arange(1, h * w + 1).reshape(h, w), 0)
-    big = h * w + 1
-    while True:
-        padded = np.pad(np.where(dark, labels, big), 1, constant_values=big)
-        near = np.minimum.reduce([padded[1:-1, 1:-1], padded[:-2, 1:-1], padded[2:, 1:-1], padded[1:-1, :-2], padded[1:-1, 2:]])
-        spread = np.where(dark, near, 0)
-        if (spread == labels).all():
-            return labels, np.unique(labels[dark])
-        labels = spread
+    edges = np.diff(np.pad(dark.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    row, start = np.nonzero(edges == 1)
+    _, end = np.nonzero(edges == -1)
+    below = w + 2
+    first = np.searchsorted(end + (row + 1) * below, start + row * below, side="right")
+    stop = np.searchsorted(start + (row + 1) * below, end + row * below, side="left")
+    owner = np.arange(len(row))
+
+    def root(i: int) -> int:
+        while owner[i] != i:
+            owner[i] = owner[owner[i]]
+            i = owner[i]
+        return i
+
+    for i in np.flatnonzero(stop > first):
+        for j in range(first[i], stop[i]):
+            a, b = root(i), root(j)
+            owner[max(a, b)] = min(a, b)
+    return row, start, end, np.array([root(i) for i in range(len(row))], dtype=np.int64)
+
+
+def components(dark) -> tuple:
+    """(labels, names): the number of the 4-connected component of each dark pixel, 0 elsewhere, and all numbers."""
+    import numpy as np
+
+    labels = np.zeros(dark.shape, dtype=np.int64)
+    for y, x0, x1, name in zip(*runs(dark)):
+        labels[y, x0:x1] = name + 1
+    return labels, np.unique(labels[dark])
 
 
 def dark_box(df: DataFrame, key: str, threshold: int = 245) -> DataFrame:
@@ -117,13 +141,22 @@ def read_text(df: DataFrame, key: str, readers: Callable[[], list[Callable[[byte
     return df.select(key, "data").mapInPandas(run, schema)
 
 
+def holds_object(raw: str | None) -> bool:
+    """Whether a reply is a JSON object, bare or in a code fence."""
+    import json
+    import re
+
+    try:
+        return isinstance(json.loads(re.sub(r"^\s*```\w*\s*|\s*```\s*$", "", raw or "")), dict)
+    except ValueError:
+        return False
+
+
 def ask(df: DataFrame, keys: list[str], prompt: str, client: Callable[[], Callable[[str], str]], max_attempts: int = 3) -> DataFrame:
     """(keys, attempt, raw, error): every attempt until a reply is a JSON object, for the merges in ``canonical``."""
     schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys) + ", attempt int, raw string, error string"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import json
-
         call = client()
         for f in frames:
             rows = []
@@ -131,9 +164,7 @@ def ask(df: DataFrame, keys: list[str], prompt: str, client: Callable[[], Callab
                 for attempt in range(1, max(max_attempts, 1) + 1):
                     try:
                         raw, error = call(values[-1]), None
-                        done = isinstance(json.loads(raw), dict)
-                    except ValueError:
-                        done = False
+                        done = holds_object(raw)
                     except Exception as e:  # noqa: BLE001 - reported as a row
                         raw, error, done = None, str(e), False
                     rows.append((*values[:-1], attempt, raw, error))
@@ -184,6 +215,15 @@ def row_statistics(df: DataFrame, key: str, columns: bool = False) -> DataFrame:
     return df.select(key, "w", "h", "data").mapInPandas(run, schema)
 
 
+# Shares of the height and width of a table cell that tell its signs apart, and pixels of a speck.
+SIGNS = {
+    "speck": 12, "frame": 0.9, "rule_height": 0.08, "rule_pixels": 3, "rule_width": 0.5,
+    "tall": 0.30, "broad": 0.05, "low": 0.24, "narrow": 0.10, "comma_from": 0.55,
+}
+#: Pixels count as so many by so many.
+SIGN_SCALE = 4
+
+
 def symbol_mask(df: DataFrame, key: str, threshold: int = 210) -> DataFrame:
     """(key, mask): dark parts of a table cell from left to right as ``#``, comma or dot; empty without ``#``.
 
@@ -192,33 +232,31 @@ def symbol_mask(df: DataFrame, key: str, threshold: int = 210) -> DataFrame:
     """
     schema = f"{key} {df.schema[key].dataType.simpleString()}, mask string"
 
-    def sign(y0, y1, x0, x1, n, w, h):
-        ph, pw = y1 - y0 + 1, x1 - x0 + 1
-        if n < 12 or pw > w * 0.9 or ph > h * 0.9 or (ph <= max(3, int(h * 0.08)) and pw >= int(w * 0.5)):
-            return None
-        if ph >= int(h * 0.30) and pw >= int(w * 0.05):
-            return "#"
-        if ph <= int(h * 0.24) and pw <= int(w * 0.10):
-            return "," if (y0 + y1) / 2 >= h * 0.55 else "."
-        return None
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def mask_of(dark) -> str:
         import numpy as np
 
+        row, start, end, part = runs(dark)
+        names, at = np.unique(part, return_inverse=True)
+        box = {}
+        for name, how, values in (("top", np.minimum, row), ("bottom", np.maximum, row + 1), ("left", np.minimum, start), ("right", np.maximum, end)):
+            box[name] = np.full(len(names), 10**9 if how is np.minimum else -1)
+            how.at(box[name], at, values)
+        box = {k: v * SIGN_SCALE for k, v in box.items()}
+        h, w = (SIGN_SCALE * x for x in dark.shape)
+        pixels = np.bincount(at, weights=end - start, minlength=len(names)) * SIGN_SCALE**2
+        high, wide = box["bottom"] - box["top"], box["right"] - box["left"]
+        rule = (high <= max(SIGNS["rule_pixels"], int(h * SIGNS["rule_height"]))) & (wide >= int(w * SIGNS["rule_width"]))
+        counts = (pixels >= SIGNS["speck"]) & (np.maximum(wide / w, high / h) <= SIGNS["frame"]) & ~rule
+        is_sign = counts & (high >= int(h * SIGNS["tall"])) & (wide >= int(w * SIGNS["broad"]))
+        is_point = counts & ~is_sign & (high <= int(h * SIGNS["low"])) & (wide <= int(w * SIGNS["narrow"]))
+        point = np.where((box["top"] + box["bottom"] - 1) / 2 >= h * SIGNS["comma_from"], ",", ".")
+        shown = np.where(is_sign, "#", np.where(is_point, point, ""))
+        text = "".join(shown[np.argsort(box["left"] + box["right"], kind="stable")])
+        return text if "#" in text else ""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            masks = []
-            for w, h, data in zip(f["w"], f["h"], f["data"]):
-                labels, names = components(_array(w, h, data) < threshold)
-                parts = []
-                for name in names:
-                    ys, xs = np.nonzero(labels == name)
-                    y0, y1, x0, x1 = ys.min() * 4, ys.max() * 4 + 3, xs.min() * 4, xs.max() * 4 + 3
-                    s = sign(y0, y1, x0, x1, len(xs) * 16, w * 4, h * 4)
-                    if s:
-                        parts.append(((x0 + x1) / 2, s))
-                mask = "".join(s for _, s in sorted(parts, key=lambda p: p[0]))
-                masks.append(mask if "#" in mask else "")
-            yield pd.DataFrame({key: f[key], "mask": masks})
+            yield pd.DataFrame({key: f[key], "mask": [mask_of(_array(w, h, data) < threshold) for w, h, data in zip(f["w"], f["h"], f["data"])]})
 
     return df.select(key, "w", "h", "data").mapInPandas(run, schema)
 

@@ -648,10 +648,39 @@ def tree_nodes(spark: SparkSession, d: str) -> DataFrame:
     return n.groupBy("upload_id").agg(k("list item").alias("n_items"), k("paragraph").alias("n_paragraphs"), k("list").cast("int").alias("n_lists"))
 
 
-@query(TREE_Q + """SELECT upload_id, CAST(row_number() OVER (PARTITION BY upload_id ORDER BY question_no, question_id) AS INT) AS question_index, question_no AS question_number, CAST(len(list_distinct(regexp_extract_all(coalesce(c, ''), '[①-⑩]'))) AS INT) AS n_choices FROM q LEFT JOIN c USING (question_id)""")
+_SQL_BLANK = r"[\s\x{00a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]+"
+
+
+@query(TREE_Q + f""", p AS (SELECT upload_id, question_id, question_no, regexp_replace(coalesce(stem, ''), '^{_SQL_BLANK}|{_SQL_BLANK}$', '', 'g') AS stem, regexp_extract_all(coalesce(c, ''), '[①-⑩][^①-⑩]*') AS l FROM q LEFT JOIN c USING (question_id)),
+f AS (SELECT *, list_filter(l, lambda x, i: list_position(list_transform(l, lambda y: y[1]), x[1]) = i) AS k FROM p)
+SELECT upload_id, CAST(row_number() OVER (PARTITION BY upload_id ORDER BY question_no, question_id) AS INT) AS question_index, question_no AS question_number, stem AS question_text, CAST(len(k) AS INT) AS n_choices,
+array_to_string(list_transform(k, lambda x: instr('①②③④⑤⑥⑦⑧⑨⑩', x[1]) || ':' || regexp_replace(substr(x, 2), '^{_SQL_BLANK}|{_SQL_BLANK}$', '', 'g')), '|') AS choices FROM f""")
 def tree_questions(spark: SparkSession, d: str) -> DataFrame:
     """Questions of element trees."""
-    return nodes.extract_questions(_trees(spark, d), "upload_id", "raw").select("upload_id", "question_index", "question_number", F.size("choices").alias("n_choices"))
+    q = nodes.extract_questions(_trees(spark, d), "upload_id", "raw")
+    choices = F.array_join(F.transform("choices", lambda c: F.concat(c["number"].cast("string"), F.lit(":"), c["text"])), "|")
+    return q.select("upload_id", "question_index", "question_number", "question_text", F.size("choices").alias("n_choices"), choices.alias("choices"))
+
+
+# Element trees with everything that hangs between questions: what belongs to which is stated beside each.
+_TREE_EVENTS = [
+    ("split choices", [{"type": "list", "list items": [{"content": "1. 가"}, {"content": "2. 나", "kids": [{"type": "paragraph", "content": "① ㄱ ② ㄴ"}]}]}, {"type": "paragraph", "content": "① ㄷ"}, {"type": "paragraph", "content": "② ㄹ"}], [(1, "가", "1:ㄷ", ""), (2, "나", "1:ㄱ|2:ㄴ|2:ㄹ", "")]),
+    ("circled list", [{"type": "list", "list items": [{"content": "32. 다"}]}, {"type": "list", "numbering style": "circled arabic numbers", "list items": [{"content": "① a"}, {"content": "b"}]}, {"type": "list", "numbering style": "circled arabic numbers", "list items": [{"content": "④ d"}]}], [(32, "다", "1:a|2:b|4:d", "")]),
+    ("orphans", [{"type": "list", "list items": [{"content": "28. 라"}]}, {"type": "list", "list items": [{"content": "① x ② y"}, {"content": "29. 마"}]}], [(28, "라", "1:x|2:y", ""), (29, "마", "", "")]),
+    ("pictures", [{"type": "list", "list items": [{"content": "3. 바"}]}, {"type": "image", "id": 9}, {"type": "image", "id": 12, "bounding box": [9, 0, 1, 1]}, {"type": "image", "id": 11, "bounding box": [1, 0, 1, 1]}, {"type": "caption", "content": "① ②"}], [(3, "바", "1:|2:", "9")]),
+    ("blocks", [{"type": "header"}, {"type": "list", "list items": [{"content": "5) 사"}]}, {"type": "text block", "kids": [{"type": "heading", "content": "과목"}]}, {"type": "text block", "kids": [{"type": "paragraph", "content": "보기"}]}, {"type": "table", "id": 4}, {"type": "paragraph", "content": "① ㅁ"}, {"type": "table", "id": 5}], [(5, "사\n보기", "1:ㅁ", "4")]),
+]
+_TREE_EVENTS_SQL = " UNION ALL ".join(f"SELECT '{doc}' AS doc, {n} AS question_number, '{text}' AS question_text, '{choices}' AS choices, '{images}' AS images" for doc, _, want in _TREE_EVENTS for n, text, choices, images in want)
+
+
+@query(_TREE_EVENTS_SQL)
+def tree_events(spark: SparkSession, d: str) -> DataFrame:
+    """Choices, pictures, blocks and tables between the questions of a tree, against stated results."""
+    import json
+
+    docs = spark.createDataFrame([(doc, json.dumps({"kids": kids})) for doc, kids, _ in _TREE_EVENTS], "doc string, raw string")
+    choices = F.array_join(F.transform("choices", lambda c: F.concat(c["number"].cast("string"), F.lit(":"), c["text"])), "|")
+    return nodes.extract_questions(docs, "doc", "raw").select("doc", "question_number", "question_text", choices.alias("choices"), F.array_join(F.col("images").cast("array<string>"), ",").alias("images"))
 
 
 @query()
