@@ -1,9 +1,14 @@
 """Problem 7: passages of evaluation items inside a training corpus.
 
-Texts are compared by their letters and digits alone, in one form and lower case. Every window of
-WINDOW letters of every item goes into a broadcast hash set; of a document only every STRIDE-th
-window is looked up. With WINDOW + STRIDE - 1 = MIN_RUN, any common run of MIN_RUN letters holds
-such a window, so nothing is missed; each hit is verified by extending it to both sides.
+Texts are compared by their letters and digits alone, in one form and lower case; what the method
+calls token windows are windows of WINDOW letters here, as quotations start and end inside words.
+A 64-bit hash of every window of every item goes into one sorted array, which is broadcast; of a
+document only every STRIDE-th window is looked up, all documents of a batch at once. With
+WINDOW + STRIDE - 1 = MIN_RUN, any common run of MIN_RUN letters holds such a window, so nothing
+is missed; each hit is verified by extending it to both sides in the item's text.
+
+The array takes 16 bytes a window, so a block of BLOCK_LETTERS letters of items takes at most
+BLOCK_BYTES on a worker whatever the alphabet; more items go in several blocks, one pass each.
 
 Defined results: null, empty and short texts give no rows; a document that quotes an item twice,
 or an item delivered twice, gives one row; extra columns are not read.
@@ -13,10 +18,9 @@ from __future__ import annotations
 
 import functools
 import unicodedata
-import uuid
-from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,61 +32,101 @@ from .charforms import _INVISIBLE, _LOOKS_TABLE, _MARKS, _NOT_WORD, fold_for_mat
 MIN_RUN = 40
 WINDOW = 20
 STRIDE = MIN_RUN - WINDOW + 1
-#: Item text that one broadcast may hold; more items are searched in several blocks.
-BLOCK_BYTES = 24 * 1024 * 1024
+#: Bytes that one block of items may take on a worker: 16 a window, 4 a letter of the texts.
+BLOCK_BYTES = 160 * 1024 * 1024
+BLOCK_LETTERS = BLOCK_BYTES // 20
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Letters of documents that are looked up together (a memory bound; a longer document alone).
+HELD_LETTERS = 2_000_000
 
-class ItemIndex:
-    """Windows of item texts, and the longest run a text shares with each item."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.items = [(key, fold_for_match(text)) for key, text in items]
-        self.windows: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for n, (_, text) in enumerate(self.items):
-            for at in range(len(text) - WINDOW + 1):
-                self.windows[text[at : at + WINDOW]].append((n, at))
-        self.windows = dict(self.windows)
+def _letters(folded: str) -> np.ndarray:
+    return np.frombuffer(folded.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
-    def runs(self, folded: str) -> dict[int, list[tuple[int, int]]]:
-        """Of a folded text: for each item it quotes, the (start, end) runs of at least MIN_RUN."""
-        found: dict[int, list[tuple[int, int]]] = {}
-        windows, items = self.windows, self.items
-        for at in range(0, len(folded) - WINDOW + 1, STRIDE):
-            for n, pos in windows.get(folded[at : at + WINDOW], ()):
-                key, text = items[n]
-                if any(a <= at and at + WINDOW <= b for a, b in found.get(key, ())):
-                    continue
-                a, i = at, pos
-                while a and i and folded[a - 1] == text[i - 1]:
-                    a, i = a - 1, i - 1
-                b, j = at + WINDOW, pos + WINDOW
-                while b < len(folded) and j < len(text) and folded[b] == text[j]:
-                    b, j = b + 1, j + 1
-                if b - a >= MIN_RUN:
-                    found.setdefault(key, []).append((a, b))
-        return found
 
+def window_hashes(letters: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the windows at ``starts``: the same letters give the same hash wherever they stand."""
+    x = np.zeros(len(starts), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(WINDOW):
+            x = x * _BASE + letters[starts + k]
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
 
-_INDEXES: dict[str, ItemIndex] = {}
 
+class ItemIndex:
+    """Windows of item texts as sorted hashes, and the runs a text shares with each item."""
 
-def _index(shared) -> ItemIndex:
-    """The index of one broadcast block, built once in each worker."""
-    token, items = shared.value
-    if token not in _INDEXES:
-        _INDEXES.clear()
-        _INDEXES[token] = ItemIndex(items)
-    return _INDEXES[token]
+    def __init__(self, items: list[tuple[int, str]]):
+        self.keys = [key for key, _ in items]
+        folded = [_letters(fold_for_match(text)) for _, text in items]
+        sizes = np.array([len(x) for x in folded], dtype=np.int64)
+        self.letters = np.concatenate(folded) if folded else np.zeros(0, np.uint32)
+        self.ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        counts = np.maximum(sizes - WINDOW + 1, 0)
+        starts = np.repeat(self.ends[:-1] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum()) if len(items) else np.zeros(0, np.int64)
+        hashes = window_hashes(self.letters, starts)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.places = hashes[order], starts[order].astype(np.int64)
 
+    def runs(self, folded: str) -> dict[int, list[tuple[int, int]]]:
+        """Of a folded text: for each item it quotes, the (start, end) runs of at least MIN_RUN."""
+        return self.runs_of([folded])[0]
+
+    def runs_of(self, texts: list[str]) -> list[dict[int, list[tuple[int, int]]]]:
+        """``runs`` of several folded texts, looked up together in groups of about HELD_LETTERS."""
+        out, group, size = [], [], 0
+        for t in texts:
+            if group and size + len(t) > HELD_LETTERS:
+                out += self._runs_of(group)
+                group, size = [], 0
+            group.append(t)
+            size += len(t)
+        return out + self._runs_of(group)
+
+    def _runs_of(self, texts: list[str]) -> list[dict[int, list[tuple[int, int]]]]:
+        found: list[dict[int, list[tuple[int, int]]]] = [{} for _ in texts]
+        letters = [_letters(t) for t in texts]
+        sizes = np.array([len(x) for x in letters], dtype=np.int64)
+        counts = np.where(sizes >= WINDOW, (sizes - WINDOW) // STRIDE + 1, 0)
+        if not counts.sum() or not len(self.hashes):
+            return found
+        base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        text = np.repeat(np.arange(len(texts)), counts)
+        at = (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)) * STRIDE
+        hashes = window_hashes(np.concatenate(letters), base[text] + at)
+        first = np.searchsorted(self.hashes, hashes, side="left")
+        hit = np.flatnonzero(self.hashes[np.minimum(first, len(self.hashes) - 1)] == hashes)
+        for h in hit:
+            stop = np.searchsorted(self.hashes, hashes[h], side="right")
+            for place in self.places[first[h] : stop]:
+                self._extend(letters[text[h]], int(at[h]), int(place), found[text[h]])
+        return found
 
-def _item_blocks(items: DataFrame, key: str, text: str):
-    """Items in blocks of bounded size, each small enough to broadcast, with a token of its own."""
+    def _extend(self, t: np.ndarray, at: int, place: int, found: dict) -> None:
+        """Adds the run around a window that a text and an item share, if it is long enough and new."""
+        n = int(np.searchsorted(self.ends, place, side="right")) - 1
+        key, low, high = self.keys[n], int(self.ends[n]), int(self.ends[n + 1])
+        if any(a <= at and at + WINDOW <= b for a, b in found.get(key, ())) or not np.array_equal(t[at : at + WINDOW], self.letters[place : place + WINDOW]):
+            return
+        left, right = min(at, place - low), min(len(t) - at, high - place)
+        differs = np.flatnonzero(t[at - left : at][::-1] != self.letters[place - left : place][::-1])
+        a = at - (int(differs[0]) if len(differs) else left)
+        differs = np.flatnonzero(t[at : at + right] != self.letters[place : place + right])
+        b = at + (int(differs[0]) if len(differs) else right)
+        if b - a >= MIN_RUN:
+            found.setdefault(key, []).append((a, b))
+
+
+def _item_blocks(items: DataFrame, key: str, text: str) -> Iterator[ItemIndex]:
+    """Indexes of items in blocks of bounded size, each small enough to broadcast."""
     held = items.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).where("k is not null and t is not null")
-    size = held.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
+    size = held.agg(F.sum(F.length("t"))).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK_LETTERS))
     for b in range(blocks):
         part = held if blocks == 1 else held.where(F.pmod(F.xxhash64("k"), F.lit(blocks)) == b)
-        yield uuid.uuid4().hex, [(r.k, r.t) for r in part.toLocalIterator()]
+        yield ItemIndex([(r.k, r.t) for r in part.toLocalIterator()])
 
 
 def leaked_items(
@@ -99,13 +143,12 @@ def leaked_items(
         shared = narrow.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = _index(shared)
+            index = shared.value
             for batch in batches:
                 docs, found, counts, longest = [], [], [], []
-                for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    if not t or len(t) < MIN_RUN:
-                        continue
-                    for item, runs in index.runs(fold_for_match(t)).items():
+                texts = [fold_for_match(t) if t and len(t) >= MIN_RUN else "" for t in batch.column(1).to_pylist()]
+                for doc, quoted in zip(batch.column(0).to_pylist(), index.runs_of(texts)):
+                    for item, runs in quoted.items():
                         docs.append(doc)
                         found.append(item)
                         counts.append(len(runs))
@@ -190,11 +233,13 @@ def _cutter(shared):
     """UDF: the text without the spans that items of one block share with it."""
 
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = _index(shared)
+        index = shared.value
         for batch in batches:
             kept = []
-            for t in batch.to_pylist():
-                while t and len(t) >= MIN_RUN and (found := index.runs(fold_for_match(t))):
+            texts = batch.to_pylist()
+            quoted = index.runs_of([fold_for_match(t) if t and len(t) >= MIN_RUN else "" for t in texts])
+            for t, found in zip(texts, quoted):
+                while found:
                     _, starts, ends = folded_positions(t)
                     spans = sorted((starts[a], ends[b - 1]) for runs in found.values() for a, b in runs)
                     left, end = [], 0
@@ -202,6 +247,8 @@ def _cutter(shared):
                         left.append(t[end:a])
                         end = max(end, b)
                     t = "".join(left) + t[end:]
+                    # What a cut brings together may be a quotation again.
+                    found = index.runs(fold_for_match(t)) if len(t) >= MIN_RUN else {}
                 kept.append(t)
             yield pa.array(kept, type=pa.string())
 

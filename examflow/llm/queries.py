@@ -84,6 +84,11 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
 
+def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the spans it quotes from evaluation items."""
+    return leakage.remove_leaks(load(spark, sf_dir, "documents").select("doc_id", "text"), load(spark, sf_dir, "eval_items"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of personal data with its type and place."""
     return pii.personal_data(load(spark, sf_dir, "documents")).select("doc_id", "pii_type", "start_pos")
@@ -94,7 +99,7 @@ def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redact(load(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p2_found": p2_found, "p2_plain": p2_plain, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p4_groups": p4_groups, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found, "p8_redacted": p8_redacted}
+QUERIES = {"p1_found": p1_found, "p1_counts": p1_counts, "p2_found": p2_found, "p2_plain": p2_plain, "p3_found": p3_found, "p3_repaired": p3_repaired, "p4_found": p4_found, "p4_groups": p4_groups, "p6_ids": p6_ids, "p7_found": p7_found, "p7_clean": p7_clean, "p8_found": p8_found, "p8_redacted": p8_redacted}
 
 
 # Written apart from the operator's own tables, so that a fault in those shows.

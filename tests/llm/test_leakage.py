@@ -46,7 +46,7 @@ def test_blocks_give_the_same(spark, monkeypatch):
     d = spark.createDataFrame([(1, ITEM), (2, "x" * 60)], "doc_id long, text string")
     items = spark.createDataFrame([(i, ITEM if i % 2 else "y" * 50) for i in range(8)], "item_id long, item_text string")
     whole = sorted(map(tuple, L.leaked_items(d, items).collect()))
-    monkeypatch.setattr(L, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(L, "BLOCK_LETTERS", 100)
     assert sorted(map(tuple, L.leaked_items(d, items).collect())) == whole and len(whole) == 4
 
 
@@ -68,9 +68,24 @@ def test_decomposed_and_nested_quotations_are_removed(spark, monkeypatch):
     inner = ITEM[:50] + " " + quoted + " " + ITEM[50:]
     d = spark.createDataFrame([(1, "앞말 " + quoted + " 뒷말"), (2, "before " + ITEM[:35] + quoted + ITEM[35:70] + " after"), (3, inner)], "doc_id long, text string")
     items = spark.createDataFrame([(1, KOREAN), (2, ITEM)], "item_id long, item_text string")
-    for size in (L.BLOCK_BYTES, 100):
-        monkeypatch.setattr(L, "BLOCK_BYTES", size)
+    for size in (L.BLOCK_LETTERS, 100):
+        monkeypatch.setattr(L, "BLOCK_LETTERS", size)
         out = L.remove_leaks(d, items)
         assert L.leaked_items(out, items).count() == 0
         got = {x.doc_id: x.text for x in out.collect()}
         assert got[1] == "앞말  뒷말" and got[2].startswith("before") and got[2].endswith("after")
+
+
+def test_index_is_bounded():
+    r = random.Random(7)
+    items = [(i, "".join(r.choice("가나다라마바사아자차") for _ in range(1000))) for i in range(200)]
+    index = L.ItemIndex(items)
+    held = index.hashes.nbytes + index.places.nbytes + index.letters.nbytes + index.ends.nbytes
+    assert held <= 20 * 200_000 + 2000
+    assert index.runs(items[5][1][100:180]) == {5: [(0, 80)]}
+
+
+def test_common_preamble():
+    same = "이 글을 읽고 물음에 답하시오 "
+    items = [(i, same + f"문항 {i} 의 본문은 서로 다르며 번호 {i * 7919} 로 시작한다 그리고 이어지는 문장") for i in range(300)]
+    assert L.ItemIndex(items).runs(fold_for_match(same * 3)) == {}
