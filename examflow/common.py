@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Tables above this many bytes are never broadcast by hand; Catalyst decides there.
-BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
-
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of a data folder."""
@@ -28,15 +25,24 @@ def first_delivery(df: DataFrame, key: str, within: str | None = None) -> DataFr
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; set a folder of our own only where none is named."""
-    if spark.conf.get("spark.checkpoint.dir", None):
-        return
+    """Use the shared folder the cluster names in spark.checkpoint.dir.
+
+    A folder of our own is only made in local mode, where one machine is the whole cluster; elsewhere
+    executors could not read what others wrote, so a missing setting is an error.
+    """
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(os.path.join(os.environ.get("TMPDIR", "/tmp"), "examflow-checkpoints"))
+    if not context._jsc.sc().getCheckpointDir().isEmpty():
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can read")
+    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="examflow-checkpoints-"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint: survives the loss of any executor."""
+    """A reliable checkpoint in a folder all executors share: survives the loss of any of them.
+
+    Spark deletes its files with the frame if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

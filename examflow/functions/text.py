@@ -339,3 +339,20 @@ def json_object(c: Column) -> Column:
     """VARIANT of a reply that is a JSON object; null otherwise."""
     v = F.try_parse_json(strip_fences(c))
     return F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
+
+
+def padded(number: Column, width: int) -> Column:
+    """A number with leading zeros; longer ones are not cut."""
+    return F.format_string(f"%0{width}d", number.cast("bigint"))
+
+
+def dotenv_value(raw: Column) -> Column:
+    """The value of a setting line: without its quotes, or without a comment after a blank."""
+    t = trim_u(raw)
+    quoted = (F.length(t) >= 2) & ((t.startswith("'") & t.endswith("'")) | (t.startswith('"') & t.endswith('"')))
+    return F.when(quoted, F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(trim_u(F.regexp_replace(t, r"\s#.*$", "")))
+
+
+def picked_files(stdout: Column) -> Column:
+    """Paths that a file dialog printed, one a line."""
+    return F.filter(F.transform(F.split(stdout, "\n"), trim_u), lambda x: x != "")

@@ -123,7 +123,7 @@ def crops_of_questions(questions: DataFrame, drawings: DataFrame, keys: list[str
     met = questions.join(drawings, keys).where(layout.contains_point(wide, (r["x0"] + r["x1"]) / 2, (r["y0"] + r["y1"]) / 2))
     w = Window.partitionBy(doc).orderBy("question_index", "page", "rect.y0", "rect.x0")
     out = met.withColumn("element_id", F.row_number().over(w) + first_id - 1)
-    return out.withColumn("crop_path", F.concat(F.lit("crops/crop_id"), F.lpad(F.col("element_id").cast("string"), 4, "0"), F.lit("_p"), F.col("page").cast("string"), F.lit(".png")))
+    return out.withColumn("crop_path", F.concat(F.lit("crops/crop_id"), T.padded(F.col("element_id"), 4), F.lit("_p"), F.col("page").cast("string"), F.lit(".png")))
 
 
 def visual_band(lines: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -158,7 +158,7 @@ def asset_groups(blocks: DataFrame, doc: str, question: str, page_width: float =
     """(doc, question, page, column_label, rect, file): one padded box for each page column of a question."""
     out = blocks.groupBy(doc, question, "page", "column_label").agg(layout.union_box("bbox").alias("b"))
     w = Window.partitionBy(doc, question).orderBy("page", "column_label")
-    n = lambda c, k: F.lpad(c.cast("string"), k, "0")
+    n = T.padded
     out = out.withColumn("n", F.row_number().over(w))
     file = F.concat(F.lit("q"), n(F.col(question), 3), F.lit("_p"), n(F.col("page"), 2), F.lit("_"), F.col("column_label"), F.lit("_"), n(F.col("n"), 2), F.lit(".png"))
     return out.select(doc, question, "page", "column_label", layout.pad(F.col("b"), F.lit(page_width), F.lit(page_height)).alias("rect"), file.alias("file"))

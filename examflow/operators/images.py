@@ -113,7 +113,7 @@ def question_block(texts: DataFrame, key: str, text: str, expected: str | None =
 
 def file_name(kind: str, number: Column) -> Column:
     """Names of the text files written for a question: kind is concepts, answer or single_concept."""
-    return F.concat(F.lit("question_"), F.lpad(number.cast("string"), 3, "0"), F.lit(f"_{kind}.txt"))
+    return F.concat(F.lit("question_"), T.padded(number, 3), F.lit(f"_{kind}.txt"))
 
 
 def output_folder(root: Column, kind: str) -> Column:

@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 
+def require_folder(spark: SparkSession, path: str) -> str:
+    """The path, if it is a folder on whatever filesystem it names; an error otherwise."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where) or not files.getFileStatus(where).isDirectory():
+        raise NotADirectoryError(path)
+    return path
+
+
 def element_trees(spark: SparkSession, path: str) -> DataFrame:
     """(path, raw): one JSON document a file."""
     return spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), F.col("value").alias("raw"))

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 
 def json_lines(df: DataFrame, path: str) -> None:
     """One JSON object a line, nulls kept."""
@@ -23,22 +25,30 @@ def final_json(finals: DataFrame, doc: str, order: str) -> DataFrame:
 
 
 def question_file(number: Column, kind: str, suffix: str = ".md") -> Column:
-    return F.concat(F.lit(kind), F.lpad(number.cast("string"), 3, "0"), F.lit(suffix))
+    return F.concat(F.lit(kind), T.padded(number, 3), F.lit(suffix))
 
 
 def text_files(df: DataFrame, root: str, name: str, text: str) -> DataFrame:
-    """Write one file a row below ``root``; gives (name, bytes). A file that exists is replaced as a whole."""
+    """Write one file a row below ``root``; gives (name, bytes). A file that exists is replaced as a whole.
+
+    ``root`` may be on any filesystem Spark can write: each executor writes its own rows there through
+    pyarrow, first under another name, so a task that runs twice leaves whole files.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        where, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{os.path.abspath(root)}")
         for f in frames:
             sizes = []
             for n, t in zip(f[name], f[text]):
-                target = os.path.join(root, n)
-                os.makedirs(os.path.dirname(target), exist_ok=True)
+                target = f"{base}/{n}"
+                where.create_dir(os.path.dirname(target), recursive=True)
                 data = (t or "").encode()
-                with open(f"{target}.{os.getpid()}", "wb") as out:
+                part = f"{target}.{os.getpid()}"
+                with where.open_output_stream(part) as out:
                     out.write(data)
-                os.replace(f"{target}.{os.getpid()}", target)
+                where.move(part, target)
                 sizes.append(len(data))
             yield pd.DataFrame({"name": f[name], "bytes": sizes})
 
