@@ -122,10 +122,14 @@ def breaker(calls: DataFrame, keys: list[str], order: str, failed: Column, limit
 
 
 def stage_metadata(calls: DataFrame, keys: list[str], order: str, error: str, cap: int = 10) -> DataFrame:
-    """(keys, total, done, failed, skipped, errors): counters and the first ``cap`` errors of a stage (a report)."""
-    errors = F.slice(F.array_sort(F.collect_list(F.when(F.col("state") == "failed", F.struct(order, error)))), 1, cap)
+    """(keys, total, done, failed, skipped, timeouts, errors): counters and the first ``cap`` errors of a stage (a report)."""
+    # Only the first errors of a key are held, however many there are.
+    failed = F.col("state") == "failed"
+    calls = calls.withColumn("__nth", F.sum(failed.cast("int")).over(Window.partitionBy(*keys).orderBy(order)))
+    errors = F.array_sort(F.collect_list(F.when(failed & (F.col("__nth") <= cap), F.struct(order, error))))
     n = lambda s: F.count_if(F.col("state") == s)
-    return calls.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), n("done").alias("done"), n("failed").alias("failed"), n("skipped").alias("skipped"), F.transform(errors, lambda e: e[error]).alias("errors"))
+    timeouts = F.count_if(failed & T.is_timeout(F.col(error)))
+    return calls.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), n("done").alias("done"), n("failed").alias("failed"), n("skipped").alias("skipped"), timeouts.alias("timeouts"), F.transform(errors, lambda e: e[error]).alias("errors"))
 
 
 def merge_enrichment(finals: DataFrame, replies: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..common import load
 from ..functions import text as T
 from ..operators import nested, segment
-from . import exam, pipelines
+from . import exam, pipelines, stages  # noqa: F401 - stages registers its queries with exam
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
