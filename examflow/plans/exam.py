@@ -62,7 +62,7 @@ def _blocks(spark: SparkSession, d: str, within: str | None = None) -> DataFrame
 
 
 def _questions(spark: SparkSession, d: str, within: str | None = None) -> DataFrame:
-    return first_delivery(load(spark, d, "questions").select("question_id", "upload_id", "exam_id", "question_no", "subject", "stem", "answer"), "question_id", within)
+    return first_delivery(load(spark, d, "questions").select("question_id", "upload_id", "exam_id", "question_no", "subject", "stem", "answer", "assets"), "question_id", within)
 
 
 def _finals(spark: SparkSession, d: str, *columns: str, within: str | None = None) -> DataFrame:
@@ -174,7 +174,7 @@ WITH q AS (SELECT * FROM {once('questions', 'question_id')} WHERE question_no BE
 FROM q GROUP BY ALL""")
 def inline_answers(spark: SparkSession, d: str) -> DataFrame:
     """E5: answers printed as one text an upload, read back."""
-    q = _questions(spark, d, "upload_id").where(F.col("question_no").between(1, 100) & F.col("answer").rlike(r"^(?:[①②③④⑤]|모두답|[1-5](?:\s*,\s*[1-5])*)$"))
+    q = _questions(spark, d, "upload_id")
     parts = F.array_sort(F.collect_list(F.struct("question_id", F.concat(F.col("question_no").cast("string"), F.lit("."), F.col("answer")).alias("t"))))
     texts = q.groupBy("upload_id").agg(F.array_join(F.transform(parts, lambda p: p.t), "  ").alias("text"))
     return answers.inline_answers(texts, "upload_id", "text")
@@ -400,7 +400,7 @@ def latex_escape(spark: SparkSession, d: str) -> DataFrame:
     return _finals(spark, d, "content").where("content is not null").select("qf_id", T.escape_latex(F.col("content")).alias("tex"))
 
 
-PAGES = f"""WITH p AS (SELECT upload_id * 1000 + page_number AS page_key, string_agg(text, chr(10) ORDER BY seq) AS text FROM {once('text_lines', 'line_id')} WHERE text IS NOT NULL GROUP BY upload_id, page_number),
+PAGES = f"""WITH p AS (SELECT upload_id || '/' || page_number AS page_key, string_agg(text, chr(10) ORDER BY seq) AS text FROM {once('text_lines', 'line_id')} WHERE text IS NOT NULL GROUP BY upload_id, page_number),
 l AS (SELECT page_key, unnest(list_filter(list_transform(string_split(text, chr(10)), lambda v: rtrim(v)), lambda v: trim(v) <> '')) AS line, generate_subscripts(list_filter(list_transform(string_split(text, chr(10)), lambda v: rtrim(v)), lambda v: trim(v) <> ''), 1) AS pos_ FROM p),
 q AS (SELECT *, CASE WHEN regexp_matches(line, '{T.OCR_START}') THEN CAST(regexp_extract(line, '{T.OCR_START}', 1) AS INT) WHEN regexp_matches(line, '{T.OCR_START_SLASH}') THEN 7 END AS qno FROM l),
 c AS (SELECT *, count(qno) OVER (PARTITION BY page_key ORDER BY pos_) AS chunk_no, count(qno) OVER (PARTITION BY page_key) AS n FROM q)
@@ -409,7 +409,7 @@ c AS (SELECT *, count(qno) OVER (PARTITION BY page_key ORDER BY pos_) AS chunk_n
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
     parts = F.array_sort(F.collect_list(F.struct("seq", "text")))
-    return _lines(spark, d).where("text is not null").groupBy((F.col("upload_id") * 1000 + F.col("page_number")).alias("page_key")).agg(F.array_join(F.transform(parts, lambda p: p.text), "\n").alias("text"))
+    return _lines(spark, d).where("text is not null").groupBy(F.concat_ws("/", "upload_id", "page_number").alias("page_key")).agg(F.array_join(F.transform(parts, lambda p: p.text), "\n").alias("text"))
 
 
 @query(PAGES + "SELECT page_key, chunk_no, max(qno) AS qno, trim(string_agg(line, chr(10) ORDER BY pos_)) AS chunk FROM c WHERE chunk_no > 0 OR n = 0 GROUP BY page_key, chunk_no")
@@ -534,21 +534,21 @@ def shared_passages(spark: SparkSession, d: str) -> DataFrame:
     return passages.shared_passages(q, "upload_id", "question_id", "question_no", "t")[1]
 
 
-@query(f"""WITH t AS (SELECT upload_id, exam_id, question_id, question_no AS qno, stem AS question_text, CAST(row_number() OVER (PARTITION BY upload_id ORDER BY question_id) AS INT) AS question_index FROM {once('questions', 'question_id')}),
+@query(f"""WITH t AS (SELECT upload_id, exam_id, question_id, question_no AS qno, stem AS question_text, assets, CAST(row_number() OVER (PARTITION BY upload_id ORDER BY question_id) AS INT) AS question_index FROM {once('questions', 'question_id')}),
 c AS (SELECT question_id, string_agg(coalesce(label, '') || ' ' || coalesce(text, ''), chr(10) ORDER BY choice_id) AS choices_text FROM {once('choices', 'choice_id')} GROUP BY question_id),
-x AS (SELECT upload_id, exam_id, question_index, qno, question_text, choices_text, true AS has_text FROM t LEFT JOIN c USING (question_id) WHERE question_index % 7 <> 0),
-i AS (SELECT upload_id, question_index, qno AS image_qno, ['q' || question_index || '.png'] AS problem_image_paths FROM t WHERE question_index % 5 <> 0),
+x AS (SELECT upload_id, exam_id, question_index, qno, question_text, choices_text, true AS has_text FROM t LEFT JOIN c USING (question_id) WHERE question_text IS NOT NULL),
+i AS (SELECT upload_id, question_index, qno AS image_qno, ['q' || question_index || '.png'] AS problem_image_paths FROM t WHERE len(assets) > 0),
 j AS (SELECT * FROM x FULL OUTER JOIN i USING (upload_id, question_index)), k AS (SELECT *, coalesce(question_text, '') AS q, coalesce(choices_text, '') AS c, CASE WHEN has_text THEN qno ELSE image_qno END AS n FROM j),
 h AS (SELECT *, sha1({collapse('q || chr(10) || c || chr(10)')}) AS content_hash FROM k)
-SELECT upload_id, 'v1' AS schema_version, coalesce(exam_id, '') || ':' || lpad(CAST(question_index AS VARCHAR), 3, '0') || ':' || coalesce(CAST(n AS VARCHAR), 'na') || ':' || substr(content_hash, 1, 12) AS record_id, question_index, n AS question_number, q AS question_text, c AS choices_text, coalesce(problem_image_paths, []) AS problem_image_paths, content_hash FROM h""")
+SELECT upload_id, 'v1' AS schema_version, coalesce(exam_id, '') || ':' || lpad(CAST(question_index AS VARCHAR), CAST(greatest(3, length(CAST(question_index AS VARCHAR))) AS INT), '0') || ':' || coalesce(CAST(n AS VARCHAR), 'na') || ':' || substr(content_hash, 1, 12) AS record_id, question_index, n AS question_number, q AS question_text, c AS choices_text, coalesce(problem_image_paths, []) AS problem_image_paths, content_hash FROM h""")
 def db_records(spark: SparkSession, d: str) -> DataFrame:
     """Flat records of texts and images."""
     w = Window.partitionBy("upload_id").orderBy("question_id")
     t = _questions(spark, d, "upload_id").withColumn("question_index", F.row_number().over(w))
     part = F.struct("choice_id", F.concat(F.coalesce("label", F.lit("")), F.lit(" "), F.coalesce("text", F.lit(""))).alias("t"))
     c = first_delivery(load(spark, d, "choices").select("choice_id", "question_id", "label", "text"), "choice_id").groupBy("question_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda p: p.t), "\n").alias("choices_text"))
-    texts = t.where("question_index % 7 <> 0").join(c, "question_id", "left").select("upload_id", "exam_id", "question_index", F.col("question_no").alias("qno"), F.col("stem").alias("question_text"), "choices_text")
-    images = t.where("question_index % 5 <> 0").select("upload_id", "question_index", F.col("question_no").alias("image_qno"), F.array(F.concat(F.lit("q"), F.col("question_index").cast("string"), F.lit(".png"))).alias("problem_image_paths"))
+    texts = t.where("stem is not null").join(c, "question_id", "left").select("upload_id", "exam_id", "question_index", F.col("question_no").alias("qno"), F.col("stem").alias("question_text"), "choices_text")
+    images = t.where("size(assets) > 0").select("upload_id", "question_index", F.col("question_no").alias("image_qno"), F.array(F.concat(F.lit("q"), F.col("question_index").cast("string"), F.lit(".png"))).alias("problem_image_paths"))
     return passages.db_records(texts, images, "upload_id", "exam_id")
 
 
