@@ -136,7 +136,7 @@ def bucket_counts(sets: DataFrame):
 def ordered_sets(sets: DataFrame, key: str) -> DataFrame:
     """(key, n, h1, h2, alone, cold, grams): entries rare first, without those ``alone`` in their bucket.
 
-    The first ``cold`` entries surely stand in at most BLOCK records. One row for each record, partitioned by the key.
+    The first ``cold`` entries surely stand in at most BLOCK records.
     """
     import numpy as np
 
@@ -163,7 +163,7 @@ def ordered_sets(sets: DataFrame, key: str) -> DataFrame:
 
     kind = sets.schema[key].dataType.simpleString()
     rows = sets.select(key, "n", "h1", "h2", "grams").mapInArrow(run, f"`{key}` {kind}, n int, h1 bigint, h2 bigint, alone int, cold int, grams array<bigint>")
-    return rows.repartition(key).dropDuplicates([key])
+    return rows
 
 
 def similar_classes(sets: DataFrame) -> DataFrame:
@@ -210,14 +210,18 @@ class NearDuplicates:
     def __init__(self, records: DataFrame, key: str = "qf_id", content: str = "content", options: str = "options"):
         self.key = key
         # Read several times below: written once where every executor can read it.
-        ordered = cut_lineage(ordered_sets(cut_lineage(record_sets(records, key, content, options)), key))
-        self.all_keys = ordered.select(key)
+        sets = cut_lineage(record_sets(records, key, content, options))
+        marks = sets.select(key, "n", "h1", "h2").dropDuplicates([key])
         # Records with equal sets share the least key; records with empty sets are in no class.
-        marks = ordered.where("n > 0").select(key, "h1", "h2")
-        least = marks.groupBy("h1", "h2").agg(F.min(key).alias("class_id"))
-        self.members = cut_lineage(marks.join(least, ["h1", "h2"]).select(key, "class_id"))
+        least = marks.where("n > 0").groupBy("h1", "h2").agg(F.min(key).alias("class_id"))
+        self.members = cut_lineage(marks.join(least, ["h1", "h2"], "left").select(key, F.when(F.col("n") > 0, F.col("class_id")).alias("class_id")))
         chosen = self.members.where(F.col(key) == F.col("class_id")).select(key)
-        self.sets = ordered.join(chosen, key, "left_semi").select(F.col(key).alias("id"), "n", "alone", "cold", "grams")
+        # Only sets of classes are ordered; they cross the network here, and stay where they are for both sides of the count.
+        n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        kept = ordered_sets(sets, key).repartition(n, key).join(chosen.repartition(n, key), key, "left_semi").dropDuplicates([key])
+        self.sets = cut_lineage(kept.select(F.col(key).alias("id"), "n", "alone", "cold", "grams"))
+        self.all_keys = self.members.select(key)
+        self.members = self.members.where("class_id is not null")
 
     def links(self) -> DataFrame:
         """(a, b, common, n_a, n_b) between classes."""
