@@ -322,7 +322,7 @@ def column_counts(total: Column, left: Column, right: Column) -> Column:
 
 def image_file_name(kind: Column, page: Column, index: Column) -> Column:
     name = F.when(kind.isin("picture", "image"), "figure").otherwise(kind)
-    return F.concat(name, F.lit("_p"), F.lpad(page.cast("string"), 2, "0"), F.lit("_"), F.lpad(index.cast("string"), 3, "0"), F.lit(".png"))
+    return F.concat(name, F.lit("_p"), padded(page, 2), F.lit("_"), padded(index, 3), F.lit(".png"))
 
 
 def data_url(content: Column, mime: Column) -> Column:

@@ -90,9 +90,9 @@ def without_page_noise(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("text", t).where((F.col("text") != "") & ~layout.is_top_noise(F.col("text"), F.col("bbox.y0"), F.col("bbox.y1")) & ~layout.is_bottom_noise(F.col("text")))
 
 
-def reading_order(lines: DataFrame, keys: list[str], into: str = "seq") -> DataFrame:
-    """Number lines of a column by rows of 4 units, then from left to right (half-even rounding)."""
-    w = Window.partitionBy(*keys).orderBy(F.bround(F.col("bbox.y0") / 4, 0), "bbox.x0", "bbox.y0")
+def reading_order(lines: DataFrame, keys: list[str], into: str = "seq", *ties: str) -> DataFrame:
+    """Number lines of a column by rows of 4 units, then from left to right (half-even rounding), then by ``ties``."""
+    w = Window.partitionBy(*keys).orderBy(F.bround(F.col("bbox.y0") / 4, 0), "bbox.x0", "bbox.y0", *ties)
     return lines.withColumn(into, F.row_number().over(w))
 
 

@@ -42,10 +42,6 @@ def overlaps(a: Column, b: Column) -> Column:
     return (a["x1"] > b["x0"]) & (a["x0"] < b["x1"]) & (a["y1"] > b["y0"]) & (a["y0"] < b["y1"])
 
 
-def touches(a: Column, b: Column) -> Column:
-    return (a["x1"] >= b["x0"]) & (a["x0"] <= b["x1"]) & (a["y1"] >= b["y0"]) & (a["y0"] <= b["y1"])
-
-
 def contains_point(b: Column, x: Column, y: Column) -> Column:
     return x.between(b["x0"], b["x1"]) & y.between(b["y0"], b["y1"])
 

@@ -175,14 +175,6 @@ def ask(df: DataFrame, keys: list[str], prompt: str, client: Callable[[], Callab
     return df.select(*keys, prompt).mapInPandas(run, schema)
 
 
-def sparse_scores(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """The best reading of each cell by the score of table rows."""
-    from ..functions import text as T
-
-    row = T.sparse_row(F.col(text))
-    return df.groupBy(*keys).agg(F.max_by(row, T.sparse_score(row)).alias("best_text"))
-
-
 def binarised(df: DataFrame, key: str, threshold: int, scale: int = 1) -> DataFrame:
     """(key, w, h, data): pixels under the threshold are black, others white, each ``scale`` times as large."""
     schema = f"{key} {df.schema[key].dataType.simpleString()}, w int, h int, data binary"

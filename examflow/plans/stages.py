@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..common import first_delivery, load
 from ..functions import text as T
-from ..operators import canonical, columns, images, layout, prompts, raster, reading
+from ..operators import canonical, columns, images, layout, nodes, prompts, raster, reading, segment
 from ..sources import writers
 from .exam import _blocks, _lines, once, query
 
@@ -341,3 +341,186 @@ def region_texts(spark: SparkSession, d: str) -> DataFrame:
     found = reading.first_found(tried, "k").withColumn("failed", F.lit(None).cast("string"))
     counts = reading.warnings(tried).select(F.lit("failures").alias("k"), F.lit("").alias("text"), F.lit(None).cast("int").alias("attempt"), F.concat("error", F.lit(": "), F.col("n").cast("string")).alias("failed"))
     return found.select("k", "text", "attempt", "failed").unionByName(counts)
+
+
+# Images of questions
+
+
+@query("""SELECT * FROM (VALUES (149, 'crops/b.png'), (150, CAST(NULL AS VARCHAR)), (151, 'crops/c.png')) t(element_id, crop_path)""")
+def linked_crops(spark: SparkSession, d: str) -> DataFrame:
+    """Pictures of a tree with the crop of their element, the last of several."""
+    tree = '{"kids":[{"type":"image","id":149},{"type":"list","list items":[{"content":"1. x","kids":[{"type":"table","id":150},{"type":"formula","id":151}]}]}]}'
+    found = nodes.image_nodes(nodes.flatten(spark.createDataFrame([("d", tree)], "doc string, raw string"), "doc", "raw")).select("doc", F.col("id").alias("element_id"))
+    crops = spark.createDataFrame([("d", 149, "crops/a.png", 1), ("d", 149, "crops/b.png", 2), ("d", 151, "crops/c.png", 1), ("e", 150, "no", 1)], "doc string, element_id int, crop_path string, n int")
+    return nodes.link_crops(found, crops, ["doc"], "n").select("element_id", "crop_path")
+
+
+@query("""SELECT * FROM (VALUES (1, 'b', ['a'], ['c']), (2, 'c', ['a'], CAST([] AS VARCHAR[])), (3, NULL, ['a'], CAST([] AS VARCHAR[]))) t(k, shared, problem, choices)""")
+def shared_images(spark: SparkSession, d: str) -> DataFrame:
+    """The image of a shared passage taken out of a question's images."""
+    df = spark.createDataFrame([(1, ["a", "b"], ["c"]), (2, ["a"], ["c"]), (3, ["a"], [])], "k int, problem array<string>, choices array<string>")
+    return df.select("k", images.take_shared_image(F.col("problem"), F.col("choices")).alias("s")).select("k", "s.*")
+
+
+@query("""SELECT * FROM (VALUES (1, 'p.png', 1, 3), (2, 'p.png', 2, 3), (3, 'p.png', 3, 3)) t(question_index, path, strip_no, n_strips)""")
+def synthetic_questions(spark: SparkSession, d: str) -> DataFrame:
+    """Questions read from the one image of an earlier question; images with choices are not cut."""
+    texts = spark.createDataFrame([(1, i) for i in range(1, 7)], "doc int, question_index int")
+    sets = spark.createDataFrame([(1, 1, ["p.png"], []), (1, 4, ["q.png"], ["r.png"])], "doc int, question_index int, problem_image_paths array<string>, choices_image_paths array<string>")
+    return images.synthetic_strips(texts, sets, "doc").select("question_index", "path", "strip_no", "n_strips")
+
+
+@query("""SELECT * FROM (VALUES (1, 1, 1), (1, 2, 2), (1, 3, 3), (1, 4, 5), (2, 1, 7)) t(doc, o, "index")""")
+def free_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """Each row takes the least free index from the one it wants."""
+    df = spark.createDataFrame([(1, 1, 1), (1, 2, 1), (1, 3, 0), (1, 4, 5), (2, 1, 7)], "doc int, o int, wanted int")
+    return segment.free_indexes(df, "doc", "o", "wanted")
+
+
+@query("""SELECT * FROM (VALUES ('a', 'a_3'), ('b', 'b'), ('c', 'c_2')) t(name, free)""")
+def free_names(spark: SparkSession, d: str) -> DataFrame:
+    """Folder names that are not taken."""
+    wanted = spark.createDataFrame([("a",), ("b",), ("c",)], "name string")
+    taken = spark.createDataFrame([("a",), ("a_2",), ("c",), ("c_3",), ("bb",)], "name string")
+    return writers.free_name(wanted, taken)
+
+
+@query("""SELECT * FROM (VALUES (1, 'figure_p03_012.png'), (2, 'table_p100_1000.png')) t(k, name)""")
+def crop_names(spark: SparkSession, d: str) -> DataFrame:
+    """Names of image files; long numbers are not cut."""
+    df = spark.createDataFrame([(1, "picture", 3, 12), (2, "table", 100, 1000)], "k int, kind string, page int, n int")
+    return df.select("k", T.image_file_name(F.col("kind"), F.col("page"), F.col("n")).alias("name"))
+
+
+# Recognised texts
+
+
+@query("""SELECT * FROM (VALUES (1, '① 1 2' || chr(10) || '② 3'), (2, '①' || chr(10) || '②')) t(k, text)""")
+def marked_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Choice marks with the recognised rows beside them."""
+    df = spark.createDataFrame([(1, "①\n②", ["| 1 | 2", "3"]), (2, "①\n②", ["", "--"])], "k int, marks string, found array<string>")
+    return df.select("k", images.marked_rows(F.col("marks"), F.col("found")).alias("text"))
+
+
+@query("""SELECT * FROM (VALUES (1, TRUE), (2, FALSE), (3, TRUE), (4, FALSE)) t(k, ocr)""")
+def preferred_readings(spark: SparkSession, d: str) -> DataFrame:
+    """Whether recognised choices replace parsed ones."""
+    df = spark.createDataFrame([(1, "문제", " ", "① 가"), (2, "문제", "① 나", "① 가"), (3, "문제\n① 가", "① 나", "① 가"), (4, "문제", "", "")], "k int, q string, c string, o string")
+    return df.select("k", images.prefers_ocr(F.col("q"), F.col("c"), F.col("o")).alias("ocr"))
+
+
+@query("""SELECT * FROM (VALUES (1, 2), (1, 3), (2, 1), (2, 2)) t(doc, n)""")
+def expected_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks from the expected question on, or all of them."""
+    df = spark.createDataFrame([(1, 1, 4, 5), (1, 2, 5, 5), (1, 3, 6, 5), (2, 1, 1, 9), (2, 2, 2, 9)], "doc int, n int, qno int, expected int")
+    return images.from_expected(df, "doc", "n", "expected").select("doc", "n")
+
+
+@query("""SELECT * FROM (VALUES (1, '7. 문제'), (2, '그대로'), (3, '12. 문제')) t(k, text)""")
+def numbered_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Texts whose leading number is the one of their question."""
+    df = spark.createDataFrame([(1, "/. 문제", 7), (2, "그대로", None), (3, "3) 문제", 12)], "k int, t string, n int")
+    return df.select("k", images.with_leading_number(F.col("t"), F.col("n")).alias("text"))
+
+
+@query("""SELECT * FROM (VALUES (1, '5. 나' || chr(10) || '① a' || chr(10) || '② b' || chr(10) || '③ c')) t(k, block)""")
+def question_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of the wanted question in a recognised page."""
+    df = spark.createDataFrame([(1, "4. 가\n① x\n5. 나\n① a\n② b\n③ c\n6. 다\n① y", 5)], "k int, t string, n int")
+    return images.question_block(df, "k", "t", "n")
+
+
+@query("""SELECT * FROM (VALUES (1, '1 2 3'), (2, '7')) t(k, best)""")
+def better_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The better of two readings of a table row."""
+    df = spark.createDataFrame([(1, "가나", "| 1 2 3"), (2, "7", "")], "k int, a string, b string")
+    return df.select("k", T.better_sparse_row(F.col("a"), F.col("b")).alias("best"))
+
+
+# Page columns
+
+
+@query("""SELECT * FROM (VALUES (0, 22.0, 298.0), (1, 292.0, 568.0)) t(idx, x0, x1)""")
+def wide_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Columns widened by a margin, not over their neighbours."""
+    df = spark.createDataFrame([(1, 0, 40.0, 290.0), (1, 1, 300.0, 550.0)], "page int, idx int, x0 double, x1 double")
+    return layout.expand_columns(df, ["page"]).select("idx", F.col("wide_x0").alias("x0"), F.col("wide_x1").alias("x1"))
+
+
+@query("""SELECT * FROM (VALUES (1, 0), (2, 1), (3, 0)) t(k, column_no)""")
+def nearest_columns(spark: SparkSession, d: str) -> DataFrame:
+    """The column whose centre is nearest, the first of equally near ones."""
+    df = spark.createDataFrame([(1, 10.0), (2, 400.0), (3, 250.0)], "k int, x double").withColumn("centres", F.array(F.lit(100.0), F.lit(400.0)))
+    return df.select("k", layout.nearest_column(F.col("x"), F.col("centres")).alias("column_no"))
+
+
+@query("""SELECT * FROM (VALUES (1, 314.0, CAST(290.0 AS DOUBLE)), (2, 295.0, 200.0)) t(k, right_edge, separator)""")
+def safe_columns(spark: SparkSession, d: str) -> DataFrame:
+    """A left column with room to the right one, and separators of pixel runs."""
+    df = spark.createDataFrame([(1, 290.0, 300.0, 290.0), (2, 280.0, 300.0, 295.0)], "k int, l1 double, r0 double, x1 double")
+    runs = spark.createDataFrame([(1, 10, 14), (1, 285, 295), (1, 400, 410), (2, 199, 201)], "k int, start int, end int")
+    separators = columns.separator_of_runs(runs, ["k"])
+    return df.join(separators, "k").select("k", columns.widen_left(F.col("l1"), F.col("r0"), F.col("x1"), F.lit(595.0)).alias("right_edge"), "separator")
+
+
+@query("""SELECT * FROM (VALUES (1, 163.4, 164.4), (2, 199.0, 200.0)) t(k, p1, c0)""")
+def table_splits(spark: SparkSession, d: str) -> DataFrame:
+    """Where choices start above evenly spaced lone marks of a table."""
+    box = lambda y: (0.0, float(y), 10.0, float(y) + 12.0)
+    blocks = spark.createDataFrame([(1, "①", box(180)), (1, "②", box(200)), (1, "③", box(220)), (2, "①", box(180)), (2, "②", box(300)), (2, "③", box(310))], "k int, text string, bbox struct<x0:double,y0:double,x1:double,y1:double>")
+    lead = layout.sparse_marker_shift(blocks, ["k"])
+    n = lambda x: F.lit(float(x))
+    all_ = spark.createDataFrame([(1,), (2,)], "k int").join(lead, "k", "left")
+    split = columns.shifted_split(n(199), n(200), n(100), n(400), F.col("first_y0"), F.least("lead", n(15.6)))
+    return all_.select("k", split.alias("s")).select("k", F.round("s.p1", 3).alias("p1"), F.round("s.c0", 3).alias("c0"))
+
+
+@query(f"""WITH l AS (SELECT line_id, upload_id, page_number, column_index, bbox FROM {LINES} WHERE bbox IS NOT NULL)
+SELECT line_id, CAST(row_number() OVER (PARTITION BY upload_id, page_number, column_index ORDER BY round_even(bbox.y0 / 4, 0), bbox.x0, bbox.y0, line_id) AS INT) AS place FROM l""")
+def reading_places(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of a column by rows, then from left to right."""
+    lines = _lines(spark, d).where("bbox is not null").withColumn("bbox", F.col("bbox"))
+    keys = ["upload_id", "page_number", "column_index"]
+    return columns.reading_order(lines, keys, "place", "line_id").select("line_id", "place")
+
+
+# Texts and replies
+
+
+@query(f"""SELECT qf_id, CASE WHEN len(n) = 0 THEN content ELSE regexp_replace(concat_ws(chr(10), nullif(content, ''), array_to_string(list_transform(n, lambda v: '[' || v || ']'), chr(10))), '^[\\s\\x{{00a0}}\\x{{2000}}-\\x{{200a}}\\x{{3000}}]+|[\\s\\x{{00a0}}\\x{{2000}}-\\x{{200a}}\\x{{3000}}]+$', '', 'g') END AS content
+FROM (SELECT qf_id, content, list_filter(list_transform(coalesce(images, []), lambda i: i.image_id), lambda v: v IS NOT NULL) AS n FROM {FINALS})""")
+def texts_with_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Contents with a token for each of their images."""
+    ids = F.filter(F.transform(F.coalesce("images", F.array().cast(load(spark, d, "questions_final").schema["images"].dataType)), lambda i: i["image_id"]), lambda v: v.isNotNull())
+    return _finals(spark, d).select("qf_id", canonical.append_tokens(F.col("content"), ids).alias("content"))
+
+
+@query("""SELECT * FROM (VALUES (1, '라.', 'medium'), (2, '다', 'medium')) t(q, content, confidence)""")
+def refined_questions(spark: SparkSession, d: str) -> DataFrame:
+    """The last valid round of refinement and its confidence."""
+    finals = spark.createDataFrame([(1, "가 ,나"), (2, "다")], "q int, content string")
+    rounds = spark.createDataFrame([(1, 1, '{"content": "라 .", "confidence": "low"}'), (1, 2, '{"content": ""}')], "q int, attempt int, payload string")
+    return canonical.merge_refinement(finals, rounds, ["q"]).select("q", "content", "confidence")
+
+
+@query("""SELECT * FROM (VALUES (1, CAST(NULL AS VARCHAR)), (2, 'quotes'), (3, 'json')) t(q, problem)""")
+def concept_replies(spark: SparkSession, d: str) -> DataFrame:
+    """Why replies with concepts are refused."""
+    r = spark.createDataFrame([(1, '{"concepts":[{}],"question_concept_mapping":[{"question_id":"b"},{"question_id":"a"}]}', ["a", "b"]), (2, "“x”", []), (3, "[]", [])], "q int, raw string, want array<string>")
+    return canonical.valid_concepts(r, "q", "raw", "want").select("q", "problem")
+
+
+@query("""SELECT * FROM (VALUES (1, 'option', 2, 'i1', 1), (2, 'question', NULL, 'i2', 0)) t(k, place, target, image_id, n_findings)""")
+def caption_requests(spark: SparkSession, d: str) -> DataFrame:
+    """What is sent with an image to describe, and the damage reported with a text to refine."""
+    option = "struct<opt_order:int,content:string>"
+    df = spark.createDataFrame([(1, "글\ufffd", [(1, "a"), (2, "b")], ("i1", "n1"), (2, "b")), (2, "글", [(1, "a")], ("i2", "n2"), None)], f"k int, content string, options array<{option}>, image struct<image_id:string,image_name:string>, option {option}")
+    source = F.lit("s")
+    with_option = prompts.caption_context(F.col("options"), F.col("content"), source, F.col("image"), F.col("option"))
+    alone = prompts.caption_context(F.col("options"), F.col("content"), source, F.col("image"))
+    findings = prompts.question_findings(F.col("content"), F.col("options"))
+    refine = prompts.refine_context(F.col("content"), F.col("options"), findings)
+    sent = df.select("k", F.when(F.col("option").isNotNull(), with_option).otherwise(alone).alias("j"), refine.alias("r"))
+    get = F.get_json_object
+    n = F.size(F.from_json(get("r", "$.artifacts"), "array<string>"))
+    return sent.select("k", get("j", "$.target_image.location").alias("place"), get("j", "$.target_option.order").cast("int").alias("target"), get("j", "$.target_image.image_id").alias("image_id"), F.least(n, F.lit(1)).alias("n_findings"))
