@@ -514,7 +514,7 @@ def concept_replies(spark: SparkSession, d: str) -> DataFrame:
 def caption_requests(spark: SparkSession, d: str) -> DataFrame:
     """What is sent with an image to describe, and the damage reported with a text to refine."""
     option = "struct<opt_order:int,content:string>"
-    df = spark.createDataFrame([(1, "글\ufffd", [(1, "a"), (2, "b")], ("i1", "n1"), (2, "b")), (2, "글", [(1, "a")], ("i2", "n2"), None)], f"k int, content string, options array<{option}>, image struct<image_id:string,image_name:string>, option {option}")
+    df = spark.createDataFrame([(1, "글 , , 말", [(1, "a"), (2, "b")], ("i1", "n1"), (2, "b")), (2, "글", [(1, "a")], ("i2", "n2"), None)], f"k int, content string, options array<{option}>, image struct<image_id:string,image_name:string>, option {option}")
     source = F.lit("s")
     with_option = prompts.caption_context(F.col("options"), F.col("content"), source, F.col("image"), F.col("option"))
     alone = prompts.caption_context(F.col("options"), F.col("content"), source, F.col("image"))
