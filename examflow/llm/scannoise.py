@@ -9,8 +9,9 @@ that the neighbouring words support best takes its place. A word with an open po
 form of its group fits is still found, and stays as it is in the repaired text.
 
 Everything is counted over all rows of all tables given: nothing is sampled or capped, and no
-threshold depends on the number of rows. The lines of a text are judged once and written; two more
-passes over the cleaned texts count the words and the contexts of the forms in question. Texts are not shuffled: each pass combines its counts within the partition
+threshold depends on the number of rows. The lines of a text are judged once and written; three
+more passes over the cleaned texts count words, the contexts of rare forms, and the same contexts of
+their frequent forms. Texts are not shuffled: each pass combines its counts within the partition
 and only these move. A skeleton group of Hangul holds at most the 28 values of one glyph part, so
 no group grows with the data. Sets sent to the executors are checked for size: words go in blocks
 of at most BLOCK_ENTRIES, one pass for each block; more than MAX_FORMS header forms are joined.
@@ -27,7 +28,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +65,8 @@ KINDS = ("hyphen", "misread", "header", "pageno")
 HELD_COUNTS = 300_000
 #: Entries of one set sent to the executors.
 BLOCK_ENTRIES = 500_000
+#: Bits of the map of contexts asked for (8 MB on every worker, whatever the number of contexts).
+CONTEXT_BITS = 1 << 26
 #: Header forms that are broadcast; more of them are joined with the lines instead.
 MAX_FORMS = 200_000
 
@@ -356,14 +361,15 @@ class Repair:
         latin, others = candidate_pairs(cut_lineage(_counted(self.texts, "word string", words)))
         others = cut_lineage(others)
 
-        # Contexts of the forms of all pairs, wrong and right ones, in one pass for each block of them.
-        forms = others.select(F.explode(F.array("wrong", "right")).alias("word")).distinct()
+        # Contexts of the wrong forms, in one pass for each block of them.
         seen = None
-        for block in _blocks(cut_lineage(forms), "word"):
-            some = context.broadcast(frozenset(w for (w,) in block))
+        for block in _blocks(cut_lineage(others.select("wrong").distinct()), "wrong"):
+            rare = context.broadcast(frozenset(w for (w,) in block))
 
-            def contexts(joined: str, counts: Counter, some=some) -> None:
-                sought = some.value
+            def contexts(joined: str, counts: Counter, rare=rare) -> None:
+                sought = rare.value
+                if sought.isdisjoint(words_of(joined)):
+                    return
                 tokens = tokens_of(joined)
                 for left, t, right in zip(["", *tokens], tokens, [*tokens[1:], ""]):
                     if t in sought:
@@ -374,10 +380,36 @@ class Repair:
             seen = part if seen is None else seen.unionByName(part)
         if seen is None:
             return latin
-        seen = cut_lineage(seen)
-        at = seen.select(F.col("word").alias("wrong"), "side", "x", F.col("n").alias("k")).join(others.select("wrong", "right"), "wrong")
-        held = seen.select(F.col("word").alias("right"), "side", "x", F.col("n").alias("held"))
-        met = cut_lineage(at.join(held, ["right", "side", "x"]).groupBy("wrong", "right", "side").agg(F.sum("k").alias("k"), F.sum("held").alias("held")))
+        at = cut_lineage(seen.withColumnRenamed("word", "wrong").join(others.select("wrong", "right"), "wrong"))
+
+        # The same contexts of the right forms. Which ones are wanted is told by a bitmap of fixed size;
+        # what it lets through by chance finds no partner in the join.
+        bit = F.pmod(F.xxhash64(F.concat_ws("\0", "right", "side", "x")), F.lit(CONTEXT_BITS)).cast("int")
+        wanted = np.zeros(CONTEXT_BITS, dtype=bool)
+        wanted[at.select(bit.alias("b")).distinct().toArrow().column("b").to_numpy()] = True
+        bits = context.broadcast(np.packbits(wanted, bitorder="little").tobytes())
+        held = None
+        for block in _blocks(cut_lineage(others.select("right").distinct()), "right"):
+            heads = context.broadcast(frozenset(w for (w,) in block))
+
+            def support(joined: str, counts: Counter, heads=heads, known: dict = {}) -> None:  # noqa: B006 - one memory for each worker
+                sought, bitmap = heads.value, bits.value
+                tokens = tokens_of(joined)
+                for left, t, right in zip(["", *tokens], tokens, [*tokens[1:], ""]):
+                    if t in sought:
+                        for key in ((t, "l", left), (t, "r", right)):
+                            asked = known.get(key)
+                            if asked is None:
+                                if len(known) >= HELD_COUNTS:
+                                    known.clear()
+                                b = xxhash.xxh64_intdigest("\0".join(key).encode("utf-8", "replace"), 42) & (CONTEXT_BITS - 1)
+                                asked = known[key] = bool(bitmap[b >> 3] >> (b & 7) & 1)
+                            if asked:
+                                counts[key] += 1
+
+            part = _counted(self.texts, "right string, side string, x string", support)
+            held = part if held is None else held.unionByName(part)
+        met = cut_lineage(at.withColumnRenamed("n", "k").join(held.withColumnRenamed("n", "held"), ["right", "side", "x"]).groupBy("wrong", "right", "side").agg(F.sum("k").alias("k"), F.sum("held").alias("held")))
         share = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("k"))), F.lit(0))
         sides = met.groupBy("wrong", "right").agg(share("l").alias("l"), share("r").alias("r"), F.sum("held").alias("held"))
         strong, weak = F.greatest("l", "r") / F.col("n"), F.least("l", "r") / F.col("n")
