@@ -205,6 +205,9 @@ def extract_questions(docs: DataFrame, doc: str, raw: str, max_depth: int = 12)
     opening of the same level. Images go to the latest question unless a line of marks takes them as choices,
     tables only while it has no choices, texts of blocks that are not headings are added to its text.
     """
+    if doc != "__doc":  # the key may have the name of any column used below
+        named = extract_questions(docs.select(F.col(f"`{doc}`").alias("__doc"), F.col(f"`{raw}`").alias("__raw")), "__doc", "__raw", max_depth)
+        return named.withColumnRenamed("__doc", doc)
     n = cut_lineage(_placed_nodes(docs, doc, raw, max_depth))
     own = _own_parts(n, doc)
     questions = n.where("is_question").join(own, [doc, "q"], "left").withColumn("own", F.coalesce("own", F.array().cast(_CHOICES)))

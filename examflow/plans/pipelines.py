@@ -34,9 +34,9 @@ def parse_exam(lines: DataFrame, blocks: DataFrame, doc: str = "upload_id") -> D
     return out.withColumn("confidence", T.confidence(F.coalesce("stem", F.lit("")), F.size("choices"), F.col("answer"), F.coalesce("raw_text", F.lit(""))))
 
 
-def parse_trees(docs: DataFrame, doc: str, raw: str) -> DataFrame:
+def parse_trees(docs: DataFrame, doc: str, raw: str, max_depth: int = 12) -> DataFrame:
     """Questions of element trees."""
-    return nodes.extract_questions(docs, doc, raw)
+    return nodes.extract_questions(docs, doc, raw, max_depth)
 
 
 def parse_words(words: DataFrame, pages: DataFrame, doc: str) -> DataFrame:
@@ -44,7 +44,8 @@ def parse_words(words: DataFrame, pages: DataFrame, doc: str) -> DataFrame:
     placed = columns.ordered_words(words, pages, doc)
     placed = placed.select(doc, "page", "column_index", F.col("bbox.x0").alias("x0"), F.col("bbox.y0").alias("y0"), F.col("bbox.x1").alias("x1"), F.col("bbox.y1").alias("y1"), "text")
     lines = segment.line_groups(placed, [doc, "page", "column_index"])
-    seq = F.col("page") * 1_000_000 + F.col("column_index") * 100_000 + F.col("line_no")
+    # Wide enough for any page: places in a column and columns of a page never run into each other.
+    seq = (F.col("page").cast("bigint") * 100 + F.col("column_index")) * 10_000_000 + F.col("line_no")
     return segment.build_questions(lines.select(doc, seq.alias("seq"), F.col("page").alias("page_number"), "text", layout.box(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")).alias("bbox")), doc)
 
 

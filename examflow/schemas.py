@@ -19,5 +19,3 @@ MARKDOWN_QUESTION = "qno int, content string"
 ELEMENT = "doc_id string, path array<int>, parent_path array<int>, role string, type string, id int, page_number int, bbox array<double>, content string, numbering_style string, source string, heading_level int"
 OPTION = f"struct<`order`: int, is_correct: boolean, content: string, images: array<{IMAGE}>, option_explanation: string>"
 FINAL_QUESTION = f"content string, question_source string, images array<{IMAGE}>, hint_explanation string, options array<{OPTION}>"
-ANSWER_PAYLOAD = "struct<questions: array<string>, options: array<string>, answers: array<string>>"
-CONCEPT_PAYLOAD = "struct<concepts: array<struct<concept_id: string, name: string, description: string>>, question_concept_mapping: array<struct<question_id: string, concept_id: string>>>"
