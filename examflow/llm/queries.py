@@ -136,7 +136,20 @@ def _sql_folded(x: str) -> str:
     return f"lower(regexp_replace({bare}, '[^\\p{{L}}\\p{{Nd}}]', '', 'g'))"
 
 
+# Every two records that share a pair of words, compared in full.
+_SQL_SETS = f"""WITH RECURSIVE f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qf_id) AS rn_ FROM questions_final) WHERE rn_ = 1),
+t AS (SELECT qf_id, content AS x FROM f UNION ALL SELECT qf_id, o.content FROM (SELECT qf_id, unnest(options) AS o FROM f) WHERE o IS NOT NULL),
+w AS (SELECT qf_id, regexp_extract_all(regexp_replace(lower({_sql_plain("x")}), '\\[image\\d+\\]', ' ', 'g'), '[\\p{{L}}\\p{{M}}\\p{{Nd}}]+') AS w FROM t WHERE x IS NOT NULL),
+g AS (SELECT DISTINCT qf_id, w[i] || ' ' || w[i + 1] AS g FROM (SELECT qf_id, w, unnest(range(1, len(w))) AS i FROM w)),
+n AS (SELECT qf_id, count(*) AS n, string_agg(g, '|' ORDER BY g) AS s FROM g GROUP BY qf_id),
+p AS (SELECT x.qf_id AS a, y.qf_id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.qf_id < y.qf_id GROUP BY ALL),
+s AS (SELECT a, b FROM p JOIN n x ON x.qf_id = a JOIN n y ON y.qf_id = b WHERE 2 * c >= x.n + y.n - c)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "p4_found": f"{_SQL_SETS} SELECT a AS qf_id_a, b AS qf_id_b FROM s",
+    "p4_groups": f"""{_SQL_SETS}, k AS (SELECT qf_id, min(qf_id) OVER (PARTITION BY s) AS class_id FROM n), l AS (SELECT a, b FROM s JOIN k x ON x.qf_id = a AND x.class_id = a JOIN k y ON y.qf_id = b AND y.class_id = b),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r AS (SELECT a, a AS b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b), c AS (SELECT a, min(b) AS group_id FROM r GROUP BY a), d AS (SELECT a, count(*) AS n_links FROM e GROUP BY a)
+SELECT f.qf_id, coalesce(class_id, f.qf_id) AS class_id, coalesce(group_id, class_id, f.qf_id) AS group_id, coalesce(n_links, 0) AS n_links FROM f LEFT JOIN k ON k.qf_id = f.qf_id LEFT JOIN c ON c.a = k.class_id LEFT JOIN d ON d.a = k.class_id""",
     "p2_found": " UNION ".join(
         f"SELECT '{table}' AS table_name, {key} AS row_key FROM {table} WHERE {_sql_different(text)}"
         for table, key, text in (("text_lines", "line_id", "text"), ("choices", "choice_id", "text"), ("questions_final", "qf_id", "content"))
