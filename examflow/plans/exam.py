@@ -501,7 +501,7 @@ SELECT user_id, count(*) AS total, count(*) FILTER (WHERE state = 'done') AS don
 def breaker_metadata(spark: SparkSession, d: str) -> DataFrame:
     """Calls of a stage under a circuit breaker."""
     calls = canonical.breaker(load(spark, d, "events"), ["user_id"], "event_id", F.col("event_type") == "error", 3)
-    return canonical.stage_metadata(calls, ["user_id"], "event_id", "props")
+    return canonical.stage_metadata(calls, ["user_id"], "event_id", "props").drop("timeouts")
 
 
 @query("SELECT event_id, coalesce(json_valid(props) AND json_type(props) = 'OBJECT', false) AS is_object FROM events")

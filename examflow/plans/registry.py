@@ -136,3 +136,7 @@ s ->> '$.exam.title' AS title, try_cast(s ->> '$.question_no' AS INT) AS questio
 ORACLE_SQL["p5_final_options"] = f"""SELECT qf_id AS record_key, CAST(option_pos AS INT) AS option_pos, o.opt_order AS number, o.content, o.is_correct, o.option_explanation
 FROM (SELECT qf_id, generate_subscripts(options, 1) AS option_pos, unnest(options) AS o FROM {exam.once('questions_final', 'qf_id')}) WHERE o IS NOT NULL"""
 ORACLE_SQL["p5_final_sources"] = f"""SELECT qf_id AS record_key, question_source AS source_text FROM {exam.once('questions_final', 'qf_id')} WHERE question_source <> ''"""
+_SQL_IMAGES = ORACLE_SQL["p5_found"][: ORACLE_SQL["p5_found"].index("f AS (SELECT * FROM (SELECT *")].rstrip().rstrip(",")
+ORACLE_SQL["p5_images"] = f"""{_SQL_IMAGES}
+SELECT record_id AS record_key, record_id || '/' || question_pos || CASE WHEN option_pos = 0 THEN '' ELSE '/' || option_pos END AS parent_key, CAST(question_pos AS INT) AS question_pos, CAST(option_pos AS INT) AS option_pos,
+CAST(image_pos AS INT) AS image_pos, v ->> '$.image_id' AS image_id, v ->> '$.image_name' AS image_name, v ->> '$.image_caption' AS image_caption FROM i WHERE json_type(v) = 'OBJECT'"""
