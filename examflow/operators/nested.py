@@ -157,11 +157,14 @@ def walk(payloads: DataFrame, key: str, payload: str, levels: int, follow: tuple
     rows = payloads.select(name.alias("root"), F.col(f"`{key}`").alias("record_key"), F.array().cast(_TRAIL).alias("trail"), unwrap(parse(F.col(f"`{payload}`"))).alias("item"), F.lit(True).alias("open"))
     rows = rows.where("item is not null")
     kind = f"array<struct<trail:{_TRAIL},item:variant,open:boolean>>"
+    # The same expression for every level: it is built once.
+    own = F.array(F.struct("trail", "item", F.lit(False).alias("open"))).cast(kind)
+    step = lambda c: F.struct(F.concat(F.col("trail"), F.array(F.struct(c["name"], c["rank"], c["ordinal"]))).alias("trail"), c["item"].alias("item"), F.lit(True).alias("open"))
+    nothing = F.array().cast(kind)
+    below = F.when(F.col("open"), F.transform(_children(F.col("item"), path_of(F.col("trail")), follow), step)).otherwise(nothing).cast(kind)
+    reached = F.explode(F.concat(own, below)).alias("n")
     for _ in range(levels):
-        own = F.array(F.struct("trail", "item", F.lit(False).alias("open")))
-        step = lambda c: F.struct(F.concat(F.col("trail"), F.array(F.struct(c["name"], c["rank"], c["ordinal"]))).alias("trail"), c["item"].alias("item"), F.lit(True).alias("open"))
-        below = F.when(F.col("open"), F.transform(_children(F.col("item"), path_of(F.col("trail")), follow), step)).otherwise(F.array().cast(kind))
-        rows = rows.select("root", "record_key", F.explode(F.concat(own.cast(kind), below.cast(kind))).alias("n")).select("root", "record_key", "n.*")
+        rows = rows.select("root", "record_key", reached).select("root", "record_key", "n.*")
     return rows
 
 

@@ -82,6 +82,18 @@ def test_streaming(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "out")), "question_number", "text") == [(1, "가 나")]
 
 
+def test_an_upload_in_two_files(spark, tmp_path):
+    from examflow.streaming import arrivals
+
+    schema = "line_id long, upload_id long, seq int, page_number int, text string, bbox struct<x0:double,y0:double,x1:double,y1:double>"
+    parts = [[(1, 1, 0, 1, "1. 가", None), (3, 2, 0, 1, "5. 라", None)], [(2, 1, 1, 1, "나", None), (4, 1, 2, 1, "2. 다", None)]]
+    for part in parts:
+        spark.createDataFrame(part, schema).write.mode("append").parquet(str(tmp_path / "in"))
+        arrivals.write_questions(readers.arriving_lines(spark, str(tmp_path / "in"), schema), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
+    got = arrivals.latest_questions(spark.read.parquet(str(tmp_path / "out")))
+    assert rows(got, "upload_id", "question_number", "text") == [(1, 1, "가 나"), (1, 2, "다"), (2, 5, "라")]
+
+
 def test_entry_contract():
     import __spark_entry__ as e
 
