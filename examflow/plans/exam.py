@@ -604,7 +604,7 @@ def boundary_rules(spark: SparkSession, d: str) -> DataFrame:
 n AS (SELECT q, CASE kind WHEN 'problem' THEN 0 WHEN 'choices' THEN 1 ELSE 2 END AS o, part, 'question_' || lpad(CAST(q AS VARCHAR), 3, '0') || '_' || kind || '_part_' || part || '_' || k || '.png' AS name FROM f)
 SELECT q AS question_number, list(name ORDER BY o, part, name) AS files FROM n WHERE q >= 12 GROUP BY q""")
 def image_groups(spark: SparkSession, d: str) -> DataFrame:
-    """A1 O1 P5 F1: image files grouped by question, from a number on."""
+    """Image files grouped by question, from a number on."""
     from ..sources import readers
 
     p = load(spark, d, "part")
@@ -656,7 +656,7 @@ f AS (SELECT *, list_filter(l, lambda x, i: list_position(list_transform(l, lamb
 SELECT upload_id, CAST(row_number() OVER (PARTITION BY upload_id ORDER BY question_no, question_id) AS INT) AS question_index, question_no AS question_number, stem AS question_text, CAST(len(k) AS INT) AS n_choices,
 array_to_string(list_transform(k, lambda x: instr('①②③④⑤⑥⑦⑧⑨⑩', x[1]) || ':' || regexp_replace(substr(x, 2), '^{_SQL_BLANK}|{_SQL_BLANK}$', '', 'g')), '|') AS choices FROM f""")
 def tree_questions(spark: SparkSession, d: str) -> DataFrame:
-    """Questions of element trees."""
+    """Questions of element trees."""
     q = nodes.extract_questions(_trees(spark, d), "upload_id", "raw")
     choices = F.array_join(F.transform("choices", lambda c: F.concat(c["number"].cast("string"), F.lit(":"), c["text"])), "|")
     return q.select("upload_id", "question_index", "question_number", "question_text", F.size("choices").alias("n_choices"), choices.alias("choices"))

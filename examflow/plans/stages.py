@@ -98,6 +98,20 @@ def element_crops(spark: SparkSession, d: str) -> DataFrame:
     return q.select("question_id", (F.col("at") + 1).alias("n"), rect.alias("r")).select("question_id", "n", "r.x0", "r.y0", "r.x1", "r.y1")
 
 
+_CROPS = f"""WITH b AS (SELECT block_id, upload_id, page, bbox AS r FROM {BLOCKS} WHERE bbox IS NOT NULL), q AS (SELECT upload_id, page, min(block_id) AS question_index FROM b GROUP BY ALL),
+w AS (SELECT q.*, r AS box FROM q JOIN b ON block_id = question_index), m AS (SELECT w.upload_id, w.page, w.question_index, b.block_id, b.r FROM w JOIN b USING (upload_id, page)
+WHERE (b.r.x0 + b.r.x1) / 2 BETWEEN box.x0 - 8 AND box.x1 + 8 AND (b.r.y0 + b.r.y1) / 2 BETWEEN box.y0 - 12 AND box.y1 + 12)"""
+
+
+@query(f"{_CROPS} SELECT upload_id, question_index, count(*) AS n_crops, list_sort(list(r.y0)) AS tops FROM m GROUP BY ALL")
+def question_crops(spark: SparkSession, d: str) -> DataFrame:
+    """Drawings whose centre lies in the box of a question, here the first block of each page."""
+    b = _blocks(spark, d).where("bbox is not null").select("block_id", "upload_id", "page", F.col("bbox").alias("rect"))
+    q = b.groupBy("upload_id", "page").agg(F.min("block_id").alias("question_index"), F.min_by("rect", "block_id").alias("box"))
+    crops = columns.crops_of_questions(q, b, ["upload_id", "page"], "upload_id")
+    return crops.groupBy("upload_id", "question_index").agg(F.count(F.lit(1)).alias("n_crops"), F.sort_array(F.collect_list("rect.y0")).alias("tops"))
+
+
 # Files and paths
 
 
