@@ -16,9 +16,10 @@ matter in either takes the area of the least cross-entropy of both, however smal
 area most probable in the background if both are empty.
 
 Words are read once: hashes of the tokens are written and every round counts them with NumPy.
-Counts cover all stems and have no threshold that depends on their number. What is collected is
-bounded: the n-grams of at least MIN_STEMS stems that tell most about the area, MAX_GRAMS at most
-(a parameter of the classifier's size; every question is scored).
+Counts cover all labels and stems and have no threshold that depends on their number; the model
+holds every n-gram of the labels and of at least MIN_STEMS stems. Up to MAX_GRAMS of them are
+broadcast. More stay a table, and each block of stems is judged with the n-grams that it holds:
+with the sums over the whole table these have the same gains as in the whole model.
 
 Defined results: repeated deliveries are one question; nulls, empty and long texts are read whole;
 without areas there are no rows.
@@ -27,18 +28,17 @@ without areas there are no rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from ..common import cut_lineage, first_delivery
 
-#: Labelled stems read for the first model (a bounded, documented sample; the table holds 600).
-MAX_LABELS = 20_000
 #: One label in so many is held out from the models for the calibration, in the order of each area.
 HELD_OUT = 4
 #: Weights of bigram, unigram and background in an area's model. With a heavy background only n-grams
@@ -54,8 +54,10 @@ HISTORY = 30.0
 MIN_GAIN = 0.6
 #: In each round a stem teaches its first area from the first gain, a second one from the second, in gains of a word of one area only.
 LEARN = ((0.9, 0.9),) * 4
-#: n-grams of the model: in at least MIN_STEMS stems, the MAX_GRAMS most telling ones (56 bytes each).
-MIN_STEMS, MAX_GRAMS = 3, 400_000
+#: Stems that an n-gram without a label is in at least.
+MIN_STEMS = 3
+#: n-grams that a worker holds (a memory bound, 8 bytes for each area and 17 more for each n-gram): a larger model is joined block by block.
+MAX_GRAMS = 400_000
 #: Acceptances tried in the calibration for the first and the second area, in gains of a word of one area only.
 FIRST_GRID = (0.3, 0.4, 0.5, 0.6, 0.7)
 SECOND_GRID = (0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75)
@@ -63,6 +65,8 @@ SECOND_GRID = (0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75)
 JOINED = 4
 #: n-grams a worker sums before it passes them on (a memory bound: the shuffle completes the sums).
 HELD_GRAMS = 200_000
+#: Stems of a block judged at once (a memory bound).
+BLOCK_ROWS = 10_000
 #: Words whose hashes a worker remembers (a memory bound).
 HELD_WORDS = 200_000
 #: Gain from which a heading decides.
@@ -133,27 +137,37 @@ class Stems:
         return row[first], gram[first]
 
 
+def unit(n: int) -> float:
+    """Gain of a word that stands in one of ``n`` areas only, and there as often as areas are many."""
+    return float(np.log(WEIGHTS[2] + (1 - WEIGHTS[2]) * max(n, 2)))
+
+
+def shares(of_words: np.ndarray) -> np.ndarray:
+    """Shares of the areas in the occurrences of all words."""
+    share = np.maximum(of_words, 1e-9)
+    return share / share.sum()
+
+
 class Model:
     """Gains of cross-entropy over the background, for each area, of the n-grams known.
 
     ``grams`` (sorted) with ``counts`` per area; ``before`` names the first word of each bigram.
+    ``of_words`` are the sums of the counts of all words and ``n_words`` the number of these: ``grams``
+    may be those of some stems only, and have the gains they have in the whole model.
     """
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray, before: np.ndarray):
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, before: np.ndarray, of_words: np.ndarray, n_words: int):
         n = counts.shape[1]
-        whole = counts.sum(1)
         word = grams > 0
-        share = np.maximum(counts[word].sum(0), 1e-9)
-        share = share / share.sum()
-        prior = np.log(share)
+        share = shares(of_words)
         # The background holds every area alike, so areas with more questions do not gain by that.
-        counts = counts / (n * share)
-        whole, share = counts.sum(1), np.full(n, 1 / n)
+        counts, of_words = counts / (n * share), of_words / (n * share)
+        whole = counts.sum(1)
         # Every area gets PRIOR occurrences of the n-gram in the background's proportions.
-        smooth = counts + PRIOR * share
-        total = smooth[word].sum(0)
-        back_one = (whole + PRIOR) / max((whole[word] + PRIOR).sum(), 1e-9)
-        one = smooth / total
+        smooth = counts + PRIOR / n
+        total = of_words + n_words * PRIOR / n
+        back_one = (whole + PRIOR) / max(of_words.sum() + n_words * PRIOR, 1e-9)
+        one = smooth / np.maximum(total, 1e-9)
         at = np.searchsorted(grams, before)
         known = ~word & (at < len(grams))
         known[known] = grams[at[known]] == before[known]
@@ -165,9 +179,7 @@ class Model:
         two_area[known] = (counts[known] + HISTORY * two_back[known, None]) / (of_head + HISTORY)
         self.grams, self.width = grams, n
         self.one, self.back_one, self.two, self.two_back, self.known = one.astype(np.float32), back_one.astype(np.float32), two_area.astype(np.float32), two_back.astype(np.float32), known
-        self.prior = prior
-        #: Gain of a word that stands in one area only, and there as often as areas are many.
-        self.unit = float(np.log(WEIGHTS[2] + (1 - WEIGHTS[2]) * max(n, 2)))
+        self.unit = unit(n)
 
     def _find(self, ids: np.ndarray) -> np.ndarray:
         """Places of n-grams, -1 for unknown ones."""
@@ -218,46 +230,43 @@ class Acceptance:
         return [[int(a), int(b)] if p and q else [int(a)] if p else [] for a, b, p, q in zip(first, other, is_first, is_second)]
 
 
-def calibrated(model: Model, held: list[tuple[list[int], int]]) -> Acceptance:
-    """Acceptances from held-out stems, alone and joined with later ones of other areas.
+def tallies(model: Model, stems: Stems, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What the calibration adds up over held-out stems of area ``a`` (``b`` is -1) and joined ones of ``a`` and ``b``.
+
+    For each value of FIRST_GRID the stems of one area that get it less those that get a wrong one, and
+    for each pair of values of both grids and each area the stems rightly less those wrongly given it.
+    """
+    total, top, added = model.judge(stems)
+    at, areas = np.arange(stems.size), np.arange(model.width)
+    best = total[at, top]
+    hit, single = (top == a) | (top == b), b < 0
+    sign = np.where((areas == a[:, None]) | (areas == b[:, None]), 1, -1) * (areas != top[:, None])
+    firsts, seconds = [x * model.unit for x in FIRST_GRID], [x * model.unit for x in SECOND_GRID]
+    out = [np.array([(np.where(hit, 1, -1) * (single & (best >= t))).sum() for t in firsts])]
+    for t in firsts:
+        some = hit & (best >= t)
+        out += [((added[some] >= u) * sign[some]).sum(0) for u in seconds]
+    return np.concatenate(out).astype(np.int64)
+
+
+def acceptance(sums: np.ndarray, width: int) -> Acceptance:
+    """Acceptances from the sums of ``tallies``.
 
     First area: the value of FIRST_GRID with most true areas less wrong ones, of equally good ones that
-    nearest the middle. A second matter is often told by a few words only, so stems are joined with
-    either half of another. Second area: for each area the value of SECOND_GRID with most joined stems
+    nearest the middle. Second area: for each area the value of SECOND_GRID with most joined stems
     right less stems wrongly given it, of equally good ones that nearest the best of all areas.
     """
-    width = model.width
-    if not held:
-        return Acceptance(np.full(width, 0.5 * model.unit), np.full(width, 0.75 * model.unit))
-    firsts, seconds = [x * model.unit for x in FIRST_GRID], [x * model.unit for x in SECOND_GRID]
-    single = model.judge(Stems.of([w for w, _ in held]))
-    joined = [(held[i], held[(i + k * len(held) // (JOINED + 1) + k) % len(held)]) for i in range(len(held)) for k in range(1, JOINED + 1)]
-    halves = lambda w: (w[: len(w) // 2], w[len(w) // 2 :])
-    joined = [((x[0] + half, x[1]), y) for x, y in joined if x[1] != y[1] for half in halves(y[0])]
-    truth = np.array([a for _, a in held])
-    at = np.arange(len(held))
-    best = max(firsts, key=lambda t: (int(((single[0][at, truth] >= t) & (single[1] == truth)).sum()) - int(((single[0].max(1) >= t) & (single[1] != truth)).sum()), -abs(t - model.unit / 2)))
-    first = np.full(width, best)
-    right = np.zeros((len(seconds), width))
-    for values, wanted in ((single, [{a} for a in truth]), (model.judge(Stems.of([x[0] for x, _ in joined])) if joined else None, [{x[1], y[1]} for x, y in joined])):
-        if values is None:
-            continue
-        total, top, added = values
-        for i, want in enumerate(wanted):
-            if total[i, top[i]] < best or top[i] not in want:
-                continue
-            for j, t in enumerate(seconds):
-                for a in np.flatnonzero(added[i] >= t):
-                    if a != top[i]:
-                        right[j, a] += 1 if a in want else -1
+    firsts, seconds = [x * unit(width) for x in FIRST_GRID], [x * unit(width) for x in SECOND_GRID]
+    best = max(range(len(firsts)), key=lambda i: (sums[i], -abs(firsts[i] - unit(width) / 2)))
+    right = sums[len(firsts) :].reshape(len(firsts), len(seconds), width)[best]
     whole = seconds[int(right.sum(1).argmax())]
     near = np.array([-abs(t - whole) for t in seconds])
     second = np.array([seconds[max(range(len(seconds)), key=lambda j: (right[j, a], near[j]))] for a in range(width)])
-    return Acceptance(first, second)
+    return Acceptance(np.full(width, firsts[best]), second)
 
 
-def tokenised(rows: DataFrame, stem: str, heading: str) -> DataFrame:
-    """``rows`` with ``words`` (names of the stem's words) and ``head`` (name of the heading, null without) instead of the texts."""
+def token_names(text: Column) -> Column:
+    """Names of the words of a text."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         held: dict[str, int] = {}
@@ -275,9 +284,14 @@ def tokenised(rows: DataFrame, stem: str, heading: str) -> DataFrame:
                 ends.append(len(flat))
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
 
+    return F.arrow_udf(run, "array<bigint>")(text)
+
+
+def tokenised(rows: DataFrame, stem: str, heading: str) -> DataFrame:
+    """``rows`` with ``words`` (names of the stem's words) and ``head`` (name of the heading, null without) instead of the texts."""
     name = F.lower(F.trim(F.regexp_replace(F.regexp_replace(heading, _HEADING, ""), r"(?U)\s+", " ")))
     head = F.when(name != "", F.xxhash64(name))
-    return rows.withColumn("words", F.arrow_udf(run, "array<bigint>")(F.col(f"`{stem}`"))).withColumn("head", head).drop(stem, heading)
+    return rows.withColumn("words", token_names(F.col(f"`{stem}`"))).withColumn("head", head).drop(stem, heading)
 
 
 def _stems(column: pa.Array) -> Stems:
@@ -287,99 +301,190 @@ def _stems(column: pa.Array) -> Stems:
     return Stems(flat, np.concatenate([[0], np.cumsum(sizes)]))
 
 
-def soft_counts(stems: DataFrame, model: Model, least: tuple[float, float]) -> DataFrame:
-    """(gram, before, stems, c0, c1, …): counts of each n-gram weighted by the areas of its stems, combined within each partition first."""
-    shared = stems.sparkSession.sparkContext.broadcast(model)
-    width = model.width
-    learn = Acceptance(np.full(width, least[0] * model.unit), np.full(width, least[1] * model.unit))
-    names = ["gram", "before", "stems", *(f"c{k}" for k in range(width))]
+Judge = Callable[[Model, Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        held: list[tuple] = []
-        size = 0
 
-        def combined():
-            gram, before, n, c = (np.concatenate([h[i] for h in held]) for i in range(4))
-            keys, first, inverse = np.unique(gram, return_index=True, return_inverse=True)
-            sums = np.stack([np.bincount(inverse, weights=c[:, k], minlength=len(keys)) for k in range(width)], axis=1)
-            return keys, before[first], np.bincount(inverse, weights=n, minlength=len(keys)).astype(np.int64), sums
+class Tokens:
+    """Rows with ``words``, and in blocks with the n-grams of each where the model is joined to them."""
 
-        def flush(got):
-            keys, before, n, sums = got
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(before), pa.array(n), *(pa.array(np.ascontiguousarray(sums[:, k])) for k in range(width))], names=names)
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+        self._blocks: tuple[DataFrame, DataFrame] | None = None
 
-        for batch in batches:
-            s = _stems(batch.column(0))
+    def blocks(self) -> tuple[DataFrame, DataFrame]:
+        """The rows with ``block``, and (block, gram) of them; blocks of so many tokens that MAX_GRAMS n-grams hold all theirs."""
+        if self._blocks is None:
+            n = self.rows.agg(F.sum(F.when(F.col("words").isNotNull(), F.size("words")).otherwise(0))).first()[0] or 0
+            rows = self.rows.withColumn("block", F.pmod(F.xxhash64(*self.rows.columns), F.lit(2 * n // MAX_GRAMS + 1)))
+
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    row, gram = _stems(batch.column("words")).grams()
+                    pairs = np.unique(np.stack([batch.column("block").to_numpy()[row], gram], axis=1), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["block", "gram"])
+
+            self._blocks = rows, cut_lineage(rows.select("block", "words").mapInArrow(run, "block bigint, gram bigint").distinct())
+        return self._blocks
+
+
+class Fitted:
+    """A model of a table of counts (gram, before, c0, c1, …): broadcast up to MAX_GRAMS n-grams, else joined."""
+
+    def __init__(self, counts: DataFrame, width: int):
+        self.counts, self.width, self.unit = cut_lineage(counts), width, unit(width)
+        names, word = [f"c{k}" for k in range(width)], F.col("gram") > 0
+        size, n_words, *sums = self.counts.agg(F.count(F.lit(1)), F.count_if(word), *[F.sum(F.when(word, F.col(c))) for c in names]).first()
+        self.of_words, self.n_words = np.array([x or 0.0 for x in sums]), n_words
+        self.shared = None
+        if size <= MAX_GRAMS:
+            model = _model(self.counts.select("gram", "before", *names).toArrow(), self.of_words, n_words)
+            self.shared = self.counts.sparkSession.sparkContext.broadcast(model)
+
+    def judged(self, stems: Tokens, columns: list[str], f: Judge, schema: str | StructType) -> DataFrame:
+        """What ``f`` makes of the ``columns`` of all stems with the model, or with the part of it that a block of stems holds."""
+        if self.shared is not None:
+            shared = self.shared
+            return stems.rows.select(*columns).mapInArrow(lambda batches: f(shared.value, batches), schema)
+        rows, grams = stems.blocks()
+        of_words, n_words = self.of_words, self.n_words
+
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            model = _model(right.drop_columns(["block"]), of_words, n_words)
+            return pa.Table.from_batches(list(f(model, iter(left.to_batches(max_chunksize=BLOCK_ROWS)))))
+
+        part = grams.join(self.counts, "gram").select("block", "gram", "before", *(f"c{k}" for k in range(self.width)))
+        return rows.select("block", *columns).groupBy("block").cogroup(part.groupBy("block")).applyInArrow(run, schema)
+
+
+def _model(counts: pa.Table, of_words: np.ndarray, n_words: int) -> Model:
+    """The model of a table of gram, before and counts per area, in any order."""
+    gram, before, *areas = (c.to_numpy() for c in counts.columns)
+    order = np.argsort(gram)
+    return Model(gram[order], np.stack(areas, axis=1)[order], before[order], of_words, n_words)
+
+
+def _counted(batches: Iterator[pa.RecordBatch], width: int, weights: Callable[[pa.RecordBatch, Stems], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(gram, before, stems, c0, c1, …): counts of each n-gram by the weights of its stems for each area, combined first."""
+    names = ["gram", "before", "stems", *(f"c{k}" for k in range(width))]
+    held: list[tuple] = []
+    size = 0
+
+    def combined():
+        gram, before, n, c = (np.concatenate([h[i] for h in held]) for i in range(4))
+        keys, first, inverse = np.unique(gram, return_index=True, return_inverse=True)
+        sums = np.stack([np.bincount(inverse, weights=c[:, k], minlength=len(keys)) for k in range(width)], axis=1).astype(np.float64)
+        return keys, before[first], np.bincount(inverse, weights=n, minlength=len(keys)).astype(np.int64), sums
+
+    def flush(got):
+        keys, before, n, sums = got
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(before), pa.array(n), *(pa.array(np.ascontiguousarray(sums[:, k])) for k in range(width))], names=names)
+
+    for batch in batches:
+        s = _stems(batch.column("words"))
+        w = weights(batch, s)
+        row, gram = s.grams()
+        before = np.zeros(len(gram), dtype=np.int64)
+        pairs, at = np.unique(s.pairs, return_index=True)
+        place = np.searchsorted(pairs, gram[gram < 0])
+        before[gram < 0] = s.words[at[place] - 1]
+        held.append((gram, before, np.ones(len(gram)), w[row]))
+        size += len(gram)
+        if size > HELD_GRAMS:
+            got = combined()
+            held, size = [got], len(got[0])
+            if size > HELD_GRAMS // 2:
+                yield flush(got)
+                held, size = [], 0
+    if held:
+        yield flush(combined())
+
+
+def _count_schema(width: int) -> str:
+    return "gram bigint, before bigint, stems bigint, " + ", ".join(f"c{k} double" for k in range(width))
+
+
+def _summed(parts: DataFrame, width: int) -> DataFrame:
+    return parts.groupBy("gram").agg(F.max("before").alias("before"), F.sum("stems").alias("stems"), *[F.sum(f"c{k}").alias(f"c{k}") for k in range(width)])
+
+
+def soft_counts(stems: Tokens, model: Fitted, least: tuple[float, float]) -> DataFrame:
+    """(gram, before, stems, c0, c1, …): counts of each n-gram weighted by the areas of its stems, combined within each partition first."""
+    width = model.width
+    learn = Acceptance(np.full(width, least[0] * model.unit), np.full(width, least[1] * model.unit))
+
+    def run(m: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def weights(batch: pa.RecordBatch, s: Stems) -> np.ndarray:
             total, first, added = m.judge(s)
             # Only stems of a clear area teach; one of two areas teaches both by halves.
             w = np.zeros_like(total)
             for i, areas_ in enumerate(learn.areas(total, first, added)):
                 w[i, areas_] = 1 / max(len(areas_), 1)
-            row, gram = s.grams()
-            before = np.zeros(len(gram), dtype=np.int64)
-            pairs, at = np.unique(s.pairs, return_index=True)
-            place = np.searchsorted(pairs, gram[gram < 0])
-            before[gram < 0] = s.words[at[place] - 1]
-            held.append((gram, before, np.ones(len(gram)), w[row]))
-            size += len(gram)
-            if size > HELD_GRAMS:
-                got = combined()
-                held, size = [got], len(got[0])
-                if size > HELD_GRAMS // 2:
-                    yield flush(got)
-                    held, size = [], 0
-        if held:
-            yield flush(combined())
-
-    schema = "gram bigint, before bigint, stems bigint, " + ", ".join(f"c{k} double" for k in range(width))
-    parts = stems.select("words").mapInArrow(run, schema)
-    return parts.groupBy("gram").agg(F.max("before").alias("before"), F.sum("stems").alias("stems"), *[F.sum(f"c{k}").alias(f"c{k}") for k in range(width)])
+            return w
 
+        return _counted(batches, width, weights)
 
-def _label_grams(labels: list[tuple[list[int], int]], width: int) -> dict[int, tuple[int, np.ndarray]]:
-    """Counts per area of the n-grams of labelled stems, with the word before each bigram."""
-    out: dict[int, tuple[int, np.ndarray]] = {}
-    for words, area in labels:
-        w = np.array(words, dtype=np.int64)
-        pairs = bigram_ids(w[:-1], w[1:]) if len(w) > 1 else []
-        for gram, before in {**{int(x): 0 for x in w}, **{int(p): int(x) for p, x in zip(pairs, w)}}.items():
-            out.setdefault(gram, (before, np.zeros(width)))[1][area] += 1
-    return out
-
-
-def _model(grams, before, counts, labels: dict, width: int) -> Model:
-    """Model of collected counts and those of the labels."""
-    extra = np.array(sorted(labels), dtype=np.int64)
-    every, inverse = np.unique(np.concatenate([grams, extra]), return_inverse=True)
-    c, b = np.zeros((len(every), width)), np.zeros(len(every), dtype=np.int64)
-    c[inverse[: len(grams)]] += counts
-    b[inverse[: len(grams)]] = before
-    for g, at in zip(extra, inverse[len(grams) :]):
-        b[at] = labels[int(g)][0]
-        c[at] += labels[int(g)][1]
-    return Model(every, c, b)
-
-
-def fit(stems: DataFrame, labels: DataFrame, areas: DataFrame) -> tuple[Model, Acceptance, list[str]]:
-    """The final model, from labels and then from all stems, its acceptances, and the areas in their order."""
+    return _summed(model.judged(stems, ["words"], run, _count_schema(width)), width)
+
+
+def label_counts(labels: DataFrame, width: int) -> DataFrame:
+    """(gram, before, stems, c0, c1, …): stems of each area ``i`` that hold the n-gram."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _counted(batches, width, lambda batch, s: np.eye(width)[batch.column("i").to_numpy()])
+
+    return _summed(labels.select("i", "words").mapInArrow(run, _count_schema(width)), width)
+
+
+def numbered_labels(labels: DataFrame, codes: list[str]) -> DataFrame:
+    """(i, n, words): area and words of each labelled stem, and its place among those of the area."""
+    known = labels.select("label_id", "stem", (F.array_position(F.array(*[F.lit(c) for c in codes]), F.col("area_code")) - 1).cast("int").alias("i"))
+    known = known.where((F.col("stem") != "") & (F.col("i") >= 0)).withColumn("words", token_names(F.col("stem")))
+    return known.select("i", (F.row_number().over(Window.partitionBy("i").orderBy("label_id", "stem")) - 1).alias("n"), "words")
+
+
+def calibrated(model: Fitted, labels: DataFrame) -> Acceptance:
+    """Acceptances from the held-out ones of ``numbered_labels``, alone and joined with later ones of other areas.
+
+    A second matter is often told by a few words only, so stems are joined with either half of another.
+    """
+    width = model.width
+    held = labels.where(F.col("n") % HELD_OUT == HELD_OUT - 1)
+    sizes = dict(held.groupBy("i").count().collect())
+    size = sum(sizes.values())
+    if not size:
+        return Acceptance(np.full(width, 0.5 * model.unit), np.full(width, 0.75 * model.unit))
+    starts = np.concatenate([[0], np.cumsum([sizes.get(k, 0) for k in range(width)])[:-1]]).tolist()
+    x = held.select("i", "words", (F.get(F.lit(starts), F.col("i")) + F.floor(F.col("n") / HELD_OUT)).cast("bigint").alias("at"))
+    y = x.select(F.col("i").alias("b"), F.col("words").alias("more"), F.col("at").alias("other"))
+    other = F.explode(F.array(*[(F.col("at") + k * size // (JOINED + 1) + k) % size for k in range(1, JOINED + 1)]))
+    joined = x.withColumn("other", other).join(y, "other").where(F.col("i") != F.col("b"))
+    half = F.floor(F.size("more") / 2).cast("int")
+    halves = F.explode(F.array(F.slice("more", F.lit(1), half), F.slice("more", half + 1, F.size("more") - half)))
+    joined = joined.select("i", "b", "words", halves.alias("half")).select("i", "b", F.concat("words", "half").alias("words"))
+    stems = Tokens(x.select("i", F.lit(-1).alias("b"), "words").unionByName(joined))
+
+    def run(m: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = tallies(m, _stems(batch.column("words")), batch.column("i").to_numpy(), batch.column("b").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(sums)], names=["place", "n"])
+
+    sums = model.judged(stems, ["i", "b", "words"], run, "place bigint, n bigint").groupBy("place").agg(F.sum("n")).orderBy("place").collect()
+    return acceptance(np.array([n for _, n in sums]), width)
+
+
+def fit(stems: Tokens, labels: DataFrame, areas: DataFrame) -> tuple[Fitted | None, Acceptance | None, list[str]]:
+    """The final model, from labels and then from all stems, its acceptances, and the areas in their order; without areas no model."""
     codes = sorted(r[0] for r in areas.select("area_code").where("area_code is not null").distinct().collect())
-    known = [(r[0], r[1]) for r in labels.select("stem", "area_code").orderBy("label_id").limit(MAX_LABELS).collect()]
-    of_area = [[[word_id(w) for w in words_of(stem)] for stem, area in known if stem and area == code] for code in codes]
-    held = [(words, a) for a, stems_ in enumerate(of_area) for words in stems_[HELD_OUT - 1 :: HELD_OUT]]
-    base = _label_grams([(words, a) for a, stems_ in enumerate(of_area) for i, words in enumerate(stems_) if i % HELD_OUT != HELD_OUT - 1], len(codes))
-    none = np.zeros(0, dtype=np.int64)
-    model = _model(none, none, np.zeros((0, len(codes))), base, len(codes))
+    if not codes:
+        return None, None, codes
+    known = cut_lineage(numbered_labels(labels, codes))
     names = [f"c{k}" for k in range(len(codes))]
-    # How much an n-gram tells: the information of its counts about the area, over even areas.
-    whole = sum((F.col(c) for c in names[1:]), F.col(names[0])) if names else F.lit(0.0)
-    tells = sum((F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) * len(names) / whole)).otherwise(0.0) for c in names), F.lit(0.0))
-    for least in LEARN if names else ():
-        rows = soft_counts(stems, model, least).where(F.col("stems") >= MIN_STEMS).where(whole > 0)
-        got = rows.orderBy(tells.desc(), "gram").limit(MAX_GRAMS).select("gram", "before", *names).toArrow()
-        counts = np.stack([got.column(c).to_numpy() for c in names], axis=1) if len(got) else np.zeros((0, len(names)))
-        model = _model(got.column("gram").to_numpy(), got.column("before").to_numpy(), counts, base, len(names))
-    return model, calibrated(model, held), codes
+    base = cut_lineage(label_counts(known.where(F.col("n") % HELD_OUT != HELD_OUT - 1), len(codes)))
+    model = Fitted(base, len(codes))
+    for least in LEARN:
+        learnt = soft_counts(stems, model, least).where(F.col("stems") >= MIN_STEMS).where(sum((F.col(c) for c in names[1:]), F.col(names[0])) > 0)
+        model = Fitted(_summed(learnt.unionByName(base), len(codes)), len(codes))
+    return model, calibrated(model, known), codes
 
 
 def subject_areas(questions: DataFrame, labels: DataFrame, areas: DataFrame, key: str = "question_id") -> DataFrame:
@@ -389,19 +494,19 @@ def subject_areas(questions: DataFrame, labels: DataFrame, areas: DataFrame, key
     """
     # Tokenised where the texts are read; only the tokens cross the network.
     rows = cut_lineage(first_delivery(tokenised(questions.select(key, "subject", "stem"), "stem", "subject"), key))
-    model, accept, codes = fit(rows, labels, areas)
-    if not codes:
+    stems = Tokens(rows)
+    model, accept, codes = fit(stems, labels, areas)
+    if model is None:
         return rows.select(key, F.lit(None).cast("string").alias("area_code"), F.lit("stem").alias("by")).limit(0)
-    shared = rows.sparkSession.sparkContext.broadcast((model, accept))
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        m, a = shared.value
+    def run(m: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total, first, added = m.judge(_stems(batch))
-            out = [{"areas": x, "gains": g} for x, g in zip(a.areas(total, first, added), total.tolist())]
-            yield pa.array(out, type=pa.struct([("areas", pa.list_(pa.int32())), ("gains", pa.list_(pa.float64()))]))
+            total, first, added = m.judge(_stems(batch.column("words")))
+            found = pa.array(accept.areas(total, first, added), pa.list_(pa.int32())), pa.array(total.tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("head"), *found], names=[key, "head", "areas", "gains"])
 
-    scored = cut_lineage(rows.select(key, "head", F.arrow_udf(run, "areas array<int>, gains array<double>")(F.col("words")).alias("s")).select(key, "head", "s.*"))
+    schema = StructType([rows.schema[key], StructField("head", LongType()), StructField("areas", ArrayType(IntegerType())), StructField("gains", ArrayType(DoubleType()))])
+    scored = cut_lineage(model.judged(stems, [key, "head", "words"], run, schema))
     code = lambda i: F.get(F.array(*[F.lit(c) for c in codes]), i)
     by_stem = scored.select(key, F.explode("areas").alias("i")).select(key, code(F.col("i")).alias("area_code"), F.lit("stem").alias("by"))
 
@@ -421,6 +526,6 @@ def subject_areas(questions: DataFrame, labels: DataFrame, areas: DataFrame, key
     silent = scored.where(F.size("areas") == 0).select(key, "head", "gains").join(heads, "head", "left")
     decides = F.coalesce(F.col("gain") >= HEADING_GAIN, F.lit(False))
     # Neither: the least cross-entropy of stem and heading, then the area most frequent in the background.
-    best = F.array_max(F.transform("gains", lambda g, j: F.struct((g + F.when(j == F.col("i"), F.col("gain")).otherwise(0.0) + F.get(F.lit(list(map(float, 1e-6 * model.prior))), j)).alias("g"), (-j).alias("j"))))
+    best = F.array_max(F.transform("gains", lambda g, j: F.struct((g + F.when(j == F.col("i"), F.col("gain")).otherwise(0.0) + F.get(F.lit(list(map(float, 1e-6 * np.log(shares(model.of_words))))), j)).alias("g"), (-j).alias("j"))))
     rest = silent.select(key, code(F.when(decides, F.col("i")).otherwise(-best["j"])).alias("area_code"), F.when(decides, "subject").otherwise("least").alias("by"))
     return by_stem.unionByName(rest)

@@ -52,3 +52,21 @@ def test_empty(spark, tables):
     q, la, areas, _ = tables
     assert J.subject_areas(q.limit(0), la, areas).count() == 0
     assert J.subject_areas(q.where(F.col("question_id") < 5), la.limit(0), areas).count() >= 0
+
+
+def test_model_of_any_size(tables, monkeypatch):
+    """A model of more n-grams than a worker holds gives the same rows."""
+    q, la, areas, _ = tables
+    whole = sorted(map(tuple, J.subject_areas(q, la, areas).collect()))
+    monkeypatch.setattr(J, "MAX_GRAMS", 10)
+    assert sorted(map(tuple, J.subject_areas(q, la, areas).collect())) == whole
+
+
+def test_all_labels(spark, tables):
+    """Labels teach and calibrate however many come before them."""
+    _, _, areas, _ = tables
+    a = F.when(F.col("id") >= 20_000, "LAW").when(F.col("id") % 2 == 0, "NET").otherwise("BIO")
+    stem = F.when(a == "LAW", "저당권 소멸시효").when(a == "NET", "라우터 대역폭").otherwise("광합성 염색체")
+    labels = spark.range(20_040).select(F.col("id").alias("label_id"), stem.alias("stem"), a.alias("area_code"))
+    questions = spark.createDataFrame([(1, None, "저당권"), (2, None, "라우터")], "question_id long, subject string, stem string")
+    assert sorted(map(tuple, J.subject_areas(questions, labels, areas).collect())) == [(1, "LAW", "stem"), (2, "NET", "stem")]
